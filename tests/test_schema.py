@@ -1,0 +1,114 @@
+"""Inference, comparison, widening and alignment."""
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from feedfold.operators import schema as S
+
+
+def ddl(text):
+    return T.StructType.fromDDL(text)
+
+
+def test_same_type_ignores_nullability_and_compares_lengths():
+    a = T.StructType([T.StructField("a", T.LongType(), False)])
+    assert S.same_type(a, ddl("a bigint"))
+    assert not S.same_type(ddl("a bigint"), ddl("a bigint, b string"))
+    assert not S.same_type(ddl("a array<int>"), ddl("a array<bigint>"))
+
+
+def test_align_identical_frame_is_untouched(spark):
+    df = spark.createDataFrame([(1, "x")], "id bigint, name string")
+    assert S.align_to(df, df.schema) is df
+
+
+def test_align_adds_missing_reorders_and_drops_extras(spark):
+    df = spark.createDataFrame([(1, "x", True)], "id bigint, name string, extra boolean")
+    out = S.align_to(df, ddl("name string, age int, id bigint"))
+    assert out.columns == ["name", "age", "id"]
+    assert out.collect()[0].asDict() == {"name": "x", "age": None, "id": 1}
+
+
+def test_align_nested_struct_gains_field_and_null_struct_stays_null(spark):
+    df = spark.createDataFrame([(1, (5,)), (2, None)], "id int, s struct<a:int>")
+    rows = S.align_to(df, ddl("id int, s struct<a:int, b:string>")).orderBy("id").collect()
+    assert rows[0]["s"].asDict() == {"a": 5, "b": None}
+    assert rows[1]["s"] is None
+
+
+def test_align_arrays_of_structs_and_scalars(spark):
+    df = spark.createDataFrame(
+        [([(1,), None], [1, 2], ([3],))], "l array<struct<a:int>>, n array<int>, s struct<v:array<int>>"
+    )
+    row = S.align_to(df, ddl("l array<struct<a:int,b:string>>, n array<bigint>, s struct<v:array<string>>")).first()
+    assert row["l"][0].asDict() == {"a": 1, "b": None} and row["l"][1] is None
+    assert row["n"] == [1, 2]
+    assert row["s"]["v"] == ["3"]
+
+
+def test_align_clashing_scalars(spark):
+    df = spark.createDataFrame([("12", 7), ("x", 8)], "a string, b bigint")
+    rows = S.align_to(df, ddl("a bigint, b string")).collect()
+    assert [tuple(r) for r in rows] == [(12, "7"), (None, "8")]
+    row = S.align_to(df, ddl("a struct<x:int>, b array<int>")).first()
+    assert tuple(row) == (None, None)
+
+
+def test_nullability_difference_is_accepted(spark):
+    df = spark.createDataFrame([(1,)], T.StructType([T.StructField("id", T.LongType(), False)]))
+    assert S.align_to(df, ddl("id bigint")).collect()[0]["id"] == 1
+
+
+def test_widen_prefers_text_on_conflict_and_merges_structs():
+    w = S.widen(ddl("a bigint, s struct<x:int>, n float"), ddl("a string, s struct<y:string>, n bigint, z date"))
+    assert w.simpleString() == "struct<a:string,s:struct<x:int,y:string>,n:double,z:date>"
+    assert S.widen(T.IntegerType(), T.FloatType()) == T.DoubleType()
+    assert S.widen(T.DecimalType(10, 2), T.LongType()) == T.DecimalType(21, 2)
+
+
+def test_union_drift_keeps_rows_of_both_types(spark):
+    a = spark.createDataFrame([(1, 5)], "id int, v bigint")
+    b = spark.createDataFrame([("six", 2, True)], "v string, id int, w boolean")
+    rows = {tuple(r) for r in S.union_drift(a, b).collect()}
+    assert rows == {(1, "5", None), (2, "six", True)}
+
+
+def test_leaf_paths_go_through_structs_and_one_array_level():
+    s = ddl("a int, s struct<b:int,t:struct<c:int>>, l array<struct<d:int,m:array<struct<e:int>>,u:struct<f:int>>>, n array<int>")
+    assert [".".join(p) for p in S.leaf_paths(s)] == ["a", "s.b", "s.t.c", "l.d", "l.m", "l.u.f", "n"]
+
+
+def test_dedupe_keeps_first_copy(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int").toDF("a", "b", "A")
+    out = S.dedupe_columns(df)
+    assert out.columns == ["a", "b"] and tuple(out.first()) == (1, 2)
+
+
+def test_infer_json_schema_widens_and_skips_malformed(spark):
+    rows = [
+        '{"a":1,"b":{"c":1.5,"x y":[]},"z":null,"n":1}',
+        '{"a":"s","b":{"c":2,"d":[{"q":1},{"r":"t"}]},"e":{},"n":2}',
+        "bad{", "17", None, "[1]",
+    ]
+    df = spark.createDataFrame([(r,) for r in rows], "value string")
+    got = S.infer_json_schema(df.select(F.col("value").cast("binary").alias("value")))
+    assert S.same_type(
+        got,
+        ddl("a string, b struct<c:double, d:array<struct<q:bigint,r:string>>, `x y`:array<string>>, n bigint, z string"),
+    )
+    parsed = S.parse_json_rows(df, got).select("value", "_json.*").collect()
+    assert [r["a"] for r in parsed[:2]] == ["1", "s"]
+    assert [r[S.UNPARSED] for r in parsed] == [None, None, "bad{", "17", None, "[1]"]
+
+
+def test_infer_nothing(spark):
+    df = spark.createDataFrame([("x",), (None,)], "value string")
+    assert S.infer_json_schema(df) == T.StructType([])
+
+
+def test_infer_survives_odd_field_names(spark):
+    df = spark.createDataFrame([('{"OBJECT<a":1,"k`k":{"v":2},"A":1,"a":"x"}',)], "value string")
+    got = S.infer_json_schema(df)
+    assert got["OBJECT<a"].dataType == T.LongType()
+    assert got["k`k"].dataType["v"].dataType == T.LongType()
+    assert len([f for f in got.fieldNames() if f.lower() == "a"]) == 1
