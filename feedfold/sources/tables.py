@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,8 +51,8 @@ def read_delta(
     options = {"basePath": base, "mergeSchema": "true"}
     try:
         return read_optional(spark, day, fmt, **options)
-    except PySparkException as error:
-        if "CANNOT_MERGE_SCHEMA" not in str(error) and "Failed to merge" not in str(error):
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMA" not in str(error):
             raise
     # a day has no more run labels than minutes
     labels = spark.read.format(fmt).option("basePath", base).load(day).select("exec_time").distinct().collect()
