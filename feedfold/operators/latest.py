@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,9 +40,8 @@ def latest_per_key(
     version of each key is aggregated first, then matched to the rows.
     """
     if ties == "all":
-        version = _version(order)
-        newest = df.groupBy(*(quoted(k) for k in keys)).agg(F.max(version).alias("_newest"))
-        return match_rows(df.withColumn("_newest", version), newest, [*keys, "_newest"], "left_semi", salts).drop("_newest")
+        newest = newest_versions(df, keys, order)
+        return rows_of_versions(df, newest, keys, order, salts)
     if ties != "one":
         raise ValueError(f"unknown ties {ties!r}")
     if tiebreak is None:
@@ -54,6 +53,19 @@ def latest_per_key(
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
-def _version(order: Sequence[str]):
+def newest_versions(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The greatest ``order`` values of each key, as one narrow row: keys and ``_newest``."""
+    return df.groupBy(*(quoted(k) for k in keys)).agg(F.max(_version(order)).alias("_newest"))
+
+
+def rows_of_versions(
+    df: DataFrame, versions: DataFrame, keys: Sequence[str], order: Sequence[str], salts: int = 8
+) -> DataFrame:
+    """The rows belonging to the given key versions."""
+    tagged = df.withColumn("_newest", _version(order))
+    return match_rows(tagged, versions, [*keys, "_newest"], "left_semi", salts).drop("_newest")
+
+
+def _version(order: Sequence[str]) -> Column:
     """One comparable value; a single column stays plain so that max() hashes."""
     return quoted(order[0]) if len(order) == 1 else F.struct(*(quoted(c) for c in order))

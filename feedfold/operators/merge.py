@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from feedfold.functions.classify import classify_url
 from feedfold.functions.dates import as_date, text_to_date
 from feedfold.functions.keys import KeyFn, url_key
-from feedfold.operators.latest import latest_per_key
+from feedfold.operators.latest import latest_per_key, newest_versions, rows_of_versions
 from feedfold.operators.matching import match_rows
 from feedfold.operators.reshape import suffix_collisions
 from feedfold.operators.schema import align_column, align_to, find_field, merged_schema, quoted, union_drift, widen
@@ -272,13 +272,15 @@ def upsert_posts(
     key_fn: KeyFn = url_key,
     classify: KeyFn = classify_url,
     columns: Mapping[str, tuple[str, str]] = MERGED_COLUMNS,
+    history_unique: bool = False,
 ) -> DataFrame:
     """Merged posts of the delta's days: each value the delta's, else history's.
 
     ``delta`` comes from :func:`join_posts_metrics` and holds a post once;
-    ``history`` holds the touched days, or is None. History is cut to its
-    newest row per key on the partitioning the join needs anyway, so no pair
-    of duplicates can multiply. Columns only history has are kept.
+    ``history`` holds the touched days, or is None. Unless it is known to hold
+    a post once, as a table written from here does, it is cut to the newest
+    row per key on the partitioning the join needs anyway. Columns only
+    history has are kept.
     """
     new = merged_post_columns(delta, columns, key_fn)
     if history is None:
@@ -286,40 +288,61 @@ def upsert_posts(
     else:
         old = history.drop("SocialnetworkType")
         old = align_to(old, merged_schema([new.schema, old.schema]))
-    old = latest_per_key(old, POST_KEY, NEWEST_POST, tiebreak=["Url", "ExecDate"])
+    if history is not None and not history_unique:
+        old = latest_per_key(old, POST_KEY, NEWEST_POST, tiebreak=["Url", "ExecDate"])
     return coalesce_merge(old, new, POST_KEY).withColumn("SocialnetworkType", classify(F.col("Url")))
 
 
 # --- child rows ------------------------------------------------------------
 
-def newest_children(
-    children: DataFrame,
-    lower: str | date,
-    upper: str | date,
-    order: Sequence[str] | None = None,
-    ties: str = "all",
-) -> DataFrame:
-    """Child rows of the newest version of each post, within the date window.
+CHILD_KEY = ("Id", "PartDate")
 
-    ``ties="one"`` keeps a single child per post.
-    """
-    inside = with_day(children).where(in_window("PartDate", lower, upper))
-    if order is None:
-        order = _present(inside, ["PostCreateDate", "CurrentTimestamp", "kafkaoffset", "kafkapartition"])
-    return latest_per_key(inside, ["Id", "PartDate"], order, ties=ties)
+
+def version_columns(children: DataFrame) -> list[str]:
+    """What tells the versions of a post apart, as far as the rows carry it."""
+    return _present(children, ["PostCreateDate", "CurrentTimestamp", "kafkaoffset", "kafkapartition"])
 
 
 def children_of_posts(children: DataFrame, posts: DataFrame) -> DataFrame:
-    """Child rows whose post has been merged, under the merged table's key names."""
+    """Child rows, or key rows, whose post has been merged."""
     known = posts.select(F.col("PostId").alias("Id"), F.col("Partdate").cast("date").alias("PartDate"))
-    return match_rows(children, known, ["Id", "PartDate"], "left_semi").withColumnsRenamed(
-        {"Id": "PostId", "PartDate": "Partdate"}
-    )
+    return match_rows(children, known, CHILD_KEY, "left_semi")
 
 
-def replace_children(history: DataFrame | None, new: DataFrame) -> DataFrame:
-    """All rows of the posts in ``new`` replaced, those of other posts kept."""
+def replace_children(history: DataFrame | None, new: DataFrame, posts: DataFrame) -> DataFrame:
+    """History without the rows of the given posts, and the new rows.
+
+    ``posts`` has one row per post key, so the rows are compared to a narrow list.
+    """
     if history is None:
         return new
-    replaced = new.select(*(quoted(k) for k in POST_KEY)).distinct()
-    return union_drift(match_rows(history, replaced, POST_KEY, "left_anti"), new)
+    return union_drift(match_rows(history, posts, POST_KEY, "left_anti"), new)
+
+
+def merge_children(
+    history: DataFrame | None,
+    children: DataFrame,
+    posts: DataFrame,
+    lower: str | date,
+    upper: str | date,
+    order: Sequence[str] | None = None,
+    ties: str = "all",
+) -> DataFrame:
+    """Child table after a delta: the newest version's rows of merged posts replace a post's old ones.
+
+    ``posts`` needs the merged posts' ``PostId`` and ``Partdate``, ``history``
+    holds the touched days. What decides is settled on narrow key rows (newest
+    version per post, then posts that exist), so the wide rows of either side
+    are shuffled once. ``ties="one"`` keeps a single child per post.
+    """
+    inside = with_day(children).where(in_window("PartDate", lower, upper))
+    order = list(order or version_columns(inside))
+    names = {"Id": "PostId", "PartDate": "Partdate"}
+    if ties == "one":
+        new = children_of_posts(latest_per_key(inside, CHILD_KEY, order), posts)
+        replaced = new.select(*CHILD_KEY)
+    else:
+        wanted = children_of_posts(newest_versions(inside, CHILD_KEY, order), posts)
+        new = rows_of_versions(inside, wanted, CHILD_KEY, order)
+        replaced = wanted.select(*CHILD_KEY)
+    return replace_children(history, new.withColumnsRenamed(names), replaced.withColumnsRenamed(names))

@@ -730,7 +730,7 @@ def posts_merge_daily(spark, sf_dir):
     """Posts with their metrics over the posts merged before, all days in one plan."""
     posts, metrics = order_posts(spark, sf_dir), order_metrics(spark, sf_dir)
     delta = merge.join_posts_metrics(posts, metrics, "1995-01-01", "2001-12-31")
-    merged = merge.upsert_posts(order_history(spark, sf_dir), delta)
+    merged = merge.upsert_posts(order_history(spark, sf_dir), delta, history_unique=True)
     return merged.select(
         "PostId",
         "Partdate",
@@ -774,8 +774,7 @@ def child_merge(spark, sf_dir):
     )
     delta = lines.where("l_returnflag <> 'N'")
     history = lines.where("l_returnflag = 'N'").withColumnsRenamed({"Id": "PostId", "PartDate": "Partdate"})
-    new = merge.children_of_posts(merge.newest_children(delta, "1995-01-01", "2001-12-31"), posts)
-    merged = merge.replace_children(history, new)
+    merged = merge.merge_children(history, delta, posts, "1995-01-01", "2001-12-31", order=["PostCreateDate"])
     return merged.select("PostId", "Partdate", "l_linenumber", "l_suppkey", "l_returnflag")
 
 

@@ -7,9 +7,11 @@ batch read of a feed as well as one micro-batch of a stream.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,9 +28,10 @@ from feedfold.operators.schema import (
     find_field,
     infer_json_schema,
     parse_json_rows,
+    quoted,
 )
 from feedfold.operators.split import CHILD_PARTS, PRIMARY, FieldPolicy, split_posts, transform_blogs
-from feedfold.session import scratch_path, staging_path
+from feedfold.session import staging_path
 from feedfold.sources import sinks, tables
 from feedfold.streaming.feeds import BatchHandler
 
@@ -60,9 +63,14 @@ class Parsed:
     unreadable: DataFrame
 
 
-def parse_messages(envelope: DataFrame, name: str, schema: T.StructType | None = None) -> Parsed:
+def parse_messages(
+    envelope: DataFrame, name: str, required: str, schema: T.StructType | None = None
+) -> Parsed:
     """Stage a batch of messages, infer their schema and parse them.
 
+    A message without its ``required`` field could not be keyed, and counts as
+    unreadable.
+
     The feed is read once, into the shared folder: inference, parsing and the
     ledger then see the same messages even if more have arrived since. The
     parsed copy keeps the test for readable rows, and every later reader, from
@@ -78,7 +86,10 @@ def parse_messages(envelope: DataFrame, name: str, schema: T.StructType | None =
         staging_path(spark, f"{name}-raw"),
     )
     fields = schema if schema is not None else infer_json_schema(raw)
-    readable = F.col("value").isNotNull() & F.col(f"_json.{UNPARSED}").isNull()
+    key = find_field(fields, required)
+    readable = F.lit(False)
+    if key is not None:
+        readable = F.col(f"_json.{UNPARSED}").isNull() & quoted("_json", key.name).isNotNull()
     parsed = sinks.stage(
         parse_json_rows(raw, fields).withColumns({"_readable": readable, "_loaded": F.current_timestamp()}),
         staging_path(spark, f"{name}-parsed"),
@@ -107,9 +118,10 @@ def ingest_blogs(
     ledger: str | None = None,
     dead_letters: str | None = None,
     mode: str = "exclude",
+    key: str = "UrlHash",
 ) -> None:
     """Blog messages to the blog delta."""
-    parsed = parse_messages(envelope, run.topic or "blogs")
+    parsed = parse_messages(envelope, run.topic or "blogs", key)
     sinks.write_delta(transform_blogs(parsed.messages, policy, mode), base, run.exec_date, run.exec_time)
     _finish_ingest(parsed, run, dead_letters, ledger)
 
@@ -130,16 +142,15 @@ def ingest_metrics(
     key_fn: KeyFn = url_key,
 ) -> None:
     """Metrics messages to the metrics delta."""
-    parsed = parse_messages(envelope, run.topic or "metrics")
+    parsed = parse_messages(envelope, run.topic or "metrics", "Url")
     sinks.write_delta(flat_metrics(parsed.messages, run.exec_date, key_fn), base, run.exec_date, run.exec_time)
     _finish_ingest(parsed, run, dead_letters, ledger)
 
 
 def keyed_posts(messages: DataFrame, key_fn: KeyFn = url_key) -> DataFrame:
     """Post messages with key and dates."""
-    for name in ("Url", "CreateDate"):
-        if find_field(messages.schema, name) is None:
-            messages = messages.withColumn(name, F.lit(None).cast("string"))
+    if find_field(messages.schema, "CreateDate") is None:
+        messages = messages.withColumn("CreateDate", F.lit(None).cast("string"))
     return derive_post_dates(messages).withColumn("Id", key_fn(F.col("Url")))
 
 
@@ -153,10 +164,15 @@ def ingest_posts(
     key_fn: KeyFn = url_key,
 ) -> None:
     """Post messages to five deltas; ``bases`` names the table of each part."""
-    parsed = parse_messages(envelope, run.topic or "posts")
+    parsed = parse_messages(envelope, run.topic or "posts", "Url")
     posts = keyed_posts(parsed.messages, key_fn)
-    for name, part in split_posts(posts, policy, run.exec_date).items():
-        sinks.write_delta(part, bases(name), run.exec_date, run.exec_time)
+    parts = split_posts(posts, policy, run.exec_date)
+    write = inheritable_thread_target(posts.sparkSession)(
+        lambda name: sinks.write_delta(parts[name], bases(name), run.exec_date, run.exec_time)
+    )
+    # five writes over one staged copy; together they keep the cluster busy
+    with ThreadPoolExecutor(len(parts)) as pool:
+        list(pool.map(write, parts))
     _finish_ingest(parsed, run, dead_letters, ledger)
 
 
@@ -247,7 +263,7 @@ def merge_posts(
         some = days[first : first + step]
         history = tables.read_partitions(spark, merged, POSTS_PARTITION, some)
         delta = joined.where(F.col("PartdatePmd").isin(some)) if step < len(days) else joined
-        table = merge.upsert_posts(history, delta, key_fn)
+        table = merge.upsert_posts(history, delta, key_fn, history_unique=True)
         sinks.replace_partitions(
             table.withColumnRenamed("Partdate", POSTS_PARTITION), merged, [POSTS_PARTITION]
         )
@@ -272,15 +288,10 @@ def merge_child_table(
     posts = tables.read_partitions(spark, merged_posts, POSTS_PARTITION, days)
     if not days or posts is None:
         return MergeReport([], outside)
-    # written once: the new rows say which old ones go, and then join those that stay
-    new = sinks.stage(
-        merge.children_of_posts(merge.newest_children(delta, lower, exec_date, ties=ties), posts),
-        scratch_path(spark, "children"),
-    )
     history = tables.read_partitions(spark, table, POSTS_PARTITION, days)
     if history is not None:
         history = history.withColumnRenamed(POSTS_PARTITION, "Partdate")
-    merged = merge.replace_children(history, new)
+    merged = merge.merge_children(history, delta, posts, lower, exec_date, ties=ties)
     sinks.replace_partitions(
         merged.withColumnRenamed("Partdate", POSTS_PARTITION), table, [POSTS_PARTITION]
     )
