@@ -909,7 +909,7 @@ def blog_jobs(spark, sf_dir):
     )
     feeds_by_day = {"2024-01-01": accounts.drop("Balance"), "2024-01-02": accounts.where("Balance >= 0")}
     for exec_date, records in feeds_by_day.items():
-        run = jobs.Run(exec_date, "01-00", f"Blogs-{place('x')[-16:-2]}", "g")
+        run = jobs.Run(exec_date, "01-00", "Blogs", "g")
         jobs.ingest_blogs(_envelope(records, F.col("Key")), run, policy, place("delta"), place("ledger"), place("dead"))
         jobs.merge_blogs(spark, exec_date, place("delta"), place("snapshots"), clusters=8)
     snapshot = tables.latest_snapshot(spark, place("snapshots"), "2024-01-03")
@@ -936,7 +936,6 @@ def run_post_jobs(spark: SparkSession, sf_dir: str, children: tuple[str, ...] =
     those in part or open, and on both every line item is a metrics message.
     """
     place = _scratch_tables(spark)
-    tag = place("x")[-16:-2]
     records = post_records(spark, sf_dir).withColumn("CreateDate", _year_start("CreateDate"))
     order_posts_of = {"2001-08-01": "Body <> 'O'", "2001-08-02": "Body <> 'F'"}
     lines = table(spark, sf_dir, "lineitem").join(
@@ -951,7 +950,7 @@ def run_post_jobs(spark: SparkSession, sf_dir: str, children: tuple[str, ...] =
     }
     for exec_date, some in order_posts_of.items():
         posts = _envelope(records.where(some), F.col("Metrics.LikeCount"))
-        run = jobs.Run(exec_date, "01-00", f"Posts-{tag}", "g")
+        run = jobs.Run(exec_date, "01-00", "Posts", "g")
         jobs.ingest_posts(posts, run, JOB_POLICY, lambda part: place(f"delta/{part}"), place("ledger/posts"), place("dead/posts"))
         metrics = metric_records[exec_date].select(
             "Url",
@@ -965,7 +964,7 @@ def run_post_jobs(spark: SparkSession, sf_dir: str, children: tuple[str, ...] =
         )
         message = F.to_json(F.struct("Url", "CreateDate", "Metrics")).alias("value")
         envelope = metrics.select(message, F.lit(0).alias("partition"), "offset")
-        run = jobs.Run(exec_date, "01-30", f"Metrics-{tag}", "g")
+        run = jobs.Run(exec_date, "01-30", "Metrics", "g")
         jobs.ingest_metrics(envelope, run, place("delta/Metrics"), place("ledger/metrics"), place("dead/metrics"))
         jobs.merge_posts(spark, exec_date, "1995-01-01", place("delta/Posts"), place("delta/Metrics"), place("Posts"))
         for part in children:

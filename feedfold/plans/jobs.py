@@ -64,9 +64,9 @@ class Parsed:
 
 
 def parse_messages(
-    envelope: DataFrame, name: str, required: str, schema: T.StructType | None = None
+    envelope: DataFrame, target: str, required: str, schema: T.StructType | None = None
 ) -> Parsed:
-    """Stage a batch of messages, infer their schema and parse them.
+    """Stage a batch of messages for a target table, infer their schema and parse them.
 
     A message without its ``required`` field could not be keyed, and counts as
     unreadable.
@@ -83,7 +83,7 @@ def parse_messages(
             F.col("partition").alias("kafkapartition"),
             F.col("offset").alias("kafkaoffset"),
         ),
-        staging_path(spark, f"{name}-raw"),
+        staging_path(spark, "raw", target),
     )
     fields = schema if schema is not None else infer_json_schema(raw)
     key = find_field(fields, required)
@@ -92,7 +92,7 @@ def parse_messages(
         readable = F.col(f"_json.{UNPARSED}").isNull() & quoted("_json", key.name).isNotNull()
     parsed = sinks.stage(
         parse_json_rows(raw, fields).withColumns({"_readable": readable, "_loaded": F.current_timestamp()}),
-        staging_path(spark, f"{name}-parsed"),
+        staging_path(spark, "parsed", target),
     )
     messages = dedupe_columns(
         parsed.where("_readable").select("kafkapartition", "kafkaoffset", "_loaded", "_json.*")
@@ -121,7 +121,7 @@ def ingest_blogs(
     key: str = "UrlHash",
 ) -> None:
     """Blog messages to the blog delta."""
-    parsed = parse_messages(envelope, run.topic or "blogs", key)
+    parsed = parse_messages(envelope, base, key)
     sinks.write_delta(transform_blogs(parsed.messages, policy, mode), base, run.exec_date, run.exec_time)
     _finish_ingest(parsed, run, dead_letters, ledger)
 
@@ -142,7 +142,7 @@ def ingest_metrics(
     key_fn: KeyFn = url_key,
 ) -> None:
     """Metrics messages to the metrics delta."""
-    parsed = parse_messages(envelope, run.topic or "metrics", "Url")
+    parsed = parse_messages(envelope, base, "Url")
     sinks.write_delta(flat_metrics(parsed.messages, run.exec_date, key_fn), base, run.exec_date, run.exec_time)
     _finish_ingest(parsed, run, dead_letters, ledger)
 
@@ -164,7 +164,7 @@ def ingest_posts(
     key_fn: KeyFn = url_key,
 ) -> None:
     """Post messages to five deltas; ``bases`` names the table of each part."""
-    parsed = parse_messages(envelope, run.topic or "posts", "Url")
+    parsed = parse_messages(envelope, bases(PRIMARY), "Url")
     posts = keyed_posts(parsed.messages, key_fn)
     parts = split_posts(posts, policy, run.exec_date)
     write = inheritable_thread_target(posts.sparkSession)(

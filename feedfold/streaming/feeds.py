@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedfold.operators.latest import latest_per_key
+from feedfold.operators.matching import row_salt
 from feedfold.operators.merge import coalesce_merge
 from feedfold.operators.schema import quoted
 from feedfold.session import scratch_path
@@ -44,10 +45,22 @@ def drain_to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "pa
     query.awaitTermination()
 
 
-def dedupe_stream(stream: DataFrame, keys: Sequence[str], event_time: str, horizon: str = "30 days") -> DataFrame:
-    """First message per key; state older than the horizon behind the newest event is let go."""
+def dedupe_stream(
+    stream: DataFrame, keys: Sequence[str], event_time: str, horizon: str = "30 days", salts: int = 8
+) -> DataFrame:
+    """First message per key; state older than the horizon behind the newest event is let go.
+
+    Copies of one message may be much of a batch, and a stateful operator has
+    no partial step. So copies are first dropped per key and salt, in as many
+    tasks as there are salts, and what is left of a key meets after that.
+    ``salts=1`` leaves the first step out.
+    """
     stamped = stream.withColumn("_event_time", quoted(event_time).cast("timestamp"))
-    return stamped.withWatermark("_event_time", horizon).dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
+    unique = stamped.withWatermark("_event_time", horizon)
+    if salts > 1:
+        salted = unique.withColumn("_salt", row_salt(unique, salts))
+        unique = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+    return unique.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
 
 
 def upsert_partitions(

@@ -82,3 +82,13 @@ def test_consumed_files_can_be_archived(spark, tmp_path):
     assert spark.read.parquet(out).select(F.countDistinct("id")).first()[0] == 3
     left = list((tmp_path / "src").glob("*.parquet"))
     assert len(left) < 3 and len(list((tmp_path / "old").rglob("*.parquet"))) == 3 - len(left)
+
+
+def test_dedupe_without_salts_gives_the_same(spark, tmp_path):
+    src = str(tmp_path / "src")
+    _write(spark, src, [_row(i % 5, 1, "a", i) for i in range(50)])
+    for salts in (1, 8):
+        out = str(tmp_path / f"out{salts}")
+        unique = feeds.dedupe_stream(kafka.file_feed(spark, src, SCHEMA), ["id"], "ts", salts=salts)
+        feeds.drain_to_files(unique, out, str(tmp_path / f"ckpt{salts}"))
+        assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4]
