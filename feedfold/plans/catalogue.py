@@ -238,6 +238,22 @@ def dedupe_columns(spark, sf_dir):
     return schema.dedupe_columns(twice)
 
 
+@query(
+    """SELECT event_id, event_type <> 'error' AS readable,
+              CASE WHEN event_type <> 'error' THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+              CASE WHEN event_type = 'error' THEN 'broken ' || props END AS text
+       FROM events"""
+)
+def unreadable_messages(spark, sf_dir):
+    """Messages of which some are no JSON: left out of the schema, kept with their text."""
+    events = table(spark, sf_dir, "events").withColumn(
+        "value", F.when(F.col("event_type") == "error", F.concat(F.lit("broken "), "props")).otherwise(F.col("props"))
+    )
+    parsed = schema.parse_json_rows(events, schema.infer_json_schema(events))
+    text = F.col(f"_json.{schema.UNPARSED}")
+    return parsed.select("event_id", text.isNull().alias("readable"), "_json.k", text.alias("text"))
+
+
 # --- keys, classes, dates ---------------------------------------------------
 
 @query("SELECT page_id, md5(url) AS id, substring(sha1(url), 1, 32) AS id_sha1, substring(sha256(url), 1, 32) AS id_sha256 FROM pages")
@@ -421,6 +437,34 @@ def struct_part_flatten(spark, sf_dir):
     return reshape.flatten_struct(boxed, "Info", keys=["Id"])
 
 
+@query('SELECT o_orderkey AS "Key", o_custkey AS "AccountId", o_totalprice AS "SumPrice" FROM orders')
+def keyed_structs_flatten(spark, sf_dir):
+    """Several structs with their names in front, next to the keys alone."""
+    boxed = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("Key"),
+        F.struct(F.col("o_custkey").alias("Id")).alias("Account"),
+        F.struct(F.col("o_totalprice").alias("Price")).alias("Sum"),
+        "o_orderstatus",
+    )
+    return reshape.flatten_structs(boxed, ["Account", "Sum"], keys=["Key"])
+
+
+@query(
+    f"""WITH {POSTS_SQL}
+        SELECT c_nationkey AS "BlogType", o_orderstatus AS "Kind", count(*) AS rows
+        FROM posts WHERE o_orderstatus <> 'F' GROUP BY 1, 2
+        UNION ALL
+        SELECT c_nationkey, 'extra', count(*) FROM posts WHERE o_orderstatus = 'O' GROUP BY 1
+        UNION ALL
+        SELECT c_nationkey, NULL, count(*) FROM posts WHERE o_orderstatus = 'F' GROUP BY 1"""
+)
+def parts_join(spark, sf_dir):
+    """Child rows joined to their primary rows, counted by columns of both."""
+    parts = split.split_posts(keyed_posts(spark, sf_dir), POST_POLICY, "2001-08-01")
+    both = parts[split.PRIMARY].select("Id", "BlogType").join(parts[split.ATTACHMENTS].select("Id", "Kind"), "Id")
+    return both.groupBy("BlogType", "Kind").agg(F.count("*").alias("rows"))
+
+
 @query(
     """SELECT conv_id, turn, CAST(i - 1 AS INTEGER) AS "No", lines[i] AS "Text", CAST(length(lines[i]) AS INTEGER) AS "Length"
        FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS lines FROM conversations),
@@ -835,6 +879,42 @@ def delta_roundtrip(spark, sf_dir):
     return tables.read_delta(spark, base, "2024-01-31").select("event_id", "who", "kind")
 
 
+@query(
+    """SELECT event_id, CAST(ts AS DATE) AS day, event_type FROM events
+       WHERE CAST(ts AS DATE) IN (DATE '2024-01-02', DATE '2024-01-09', DATE '2024-01-30')"""
+)
+def partition_scan(spark, sf_dir):
+    """Named days of a table partitioned by day; a day it does not have is no error."""
+    path = scratch_path(spark, "days")
+    events = table(spark, sf_dir, "events").select("event_id", day("ts").alias("day"), "event_type")
+    sinks.replace_partitions(events, path, ["day"])
+    wanted = [date(2024, 1, 2), date(2024, 1, 9), date(2024, 1, 30), date(2024, 2, 1)]
+    return tables.read_partitions(spark, path, "day", wanted).select("event_id", "day", "event_type")
+
+
+@query(
+    """WITH runs AS (SELECT CAST(user_id % 4 AS INTEGER) AS kafkapartition, max(event_id) AS o,
+                            event_type IN ('view', 'click') OR user_id % 4 = 3 AS early
+                     FROM events GROUP BY ALL)
+       SELECT 'Events' AS topic, kafkapartition, coalesce(max(CASE WHEN NOT early THEN o END), max(o)) + 1 AS nextoffset
+       FROM runs GROUP BY ALL"""
+)
+def ledger_roundtrip(spark, sf_dir):
+    """Two runs in the ledger on storage, the second written twice; where each partition goes on.
+
+    The last partition is idle in the second run.
+    """
+    path = scratch_path(spark, "ledger")
+    messages = table(spark, sf_dir, "events").select(
+        F.pmod("user_id", F.lit(4)).cast("int").alias("kafkapartition"), F.col("event_id").alias("kafkaoffset"), "event_type"
+    )
+    early = F.col("event_type").isin("view", "click") | (F.col("kafkapartition") == 3)
+    sinks.append_ledger(run_offsets(messages.where(early), "Events", "g", "2024-01-30", "23-00"), path)
+    for _ in range(2):
+        sinks.append_ledger(run_offsets(messages.where(~early), "Events", "g", "2024-01-31", "01-00"), path)
+    return next_offsets(sinks.read_ledger(spark, path))
+
+
 # --- streams ----------------------------------------------------------------
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -853,7 +933,7 @@ def stream_drain(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query(UPSERT_SQL.replace("h.label", "h.label"))
+@query(UPSERT_SQL)
 def stream_upsert(spark, sf_dir):
     """Two feeds drained one after the other into a table partitioned by day."""
     path = scratch_path(spark, "upserted")
@@ -875,6 +955,33 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query(
+    """SELECT 'https://vk.com/' || user_id AS metricsurl, md5('https://vk.com/' || user_id) AS id,
+              CAST(json_extract(props, '$.k') AS BIGINT) AS likes, CAST(user_id % 4 AS INTEGER) AS kafkapartition,
+              event_id AS kafkaoffset, strftime(ts, '%Y-%m-%d') AS partdate
+       FROM events"""
+)
+def stream_ingest(spark, sf_dir):
+    """A drained feed of metrics messages through the ingest job, batch by batch."""
+    place = _scratch_tables(spark)
+    url = F.concat(F.lit("https://vk.com/"), F.col("user_id").cast("string"))
+    message = F.struct(
+        url.alias("Url"),
+        F.date_format("ts", "yyyy-MM-dd").alias("CreateDate"),
+        F.struct(F.get_json_object("props", "$.k").cast("bigint").alias("LikeCount")).alias("Metrics"),
+    )
+    envelope = _event_stream(spark, sf_dir).select(
+        F.to_json(message).alias("value"),
+        F.pmod("user_id", F.lit(4)).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+    )
+    ingest = lambda batch, run: jobs.ingest_metrics(batch, run, place("delta"), place("ledger"), place("dead"))
+    feeds.drain(envelope, jobs.ingest_handler(ingest, "2024-01-31", "Metrics", "g"), place("checkpoint"))
+    return tables.read_delta(spark, place("delta"), "2024-01-31").select(
+        "metricsurl", "id", "likes", "kafkapartition", "kafkaoffset", "partdate"
+    )
+
+
 # --- jobs -------------------------------------------------------------------
 
 def _envelope(records: DataFrame, offset: Column) -> DataFrame:

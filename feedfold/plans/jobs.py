@@ -205,6 +205,8 @@ def merge_blogs(
     """
     delta = tables.read_delta(spark, blogs, exec_date)
     history = tables.latest_snapshot(spark, snapshots, exec_date)
+    if history is not None:
+        history = history.drop("partition_key")
     if delta is None and history is None:
         return
     order, tiebreak = ["CurrentTimestamp", "MergeDate"], ["kafkaoffset", "kafkapartition"]

@@ -14,6 +14,16 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+# Spark type -> DuckDB type.
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+}
+
 
 def oracle_rows(sf_dir, sql):
     con = duckdb.connect()
@@ -21,7 +31,9 @@ def oracle_rows(sf_dir, sql):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
-    return names, cursor.fetchall(), [str(d[1]) for d in cursor.description]
+    rows = cursor.fetchall()
+    types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return names, rows, types
 
 
 def canonical(names, rows):
@@ -34,13 +46,17 @@ def compare(spark, sf_dir, fn, sql):
     """None if both sides agree, else what differs."""
     df = fn(spark, sf_dir)
     got = [tuple(r) for r in df.collect()]
-    names, want, _ = oracle_rows(sf_dir, sql)
+    names, want, types = oracle_rows(sf_dir, sql)
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
+    ours = {f.name: f.dataType.simpleString() for f in df.schema}
+    clash = {n: (ours[n], types[n]) for n in names if SQL_TYPES.get(ours[n]) != types[n]}
+    if clash:
+        return f"types {clash}"
     if len(got) != len(want):
         return f"{len(got)} rows, SQL has {len(want)}"
-    ours, theirs = canonical(df.columns, got), canonical(names, want)
-    bad = [(a, b) for a, b in zip(ours, theirs) if a != b]
+    pairs = zip(canonical(df.columns, got), canonical(names, want))
+    bad = [(a, b) for a, b in pairs if a != b]
     return f"{len(bad)} rows differ, first {bad[0]}" if bad else None
 
 
@@ -55,7 +71,7 @@ def main():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("ORACLE_TZ", "UTC"))
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )
