@@ -195,12 +195,13 @@ def merge_blogs(
     exec_date: str | date,
     blogs: str,
     snapshots: str,
-    clusters: int = 255,
+    clusters: int | None = None,
     key: str = "UrlHash",
 ) -> None:
     """A day's blog delta over the newest older snapshot, as that day's snapshot.
 
-    Without any older snapshot the delta alone is the snapshot; history that
+    The snapshot is written in ``clusters`` files by key hash; unless given,
+    that is the number of shuffle partitions the cluster is set to. Without any older snapshot the delta alone is the snapshot; history that
     cannot be read is an error.
     """
     delta = tables.read_delta(spark, blogs, exec_date)
@@ -209,6 +210,7 @@ def merge_blogs(
         history = history.drop("partition_key")
     if delta is None and history is None:
         return
+    clusters = clusters or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order, tiebreak = ["CurrentTimestamp", "MergeDate"], ["kafkaoffset", "kafkapartition"]
     if delta is None:
         merged = sinks.cluster_by(history, clusters, ["AccountId"])
