@@ -12,15 +12,21 @@ from pyspark.sql import types as T
 from feedfold.operators.schema import quoted
 
 
-def row_salt(df: DataFrame, salts: int) -> Column:
+def row_salt(df: DataFrame, salts: int, keys: Sequence[str] = ()) -> Column:
     """A number below ``salts`` that spreads the rows of any one key.
 
-    Content alone would put copies of a row together, the task's partition
-    alone would put a pre-shuffled key together; the sum spreads both. A
-    retried task computes the same salts.
+    The task's partition spreads rows that lie across a table, copies of one
+    row included; a hash of two narrow columns spreads those that an earlier
+    shuffle has brought together. Wide columns are left alone, so that a scan
+    need not read them for this. A retried task computes the same salts.
     """
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType))]
-    content = F.xxhash64(*(quoted(c) for c in plain)) if plain else F.lit(0)
+    taken = {k.lower() for k in keys}
+    narrow = [
+        f.name
+        for f in df.schema.fields
+        if isinstance(f.dataType, (T.NumericType, T.DatetimeType)) and f.name.lower() not in taken
+    ]
+    content = F.xxhash64(*(quoted(c) for c in narrow[:2])) if narrow else F.lit(0)
     return F.pmod(content + F.spark_partition_id(), F.lit(salts)).cast("int")
 
 
@@ -38,7 +44,7 @@ def match_rows(
     names = [f"_k{i}" for i in range(len(on))]
     wanted = keys.select(*(quoted(c).alias(n) for c, n in zip(on, names)))
     wanted = wanted.withColumn("_ks", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = rows.withColumn("_salt", row_salt(rows, salts))
+    salted = rows.withColumn("_salt", row_salt(rows, salts, on))
     same = [F.col("_salt") == F.col("_ks")]
     same += [quoted(c).eqNullSafe(F.col(n)) for c, n in zip(on, names)]
     return salted.join(wanted, reduce(Column.__and__, same), how).drop("_salt")

@@ -51,8 +51,8 @@ def window_profile(
 # --- keyed snapshot --------------------------------------------------------
 
 def unchanged_history(history: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """History rows whose key the delta does not have."""
-    return history.join(delta.select(*(quoted(k) for k in keys)), list(keys), "left_anti")
+    """History rows whose key the delta, with a key once, does not have."""
+    return match_rows(history, delta, keys, "left_anti")
 
 
 def snapshot_merge(
@@ -68,10 +68,11 @@ def snapshot_merge(
     A delta row replaces a history row as a whole. Columns and types may
     differ between the two sides.
 
-    Without ``clusters`` this is an anti join and a union; Spark broadcasts
-    the delta's keys where they turn out small. With ``clusters`` the result
-    has that many partitions by key hash, ready to be written as such: both
-    sides go through a single exchange and meet there, so history is not
+    Without ``clusters`` this is an anti join and a union, and history may
+    hold a key any number of times; Spark broadcasts the delta's keys where
+    they turn out small. With ``clusters`` history holds a key once, and the
+    result has that many partitions by key hash, ready to be written as such:
+    both sides go through a single exchange and meet there, so history is not
     shuffled once for the join and again for the layout.
     """
     newest = latest_per_key(delta, keys, order, tiebreak=tiebreak)

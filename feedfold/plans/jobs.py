@@ -90,9 +90,10 @@ def parse_messages(
     readable = F.lit(False)
     if key is not None:
         readable = F.col(f"_json.{UNPARSED}").isNull() & quoted("_json", key.name).isNotNull()
+    flagged = parse_json_rows(raw, fields).withColumns({"_readable": readable, "_loaded": F.current_timestamp()})
+    # the text of a readable message is not needed twice
     parsed = sinks.stage(
-        parse_json_rows(raw, fields).withColumns({"_readable": readable, "_loaded": F.current_timestamp()}),
-        staging_path(spark, "parsed", target),
+        flagged.withColumn("value", F.when(~F.col("_readable"), F.col("value"))), staging_path(spark, "parsed", target)
     )
     messages = dedupe_columns(
         parsed.where("_readable").select("kafkapartition", "kafkaoffset", "_loaded", "_json.*")

@@ -58,7 +58,7 @@ def dedupe_stream(
     stamped = stream.withColumn("_event_time", quoted(event_time).cast("timestamp"))
     unique = stamped.withWatermark("_event_time", horizon)
     if salts > 1:
-        salted = unique.withColumn("_salt", row_salt(unique, salts))
+        salted = unique.withColumn("_salt", row_salt(unique, salts, keys))
         unique = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
     return unique.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
 

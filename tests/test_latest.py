@@ -65,6 +65,13 @@ def test_a_key_with_most_rows_is_spread(spark, tmp_path):
     assert len(per_salt) == 8 and max(r["count"] for r in per_salt) < 60_000 / 4
 
 
+def test_salts_read_no_wide_columns(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([("k", 1, "long text", 5)], "k string, d int, body string, n bigint").write.parquet(path)
+    newest = latest_per_key(spark.read.parquet(path), ["k"], ["d"], ties="all").select("k", "n")
+    assert "body" not in newest._jdf.queryExecution().executedPlan().toString()
+
+
 def test_aqe_splits_what_salting_leaves(spark, tmp_path):
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
