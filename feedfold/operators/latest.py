@@ -48,7 +48,7 @@ def latest_per_key(
         used = {c.lower() for c in (*keys, *order)}
         tiebreak = [f.name for f in df.schema.fields if f.name.lower() not in used and _orderable(f.dataType)]
     window = Window.partitionBy(*(quoted(k) for k in keys)).orderBy(
-        *(quoted(c).desc_nulls_last() for c in (*order, *tiebreak))
+        *(quoted(c).desc_nulls_last() for c in ([*order, *tiebreak] or keys))
     )
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 

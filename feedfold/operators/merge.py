@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,13 +87,26 @@ def snapshot_merge(
 
 # --- column-wise upsert ----------------------------------------------------
 
-def first_present(df: DataFrame, names: Sequence[str], dtype: T.DataType | None = None) -> Column:
-    """First non-null of the columns the frame has, brought to one type."""
+def first_present(df: DataFrame, names: Sequence[str], default: T.DataType) -> Column:
+    """First non-null of the columns the frame has, in a type all of them fit in.
+
+    A frame with none of them gives nulls of the default type.
+    """
+    own = [f for n in names if (f := find_field(df.schema, n)) is not None]
+    if not own:
+        return F.lit(None).cast(default)
+    dtype = reduce(widen, (f.dataType for f in own))
+    return F.coalesce(*(align_column(quoted(f.name), f.dataType, dtype) for f in own))
+
+
+def greatest_present(df: DataFrame, names: Sequence[str], default: T.DataType) -> Column:
+    """Greatest of the columns the frame has, nulls passed over."""
     own = [f for n in names if (f := find_field(df.schema, n)) is not None]
-    if dtype is None:
-        dtype = merged_schema([T.StructType([T.StructField("v", f.dataType)]) for f in own])["v"].dataType if own else T.StringType()
+    if not own:
+        return F.lit(None).cast(default)
+    dtype = reduce(widen, (f.dataType for f in own))
     values = [align_column(quoted(f.name), f.dataType, dtype) for f in own]
-    return F.coalesce(*values) if values else F.lit(None).cast(dtype)
+    return F.greatest(*values) if len(values) > 1 else values[0]
 
 
 def coalesce_merge(history: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -200,7 +214,6 @@ def join_posts_metrics(
     """
     posts = with_day(posts).where(in_window("PartDate", lower, upper))
     metrics = with_day(metrics).where(in_window("PartDate", lower, upper))
-    embedded = find_field(posts.schema, "MetricsTimestamp")
     posts = latest_per_key(
         posts,
         ["Id", "PartDate"],
@@ -213,25 +226,17 @@ def join_posts_metrics(
         _present(metrics, ["MetricsTimestamp", "CurrentTimestamp"]),
         tiebreak=_present(metrics, ["KafkaOffset", "KafkaPartition"]) or None,
     )
-    post_columns = posts.columns
-    metrics = suffix_collisions(metrics, post_columns, "Metrics")
+    metrics = suffix_collisions(metrics, posts.columns, "Metrics")
     joined = posts.join(
         metrics,
         (F.col("Id") == F.col("IdMetrics")) & (F.col("PartDate") == F.col("PartDateMetrics")),
         "full_outer",
     )
-    stamps = ["MetricsTimestamp", *(["MetricsTimestampMetrics"] if embedded is not None else [])]
-    stamp_type = None
-    for name in stamps:
-        own = find_field(joined.schema, name).dataType
-        stamp_type = own if stamp_type is None else widen(stamp_type, own)
-    stamp_columns = [align_column(quoted(n), find_field(joined.schema, n).dataType, stamp_type) for n in stamps]
-    newest_stamp = F.greatest(*stamp_columns) if len(stamp_columns) > 1 else stamp_columns[0]
     derived = {
         "PartdatePmd": F.coalesce(F.col("PartDate"), F.col("PartDateMetrics")),
         "PostId": F.coalesce(F.col("Id"), F.col("IdMetrics")),
-        "MetricsTimestamp": newest_stamp,
-        **{out: first_present(joined, sources) for out, sources in COUNT_SOURCES.items()},
+        "MetricsTimestamp": greatest_present(joined, ["MetricsTimestamp", "MetricsTimestampMetrics"], T.StringType()),
+        **{out: first_present(joined, sources, T.LongType()) for out, sources in COUNT_SOURCES.items()},
     }
     working = {"id", "idmetrics", "partdate", "partdatemetrics", "metricstimestamp", "metricstimestampmetrics"}
     working |= {stream.lower() for stream, _ in COUNT_SOURCES.values()}

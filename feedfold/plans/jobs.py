@@ -1,7 +1,9 @@
 """The jobs, from message envelope to accumulated tables.
 
 Ingest jobs take an envelope frame ``value, partition, offset`` and serve a
-batch read of a feed as well as one micro-batch of a stream.
+batch read of a feed as well as one micro-batch of a stream. The schema is
+inferred from each batch unless one is given; then a message that does not fit
+it counts as unreadable.
 """
 
 from __future__ import annotations
@@ -120,9 +122,10 @@ def ingest_blogs(
     dead_letters: str | None = None,
     mode: str = "exclude",
     key: str = "UrlHash",
+    schema: T.StructType | None = None,
 ) -> None:
     """Blog messages to the blog delta."""
-    parsed = parse_messages(envelope, base, key)
+    parsed = parse_messages(envelope, base, key, schema)
     sinks.write_delta(transform_blogs(parsed.messages, policy, mode), base, run.exec_date, run.exec_time)
     _finish_ingest(parsed, run, dead_letters, ledger)
 
@@ -141,9 +144,10 @@ def ingest_metrics(
     ledger: str | None = None,
     dead_letters: str | None = None,
     key_fn: KeyFn = url_key,
+    schema: T.StructType | None = None,
 ) -> None:
     """Metrics messages to the metrics delta."""
-    parsed = parse_messages(envelope, base, "Url")
+    parsed = parse_messages(envelope, base, "Url", schema)
     sinks.write_delta(flat_metrics(parsed.messages, run.exec_date, key_fn), base, run.exec_date, run.exec_time)
     _finish_ingest(parsed, run, dead_letters, ledger)
 
@@ -163,9 +167,10 @@ def ingest_posts(
     ledger: str | None = None,
     dead_letters: str | None = None,
     key_fn: KeyFn = url_key,
+    schema: T.StructType | None = None,
 ) -> None:
     """Post messages to five deltas; ``bases`` names the table of each part."""
-    parsed = parse_messages(envelope, bases(PRIMARY), "Url")
+    parsed = parse_messages(envelope, bases(PRIMARY), "Url", schema)
     posts = keyed_posts(parsed.messages, key_fn)
     parts = split_posts(posts, policy, run.exec_date)
     write = inheritable_thread_target(posts.sparkSession)(

@@ -5,6 +5,7 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedfold.functions import url_key
 from feedfold.operators import split as P
@@ -78,6 +79,16 @@ def test_unreadable_and_unkeyed_messages_go_to_dead_letters_and_count_in_the_led
     assert empty is None or empty.count() == 0
 
 
+def test_messages_that_do_not_fit_a_given_schema_are_unreadable(spark, tmp_path):
+    delta, dead = str(tmp_path / "delta"), str(tmp_path / "dead")
+    schema = T.StructType.fromDDL("Url string, Metrics struct<LikeCount:bigint>")
+    texts = ['{"Url":"u","Metrics":{"LikeCount":1},"More":2}', '{"Url":"v","Metrics":{"LikeCount":"many"}}']
+    feed = envelope(spark.createDataFrame([(t,) for t in texts], "value string"))
+    jobs.ingest_metrics(feed, _run("2024-01-01"), delta, dead_letters=dead, schema=schema)
+    assert [r["metricsurl"] for r in tables.read_delta(spark, delta, "2024-01-01").collect()] == ["u"]
+    assert [r["value"] for r in tables.read_delta(spark, dead, "2024-01-01").collect()] == [texts[1]]
+
+
 def test_metrics_in_two_halves(spark, tmp_path):
     delta = str(tmp_path / "delta")
     for time, likes in (("10-00", 10), ("12-00", 50)):

@@ -142,6 +142,14 @@ def test_posts_without_any_embedded_columns(spark):
     assert row["LikesCount"] == 5 and row["ViewsCount"] is None
 
 
+def test_frames_with_keys_alone(spark):
+    p = spark.createDataFrame([("p", d(1), "u")], "Id string, PartDate date, Url string")
+    m = spark.createDataFrame([("q", d(2))], "Id string, PartDate date")
+    delta = M.join_posts_metrics(p, m, "2024-01-01", "2024-01-05")
+    merged = M.upsert_posts(None, delta)
+    assert merged.count() == 2 and dict(merged.dtypes)["CommentsCount"] == "bigint"
+
+
 def test_first_and_later_runs_have_one_schema_and_values_carry_over(spark):
     posts = [("p", d(1), "https://t.me/1", "c", "https://t.me/0", 1, 2, None, _ts(1), "e1", 1)]
     metrics = [("p", "2024-01-01", 10, None, None, None, "t1", _ts(1), "b", 3, "e1", 1)]

@@ -46,6 +46,21 @@ def test_align_arrays_of_structs_and_scalars(spark):
     assert row["s"]["v"] == ["3"]
 
 
+def test_align_arrays_in_arrays(spark):
+    df = spark.createDataFrame(
+        [([[(1,)], None, []], [([(2,)],)])], "a array<array<struct<x:int>>>, b array<struct<c:array<struct<y:int>>>>"
+    )
+    row = S.align_to(df, ddl("a array<array<struct<x:bigint,z:string>>>, b array<struct<c:array<struct<n:string,y:int>>,e:int>>")).first()
+    assert row["a"][0][0].asDict() == {"x": 1, "z": None} and row["a"][1] is None and row["a"][2] == []
+    assert row["b"][0].asDict(recursive=True) == {"c": [{"n": None, "y": 2}], "e": None}
+
+
+def test_align_maps(spark):
+    df = spark.createDataFrame([({"k": (1,)},), (None,)], "m map<string,struct<x:int>>")
+    rows = S.align_to(df, ddl("m map<string,struct<x:int,y:string>>")).collect()
+    assert rows[0]["m"]["k"].asDict() == {"x": 1, "y": None} and rows[1]["m"] is None
+
+
 def test_align_clashing_scalars(spark):
     df = spark.createDataFrame([("12", 7), ("x", 8)], "a string, b bigint")
     rows = S.align_to(df, ddl("a bigint, b string")).collect()
