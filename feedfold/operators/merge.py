@@ -312,7 +312,7 @@ def version_columns(children: DataFrame) -> list[str]:
 def children_of_posts(children: DataFrame, posts: DataFrame) -> DataFrame:
     """Child rows, or key rows, whose post has been merged."""
     known = posts.select(F.col("PostId").alias("Id"), F.col("Partdate").cast("date").alias("PartDate"))
-    return match_rows(children, known, CHILD_KEY, "left_semi")
+    return children.join(known, list(CHILD_KEY), "left_semi")
 
 
 def replace_children(history: DataFrame | None, new: DataFrame, posts: DataFrame) -> DataFrame:
