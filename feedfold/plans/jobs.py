@@ -250,11 +250,14 @@ def merge_posts(
     key_fn: KeyFn = url_key,
     fmt: str = "parquet",
     max_days: int | None = None,
+    rebalance: bool = True,
 ) -> MergeReport:
     """A day's posts and metrics into the merged posts table.
 
     All touched days are merged in one plan and written at once; ``max_days``
-    bounds the days per write where a cluster is small.
+    bounds the days per write where a cluster is small. Rebalancing sizes the
+    files at the cost of a shuffle; a table so large that every task fills a
+    file per day can do without.
     """
     post_delta = tables.read_delta(spark, posts, exec_date, fmt)
     metric_delta = tables.read_delta(spark, metrics, exec_date, fmt)
@@ -275,7 +278,7 @@ def merge_posts(
         delta = joined.where(F.col("PartdatePmd").isin(some)) if step < len(days) else joined
         table = merge.upsert_posts(history, delta, key_fn, history_unique=True)
         sinks.replace_partitions(
-            table.withColumnRenamed("Partdate", POSTS_PARTITION), merged, [POSTS_PARTITION]
+            table.withColumnRenamed("Partdate", POSTS_PARTITION), merged, [POSTS_PARTITION], rebalance
         )
     return MergeReport(days, outside)
 
@@ -288,6 +291,7 @@ def merge_child_table(
     merged_posts: str,
     table: str,
     ties: str = "all",
+    rebalance: bool = True,
 ) -> MergeReport:
     """A day's child rows of one kind into their table."""
     delta = tables.read_delta(spark, children, exec_date)
@@ -303,7 +307,7 @@ def merge_child_table(
         history = history.withColumnRenamed(POSTS_PARTITION, "Partdate")
     merged = merge.merge_children(history, delta, posts, lower, exec_date, ties=ties)
     sinks.replace_partitions(
-        merged.withColumnRenamed("Partdate", POSTS_PARTITION), table, [POSTS_PARTITION]
+        merged.withColumnRenamed("Partdate", POSTS_PARTITION), table, [POSTS_PARTITION], rebalance
     )
     return MergeReport(days, outside)
 

@@ -187,7 +187,7 @@ def test_metrics_alone_make_a_first_run(spark, tmp_path):
     delta, merged = str(tmp_path / "delta"), str(tmp_path / "merged")
     text = json.dumps({"Url": URL, "CreateDate": "2024-01-01", "Metrics": {"LikeCount": 4}})
     jobs.ingest_metrics(envelope(spark.createDataFrame([(text,)], "value string")), _run("2024-01-01"), delta)
-    report = jobs.merge_posts(spark, "2024-01-01", "2023-12-01", str(tmp_path / "none"), delta, merged)
+    report = jobs.merge_posts(spark, "2024-01-01", "2023-12-01", str(tmp_path / "none"), delta, merged, rebalance=False)
     assert report.days == [date(2024, 1, 1)]
     assert spark.read.parquet(merged).first()["MetricsLikesCount"] == 4
 
