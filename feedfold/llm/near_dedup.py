@@ -1,9 +1,11 @@
 """Near duplicates by MinHash: many universal hash minima, banding, exact verification, large-star and small-star.
 
 Equal shingle sets are one class, of which one row goes on. Rows that share a band of minima share a bucket. Within
-a bucket not all pairs are tested: first each row is tested against the most central row it shares a bucket with,
-then only rows of different components, by growing blocks of rows outside a bucket's largest component. The last
-block has all of those, so each pair of a bucket is tested or already connected. Tests compare full shingle sets.
+a bucket not all pairs are tested. First each row is tested against the bucket's lead p, its most central row. If two other rows
+x, y are similar, then either all they share is in p, so both share enough with p, which the tests have counted; or they share
+a shingle that p lacks, and such shingles are buckets of their own. So pairs are tested only where one of the two holds and
+components differ, by growing blocks of rows outside a bucket's largest component; no similar pair of a bucket is
+lost, and a large group of near copies stays far from all its pairs. Tests compare full shingle sets.
 """
 
 from __future__ import annotations
@@ -22,7 +24,8 @@ from feedfold.llm.common import components, join_spread, stage, with_group
 SHINGLE = 4
 BANDS, ROWS = 32, 6  # a pair at 0.8 shares no bucket with a chance of 6e-5
 PER_CENT = 80
-BLOCK = 8
+BLOCK = 256
+ANY = 1 << 40
 CACHE_WORDS = 400_000
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
@@ -120,24 +123,32 @@ def signatures(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: i
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, size: int, per_cent: int) -> DataFrame:
-    """Of the pairs (a, b) those whose full shingle sets are similar enough; b's text goes to the salts that need it."""
+def _compared(pairs: DataFrame, texts: DataFrame, size: int, rest: bool = False) -> DataFrame:
+    """a, b, common, n_a, n_b of pairs (a, b), counted on full shingle sets; with rest, the hashes of a's shingles that b lacks."""
     left = join_spread(pairs, texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), ["a"], ["b"], 32)
     both = join_spread(left, texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), ["b"], ["a"], 32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, set()
         for batch in batches:
-            keep = []
+            out = []
             for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if tb != last:
                     last, held = tb, shingle_set(tb, size)
                 own = shingle_set(ta, size)
-                common = len(own & held)
-                keep.append(common > 0 and 100 * common >= per_cent * (len(own) + len(held) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                lacks = [xxhash.xxh64_intdigest(b" ".join(x)) - (1 << 63) for x in own - held] if rest else []
+                out.append((len(own & held), len(own), len(held), lacks))
+            common, na, nb, lacks = zip(*out) if out else [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in (common, na, nb)), pa.array(lacks, pa.list_(pa.int64()))],
+                names=["a", "b", "common", "n_a", "n_b", "rest"],
+            )
+
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, common long, n_a long, n_b long, rest array<long>")
+
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+def _similar(compared: DataFrame, per_cent: int) -> DataFrame:
+    return compared.where(f"common > 0 AND 100 * common >= {per_cent} * (n_a + n_b - common)").select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, per_cent: int = PER_CENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -169,26 +180,38 @@ def _linked(shared: DataFrame, texts: DataFrame, size: int, per_cent: int) -> Da
     weighed = shared.select("bucket", "doc").join(central, "doc")
     best = F.max(F.struct("weight", (-F.col("doc")).alias("low")))
     led = with_group(weighed, ["bucket"], ["doc"], {"lead": best}, {"lead": F.max("lead")})
-    first = led.where(F.col("doc") != -F.col("lead.low")).groupBy("doc").agg(F.max("lead").alias("lead"))
+    led = stage(led.select("bucket", "doc", (-F.col("lead.low")).alias("lead")).where("doc <> lead"), "led")
+    tests = stage(_compared(led.select(F.col("doc").alias("a"), F.col("lead").alias("b")).distinct(), texts, size, rest=True), "tests")
+    links = _similar(tests, per_cent).distinct()
+    tested = tests.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    # what each row shares with its lead; a doc_id of several texts may share anything
+    with_lead = tests.groupBy(F.col("a").alias("doc"), F.col("b").alias("lead")).agg(
+        F.when(F.count("*") > 1, F.lit(ANY)).otherwise(F.max("common")).alias("common"), F.max("n_a").alias("n")
+    )
+    inside = join_spread(led, with_lead, ["doc", "lead"], ["bucket"], 8).select("bucket", "doc", "common", "n")
+    outside = tests.select(F.col("a").alias("doc"), "b", F.explode("rest").alias("s")).select(
+        F.xxhash64("b", "s").alias("bucket"), "doc", F.lit(ANY).alias("common"), F.lit(0).cast("long").alias("n")
+    )
+    state = stage(inside.unionByName(outside.distinct()), "state")
     ordered = (F.greatest("doc", "pivot").alias("a"), F.least("doc", "pivot").alias("b"))
-    tested = stage(first.select("doc", (-F.col("lead.low")).alias("pivot")).select(F.col("doc").alias("a"), F.col("pivot").alias("b")), "pairs")
-    links = stage(_similar(tested, texts, size, per_cent), "similar")
-    tested = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    possible = (F.col("component") != F.col("other")) & ((100 + per_cent) * F.least("common", "common_other") >= per_cent * (F.col("n") + F.col("n_other")))
     block = BLOCK
     while True:
         found = components(links, "a", "b").select(F.col("node").alias("doc"), "component")
-        state = shared.select("bucket", "doc").join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-        mixed = with_group(state, ["bucket"], ["doc"], {"lo": F.min("component"), "hi": F.max("component")}, {"lo": F.min("lo"), "hi": F.max("hi")})
-        open_ = stage(mixed.where("lo <> hi").select("bucket", "doc", "component"), "open")
+        now = state.join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        mixed = with_group(now, ["bucket"], ["doc"], {"lo": F.min("component"), "hi": F.max("component")}, {"lo": F.min("lo"), "hi": F.max("hi")})
+        open_ = stage(mixed.where("lo <> hi").select("bucket", "doc", "component", "common", "n"), "open")
         size_of = open_.groupBy("bucket", "component").count()
         largest = size_of.groupBy("bucket").agg(F.max(F.struct("count", "component"))["component"].alias("largest"))
         minor = join_spread(open_, largest, ["bucket"], ["doc"]).where("component <> largest")
         order = Window.partitionBy("bucket").orderBy(F.xxhash64("doc", F.lit(block)), "doc")
-        ranked = minor.select("bucket", F.col("doc").alias("pivot"), F.col("component").alias("other"), F.row_number().over(order).alias("rank"))
+        ranked = minor.select(
+            "bucket", F.col("doc").alias("pivot"), F.col("component").alias("other"), F.col("common").alias("common_other"), F.col("n").alias("n_other"), F.row_number().over(order).alias("rank")
+        )
         pivots = stage(ranked.where(F.col("rank") <= block + 1), "pivots")
-        cross = join_spread(open_, pivots.where(F.col("rank") <= block), ["bucket"], ["doc"]).where("component <> other").select(*ordered).distinct()
+        cross = join_spread(open_, pivots.where(F.col("rank") <= block), ["bucket"], ["doc"]).where(possible).select(*ordered).distinct()
         pairs = stage(cross.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = stage(links.unionByName(_similar(pairs, texts, size, per_cent)), "similar")
+        links = stage(links.unionByName(_similar(_compared(pairs, texts, size), per_cent)).distinct(), "similar")
         if pivots.where(F.col("rank") > block).isEmpty():
             return links
         tested = stage(tested.unionByName(pairs), "tested")
