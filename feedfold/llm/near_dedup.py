@@ -24,7 +24,7 @@ from feedfold.llm.common import components, join_spread, stage, with_group
 SHINGLE = 4
 BANDS, ROWS = 32, 6  # a pair at 0.8 shares no bucket with a chance of 6e-5
 PER_CENT = 80
-BLOCK = 256
+BLOCK = 64
 ANY = 1 << 40
 CACHE_WORDS = 400_000
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -209,7 +209,7 @@ def _linked(shared: DataFrame, texts: DataFrame, size: int, per_cent: int) -> Da
             "bucket", F.col("doc").alias("pivot"), F.col("component").alias("other"), F.col("common").alias("common_other"), F.col("n").alias("n_other"), F.row_number().over(order).alias("rank")
         )
         pivots = stage(ranked.where(F.col("rank") <= block + 1), "pivots")
-        cross = join_spread(open_, pivots.where(F.col("rank") <= block), ["bucket"], ["doc"]).where(possible).select(*ordered).distinct()
+        cross = join_spread(open_, pivots.where(F.col("rank") <= block), ["bucket"], ["doc"], 8).where(possible).select(*ordered).distinct()
         pairs = stage(cross.join(tested, ["a", "b"], "left_anti"), "pairs")
         links = stage(links.unionByName(_similar(_compared(pairs, texts, size), per_cent)).distinct(), "similar")
         if pivots.where(F.col("rank") > block).isEmpty():
