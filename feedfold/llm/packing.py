@@ -9,8 +9,8 @@ Ids are tokenized once and staged. Keys alone are range-sorted to give each docu
 
 from __future__ import annotations
 
+import functools
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +23,7 @@ from feedfold.llm.common import stage
 LENGTH = 2048
 END_ID = 1
 FEATURES, DIMS, BITS = 1024, 4, 12
-CACHE = 400_000
+CACHE = 1_200_000
 _ODD = re.compile(r" \s|\s ")
 
 
@@ -57,6 +57,12 @@ class Tokens:
         return b"".join([cache[p] for p in pieces])
 
 
+@functools.cache
+def _tokens(path: str) -> Tokens:
+    """One per Python worker, whose later tasks find the cache filled."""
+    return Tokens(path)
+
+
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
     """Places on the Hilbert curve of integer points (n, dims), each coordinate of `bits` bits."""
     x = points.astype(np.uint64).T.copy()
@@ -106,7 +112,7 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
     """row, doc_id, key, tokens (with the end id) and ids (16-bit where all fit, else 32-bit) of every row of docs; staged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, curve, end = Tokens(tokenizer), Curve(), np.array([END_ID], "<u4").tobytes()
+        tokens, curve, end = _tokens(tokenizer), Curve(), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
