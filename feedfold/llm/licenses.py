@@ -104,7 +104,7 @@ def license_notices(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) -
         rows = rows.withColumn(f"p{size}", F.filter(at, lambda i: i.isNotNull()))
     # no filter here: pushed below the arrays, it would make Spark split a text anew for each of its words
     held = [F.struct(F.lit(name).alias("license"), _shares(size, shingles, minima).alias("shares")) for name, size, shingles, minima in ready]
-    found = rows.select("doc_id", F.explode(F.array(*held)).alias("f")) if held else rows.selectExpr("doc_id", "named_struct('license', '', 'shares', array(0D)) f")
+    found = rows.select("doc_id", F.explode(F.array(*held)).alias("f")) if held else rows.selectExpr("doc_id", "named_struct('license', '', 'shares', CAST(array() AS ARRAY<DOUBLE>)) f")
     return found.where(F.size("f.shares") > 0).select("doc_id", "f.license", F.array_max("f.shares").alias("containment"), F.size("f.shares").cast("long").alias("windows"))
 
 

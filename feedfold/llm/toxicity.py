@@ -4,7 +4,8 @@ A word is the mean of the vectors of its character n-grams (hashed to a fixed nu
 its words, and a softmax over two classes scores the window. A text is as toxic as its most toxic window: a few words
 in a long text count as they would in a short one. A toxic text teaches by the window whose n-grams occur most in
 *other* toxic texts (its own do not count, else chance words of one text are learnt); a clean text by the window that
-the model thinks most toxic at the time. Misspelt words share most n-grams with the words they stand for.
+the model thinks most toxic at the time. Misspelt words share n-grams with the words they stand for; a share DROPPED of
+n-grams is left out at each step of training, so that a part of a word's n-grams suffices.
 
 Training takes at most SAMPLE_ROWS labelled rows, by hash order. As all above the n-gram vectors is linear, the model comes
 down to one number per n-gram row, which is what scoring sends to the executors (a fixed size).
@@ -27,6 +28,7 @@ ROWS = 1 << 17
 DIM = 8
 WINDOW = 4
 NOISE = 0.2
+DROPPED = 0.75
 CACHE_WORDS = 400_000
 #: Fixed: what separates and what trims words.
 EDGES = " \t\n\x0b\x0c\r.,;:!?\"'()[]{}<>|*#$%&@~`^_+=-/\\"
@@ -126,7 +128,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 30, rate: float = 0
             g_ids = np.concatenate(spans)
             counts = np.array([len(s) for s in spans])
             g_whose = np.repeat(whose, counts)
-            g_share = np.repeat(share / counts, counts)
+            g_share = np.repeat(share / counts, counts) * (rng.random(len(g_ids)) >= DROPPED)
             hidden = np.zeros((len(part), DIM))
             np.add.at(hidden, g_whose, emb[g_ids] * g_share[:, None])
             z = hidden @ soft + bias
