@@ -24,10 +24,10 @@ _DIGESTS: dict[str, KeyFn] = {
 def url_key(column: Column | str, algorithm: str = "MD5") -> Column:
     """The first 16 digest bytes as lower-case hex; null stays null.
 
-    An algorithm nobody knows gives the empty string for every row.
+    An algorithm nobody knows is an error: one key for the whole feed would pass unnoticed.
     """
     text = F.col(column) if isinstance(column, str) else column
     digest = _DIGESTS.get(algorithm.upper().replace("-", ""))
     if digest is None:
-        return F.lit("")
+        raise ValueError(f"unknown digest algorithm {algorithm!r}")
     return F.substring(digest(text.cast("string")), 1, KEY_HEX_DIGITS)

@@ -112,14 +112,15 @@ def greatest_present(df: DataFrame, names: Sequence[str], default: T.DataType) -
 def coalesce_merge(history: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join by key; each column is the delta's value, or history's where that is null.
 
-    Each side must hold a key once. Columns of one side only are kept.
+    Each side must hold a key once. Nulls in keys are equal, so a repeated merge gives the same rows. Columns of
+    one side only are kept.
     """
     target = merged_schema([history.schema, delta.schema])
     old, new = align_to(history, target), align_to(delta, target)
     old = old.select(*(quoted(f.name).alias(f"_h{i}") for i, f in enumerate(target.fields)))
     new = new.select(*(quoted(f.name).alias(f"_d{i}") for i, f in enumerate(target.fields)))
     at = {f.name.lower(): i for i, f in enumerate(target.fields)}
-    on = [F.col(f"_h{at[k.lower()]}") == F.col(f"_d{at[k.lower()]}") for k in keys]
+    on = [F.col(f"_h{at[k.lower()]}").eqNullSafe(F.col(f"_d{at[k.lower()]}")) for k in keys]
     return old.join(new, on, "full_outer").select(
         *(F.coalesce(f"_d{i}", f"_h{i}").alias(f.name) for i, f in enumerate(target.fields))
     )
@@ -127,7 +128,7 @@ def coalesce_merge(history: DataFrame, delta: DataFrame, keys: Sequence[str]) ->
 
 # --- posts and metrics -----------------------------------------------------
 
-# Count column -> columns to take it from, the stream's before the embedded.
+# Count column -> columns to take it from, the stream's before the embedded.
 COUNT_SOURCES: dict[str, tuple[str, str]] = {
     "CommentsCount": ("Comments", "MetricsCommentCount"),
     "LikesCount": ("Likes", "MetricsLikeCount"),

@@ -50,9 +50,10 @@ def run_offsets(
 def next_offsets(ledger: DataFrame) -> DataFrame:
     """Where each partition goes on: one past the offset of its own latest run.
 
-    A partition idle in the last run keeps the offset of an earlier one.
+    A partition idle in the last run keeps the offset of an earlier one. Runs of a day are told
+    apart by their offsets: labels of clock times and of batches do not sort together.
     """
-    run = F.struct("execdate", "exectime", "latestoffset")
+    run = F.struct("execdate", "latestoffset")
     return ledger.groupBy("topic", "kafkapartition").agg(
         (F.max_by("latestoffset", run) + 1).alias("nextoffset")
     )

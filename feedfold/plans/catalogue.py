@@ -1086,7 +1086,7 @@ def run_post_jobs(spark: SparkSession, sf_dir: str, children: tuple[str, ...] =
                     l_partkey * 10000 + l_linenumber * 100 + CAST(l_quantity AS BIGINT) DESC) AS r FROM lineitem),
         e AS (SELECT * FROM m WHERE r = 1 AND early), l AS (SELECT * FROM m WHERE r = 1 AND NOT early)
         SELECT md5(url) AS "PostId", day AS partdate,
-               CASE WHEN o_orderstatus <> 'O' OR o_orderstatus <> 'F' THEN url END AS "Url",
+               url AS "Url",
                coalesce(CAST(l.l_quantity AS BIGINT), CASE WHEN o_orderstatus <> 'F' THEN o_orderkey END,
                         CAST(e.l_quantity AS BIGINT), CASE WHEN o_orderstatus <> 'O' THEN o_orderkey END) AS "MetricsLikesCount",
                coalesce(l.l_suppkey, e.l_suppkey) AS "CommentsCount",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,11 +46,14 @@ def replace_partitions(
 
 
 def write_delta(df: DataFrame, base: str, exec_date: str | date, exec_time: str) -> None:
-    """One run's rows; running it again replaces them."""
-    stamped = df.withColumns(
-        {"exec_date": F.lit(as_date(exec_date)), "exec_time": F.lit(exec_time)}
-    )
-    replace_partitions(stamped, base, ["exec_date", "exec_time"], rebalance=False)
+    """One run's rows; running it again replaces them, by none if it has none.
+
+    The run's folder is written as a whole: an overwrite by partitions would leave
+    the rows of a run whose repeat is empty. Such a run leaves a file without rows.
+    """
+    label = quote(exec_time, safe=" ")
+    path = f"{base}/exec_date={as_date(exec_date).isoformat()}/exec_time={label}"
+    df.drop("exec_date", "exec_time").write.mode("overwrite").parquet(path)
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:

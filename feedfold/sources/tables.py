@@ -81,11 +81,10 @@ def read_partitions(
 def latest_snapshot(
     spark: SparkSession, base: str, before: str | date, column: str = "snapshot_date"
 ) -> DataFrame | None:
-    """The newest snapshot older than a day, or None."""
-    table = read_optional(spark, base)
-    if table is None:
-        return None
-    newest = table.where(quoted(column) < F.lit(as_date(before))).agg(F.max(column)).first()[0]
-    if newest is None:
-        return None
-    return spark.read.parquet(f"{base}/{column}={newest.isoformat()}")
+    """The newest snapshot older than a day, or None. Folder names tell; no other snapshot's files are listed or read."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(base)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in store.listStatus(root)] if store.exists(root) else []
+    days = [as_date(n.partition("=")[2]) for n in names if n.startswith(f"{column}=")]
+    older = [d for d in days if d < as_date(before)]
+    return spark.read.parquet(f"{base}/{column}={max(older).isoformat()}") if older else None

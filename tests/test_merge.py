@@ -227,3 +227,12 @@ def test_children_of_the_newest_message_only(spark):
     posts = spark.createDataFrame([("p", d(1))], "PostId string, Partdate date")
     out = M.merge_children(None, delta, posts, "2024-01-01", "2024-01-31")
     assert sorted(r["v"] for r in out.collect()) == [1, 2]
+
+
+def test_upsert_with_null_keys_can_be_repeated(spark):
+    old = spark.createDataFrame([(None, "a"), (1, "b")], "id int, v string")
+    new = spark.createDataFrame([(None, "c"), (2, "d")], "id int, v string")
+    once = M.coalesce_merge(old, new, ["id"])
+    twice = M.coalesce_merge(once, new, ["id"])
+    want = [(None, "c"), (1, "b"), (2, "d")]
+    assert sorted(map(tuple, once.collect()), key=repr) == sorted(map(tuple, twice.collect()), key=repr) == sorted(want, key=repr)

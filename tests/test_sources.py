@@ -192,3 +192,23 @@ def test_ids_and_intervals(spark):
     df = spark.range(10).select(F.monotonically_increasing_id().alias("i"), F.expr("timestamp'2024-01-01 00:00:00' + INTERVAL 4 HOURS").alias("t"))
     assert df.select("i").distinct().count() == 10 and df.first()["t"].hour == 4
     assert df.union(df).count() == 20
+
+
+def test_an_empty_repeat_replaces_a_run(spark, tmp_path):
+    base = f"{tmp_path}/delta"
+    one = spark.createDataFrame([(1, "a")], "id int, v string")
+    sinks.write_delta(one, base, "2024-01-01", "10-00")
+    sinks.write_delta(one, base, "2024-01-01", "11-00")
+    sinks.write_delta(one.where("false"), base, "2024-01-01", "10-00")
+    assert tables.read_delta(spark, base, "2024-01-01").count() == 1
+
+
+def test_latest_snapshot_goes_by_folder_names(spark, tmp_path):
+    base = f"{tmp_path}/snap"
+    assert tables.latest_snapshot(spark, base, "2024-01-03") is None
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        spark.createDataFrame([(day,)], "v string").write.parquet(f"{base}/snapshot_date={day}")
+    found = tables.latest_snapshot(spark, base, "2024-01-03")
+    assert [r["v"] for r in found.collect()] == ["2024-01-02"]
+    assert all("snapshot_date=2024-01-02" in f for f in found.inputFiles())
+    assert tables.latest_snapshot(spark, base, "2024-01-01") is None
