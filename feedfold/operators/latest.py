@@ -26,7 +26,7 @@ def latest_per_key(
     order: Sequence[str],
     ties: str = "one",
     tiebreak: Sequence[str] | None = None,
-    salts: int = 8,
+    salts: int = 1,
 ) -> DataFrame:
     """Rows with the greatest ``order`` values of their key, nulls last.
 
@@ -59,7 +59,7 @@ def newest_versions(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def rows_of_versions(
-    df: DataFrame, versions: DataFrame, keys: Sequence[str], order: Sequence[str], salts: int = 8
+    df: DataFrame, versions: DataFrame, keys: Sequence[str], order: Sequence[str], salts: int = 1
 ) -> DataFrame:
     """The rows belonging to the given key versions."""
     tagged = df.withColumn("_newest", _version(order))

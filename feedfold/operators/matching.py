@@ -31,20 +31,24 @@ def row_salt(df: DataFrame, salts: int, keys: Sequence[str] = ()) -> Column:
 
 
 def match_rows(
-    rows: DataFrame, keys: DataFrame, on: Sequence[str], how: str, salts: int = 8
+    rows: DataFrame, keys: DataFrame, on: Sequence[str], how: str, salts: int = 1
 ) -> DataFrame:
     """``left_semi`` or ``left_anti`` of rows against keys, where nulls match nulls.
 
-    The key list is one narrow row per key and is repeated per salt, while
-    the rows of one key go to ``salts`` tasks. The salt also gives both sides
-    an exchange of their own, which AQE can split further by size.
+    A key list has one narrow row per key. Each side has an exchange of its
+    own, and where the rows of a hot key make a partition large, AQE splits the
+    row side and repeats that partition's keys only. With ``salts`` the rows of
+    every key go to that many tasks whatever their number, at the price of a
+    key list repeated as often: for rows that lie under few keys.
     """
     if how not in ("left_semi", "left_anti"):
         raise ValueError(f"rows can be kept or dropped by key, not joined with {how!r}")
     names = [f"_k{i}" for i in range(len(on))]
     wanted = keys.select(*(quoted(c).alias(n) for c, n in zip(on, names)))
+    same = [quoted(c).eqNullSafe(F.col(n)) for c, n in zip(on, names)]
+    if salts == 1:
+        return rows.join(wanted, reduce(Column.__and__, same), how)
     wanted = wanted.withColumn("_ks", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = rows.withColumn("_salt", row_salt(rows, salts, on))
-    same = [F.col("_salt") == F.col("_ks")]
-    same += [quoted(c).eqNullSafe(F.col(n)) for c, n in zip(on, names)]
+    same.append(F.col("_salt") == F.col("_ks"))
     return salted.join(wanted, reduce(Column.__and__, same), how).drop("_salt")

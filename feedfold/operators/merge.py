@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 from functools import reduce
 
@@ -206,18 +206,19 @@ def with_day(df: DataFrame, column: str = "PartDate") -> DataFrame:
 def join_posts_metrics(
     posts: DataFrame, metrics: DataFrame, lower: str | date, upper: str | date
 ) -> DataFrame:
-    """One row per post: its newest message with the newest metrics of the same day.
+    """Posts with the newest metrics of the same day, one row per (id, day).
 
-    A post without metrics and metrics without a post both stay. Each side is
-    cut to its newest row per (id, day) before the join: the pair to keep is
-    made of those two rows, and joining first would pair every message of a
-    busy post with every metrics message about it.
+    The newest message of a post settles its day. A post without metrics and
+    metrics without a post of their day both stay: metrics dated another day
+    are a row of that day. Posts are cut to one row per id and metrics to one
+    per (id, day) before the join, so each pair has unique keys, and no window
+    over the joined rows follows.
     """
     posts = with_day(posts).where(in_window("PartDate", lower, upper))
     metrics = with_day(metrics).where(in_window("PartDate", lower, upper))
     posts = latest_per_key(
         posts,
-        ["Id", "PartDate"],
+        ["Id"],
         _present(posts, ["MetricsTimestamp", "CurrentTimestamp"]),
         tiebreak=_present(posts, ["kafkaoffset", "kafkapartition"]) or None,
     )
@@ -242,14 +243,7 @@ def join_posts_metrics(
     working = {"id", "idmetrics", "partdate", "partdatemetrics", "metricstimestamp", "metricstimestampmetrics"}
     working |= {stream.lower() for stream, _ in COUNT_SOURCES.values()}
     rest = [quoted(c) for c in joined.columns if c.lower() not in working]
-    pairs = joined.select(*rest, *(c.alias(n) for n, c in derived.items()))
-    # a post whose creation day changed keeps the day with the newer metrics
-    return latest_per_key(
-        pairs,
-        ["PostId"],
-        _present(pairs, ["MetricsTimestamp", "CurrentTimestamp"]),
-        tiebreak=["PartdatePmd"],
-    )
+    return joined.select(*rest, *(c.alias(n) for n, c in derived.items()))
 
 
 def merged_post_columns(
@@ -283,7 +277,7 @@ def upsert_posts(
 ) -> DataFrame:
     """Merged posts of the delta's days: each value the delta's, else history's.
 
-    ``delta`` comes from :func:`join_posts_metrics` and holds a post once;
+    ``delta`` comes from :func:`join_posts_metrics` and holds a post and day once;
     ``history`` holds the touched days, or is None. Unless it is known to hold
     a post once, as a table written from here does, it is cut to the newest
     row per key on the partitioning the join needs anyway. Columns only
@@ -334,13 +328,16 @@ def merge_children(
     upper: str | date,
     order: Sequence[str] | None = None,
     ties: str = "all",
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Child table after a delta: the newest version's rows of merged posts replace a post's old ones.
 
     ``posts`` needs the merged posts' ``PostId`` and ``Partdate``, ``history``
     holds the touched days. What decides is settled on narrow key rows (newest
     version per post, then posts that exist), so the wide rows of either side
-    are shuffled once. ``ties="one"`` keeps a single child per post.
+    are shuffled once. Both sides are matched to these key rows; ``stage`` may
+    write them so that they are settled once. ``ties="one"`` keeps a single
+    child per post.
     """
     inside = with_day(children).where(in_window("PartDate", lower, upper))
     order = list(order or version_columns(inside))
@@ -349,7 +346,7 @@ def merge_children(
         new = children_of_posts(latest_per_key(inside, CHILD_KEY, order), posts)
         replaced = new.select(*CHILD_KEY)
     else:
-        wanted = children_of_posts(newest_versions(inside, CHILD_KEY, order), posts)
+        wanted = stage(children_of_posts(newest_versions(inside, CHILD_KEY, order), posts))
         new = rows_of_versions(inside, wanted, CHILD_KEY, order)
         replaced = wanted.select(*CHILD_KEY)
     return replace_children(history, new.withColumnsRenamed(names), replaced.withColumnsRenamed(names))

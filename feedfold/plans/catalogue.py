@@ -66,6 +66,12 @@ URL_SQL = (
 )
 
 
+def day_bounds(rows: DataFrame, column: Column) -> tuple[date, date]:
+    """First and last day that occur: the window that takes in all rows. Any day will do where there are none."""
+    low, high = rows.agg(F.min(column), F.max(column)).first()
+    return low or date(1970, 1, 1), high or date(1970, 1, 1)
+
+
 def order_url() -> Column:
     host = None
     for priority, prefix in HOSTS.items():
@@ -651,7 +657,7 @@ EVENT_POSTS = ("view", "click", "signup")
     """WITH p AS (SELECT * FROM (
             SELECT user_id, CAST(ts AS DATE) AS day, event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
                    strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS stamp,
-                   row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS r
+                   row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r
             FROM events WHERE event_type IN ('view', 'click', 'signup')) WHERE r = 1),
        m AS (SELECT * FROM (
             SELECT user_id, CAST(ts AS DATE) AS day, event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_type,
@@ -660,14 +666,12 @@ EVENT_POSTS = ("view", "click", "signup")
             FROM events WHERE event_type NOT IN ('view', 'click', 'signup')) WHERE r = 1),
        j AS (SELECT CAST(coalesce(p.user_id, m.user_id) AS VARCHAR) AS "PostId", coalesce(p.day, m.day) AS "PartdatePmd",
                     p.event_id AS "PostEvent", coalesce(m.k, p.k) AS "LikesCount",
-                    coalesce(CASE WHEN m.event_type = 'error' THEN m.event_id END, p.event_id) AS "ViewsCount",
-                    greatest(p.stamp, m.stamp) AS stamp
+                    coalesce(CASE WHEN m.event_type = 'error' THEN m.event_id END, p.event_id) AS "ViewsCount"
              FROM p FULL JOIN m ON p.user_id = m.user_id AND p.day = m.day)
-       SELECT "PostId", "PartdatePmd", "PostEvent", "LikesCount", "ViewsCount" FROM (
-         SELECT *, row_number() OVER (PARTITION BY "PostId" ORDER BY stamp DESC, "PartdatePmd" DESC) AS r FROM j) WHERE r = 1"""
+       SELECT "PostId", "PartdatePmd", "PostEvent", "LikesCount", "ViewsCount" FROM j"""
 )
 def posts_metrics_full_outer(spark, sf_dir):
-    """Users' newest post-like event of a day with their newest metrics-like one, newest pair per user."""
+    """Users' newest post-like event with the newest metrics-like one of its day; metrics of other days stay as well."""
     stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     count = F.get_json_object("props", "$.k").cast("bigint")
     is_post = F.col("event_type").isin(*EVENT_POSTS)
@@ -688,7 +692,7 @@ def posts_metrics_full_outer(spark, sf_dir):
         stamp.alias("MetricsTimestamp"),
         F.col("event_id").alias("KafkaOffset"),
     )
-    joined = merge.join_posts_metrics(posts, metrics, "2024-01-01", "2024-01-30")
+    joined = merge.join_posts_metrics(posts, metrics, *day_bounds(table(spark, sf_dir, "events"), day("ts")))
     return joined.select("PostId", "PartdatePmd", "PostEvent", "LikesCount", "ViewsCount")
 
 
@@ -773,7 +777,7 @@ def order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def posts_merge_daily(spark, sf_dir):
     """Posts with their metrics over the posts merged before, all days in one plan."""
     posts, metrics = order_posts(spark, sf_dir), order_metrics(spark, sf_dir)
-    delta = merge.join_posts_metrics(posts, metrics, "1995-01-01", "2001-12-31")
+    delta = merge.join_posts_metrics(posts, metrics, *day_bounds(table(spark, sf_dir, "orders"), day("o_orderdate")))
     merged = merge.upsert_posts(order_history(spark, sf_dir), delta, history_unique=True)
     return merged.select(
         "PostId",
@@ -791,34 +795,34 @@ def posts_merge_daily(spark, sf_dir):
 
 
 @query(
-    """WITH c AS (SELECT *, CAST(date_trunc('year', l_shipdate) AS DATE) AS year FROM lineitem),
-       posts AS (SELECT o_orderkey, CAST(date_trunc('year', o_orderdate) AS DATE) AS year FROM orders),
+    """WITH c AS (SELECT *, CAST(date_trunc('month', l_shipdate) AS DATE) AS month FROM lineitem),
+       posts AS (SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders),
        newest AS (SELECT * FROM (
-            SELECT *, rank() OVER (PARTITION BY l_orderkey, year ORDER BY l_shipdate DESC) AS r
+            SELECT *, rank() OVER (PARTITION BY l_orderkey, month ORDER BY l_shipdate DESC) AS r
             FROM c WHERE l_returnflag <> 'N') WHERE r = 1),
-       fresh AS (SELECT n.* EXCLUDE (r) FROM newest n SEMI JOIN posts p ON n.l_orderkey = p.o_orderkey AND n.year = p.year),
+       fresh AS (SELECT n.* EXCLUDE (r) FROM newest n SEMI JOIN posts p ON n.l_orderkey = p.o_orderkey AND n.month = p.month),
        kept AS (SELECT * FROM c WHERE l_returnflag = 'N' AND NOT EXISTS (
-            SELECT 1 FROM fresh f WHERE f.l_orderkey = c.l_orderkey AND f.year = c.year))
-       SELECT CAST(l_orderkey AS VARCHAR) AS "PostId", year AS "Partdate", l_linenumber, l_suppkey, l_returnflag
+            SELECT 1 FROM fresh f WHERE f.l_orderkey = c.l_orderkey AND f.month = c.month))
+       SELECT CAST(l_orderkey AS VARCHAR) AS "PostId", month AS "Partdate", l_linenumber, l_suppkey, l_returnflag
        FROM (SELECT * FROM fresh UNION ALL SELECT * FROM kept)"""
 )
 def child_merge(spark, sf_dir):
-    """Line items as child rows of orders, by year: the newest version of each replaces the older rows."""
-    year = lambda c: F.to_date(F.date_trunc("year", F.to_date(c)))
+    """Line items as child rows of orders, by month: the newest version of each replaces the older rows."""
+    month = lambda c: F.to_date(F.date_trunc("month", F.to_date(c)))
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("Id"),
-        year("l_shipdate").alias("PartDate"),
+        month("l_shipdate").alias("PartDate"),
         F.to_date("l_shipdate").alias("PostCreateDate"),
         "l_linenumber",
         "l_suppkey",
         "l_returnflag",
     )
     posts = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("string").alias("PostId"), year("o_orderdate").alias("Partdate")
+        F.col("o_orderkey").cast("string").alias("PostId"), month("o_orderdate").alias("Partdate")
     )
     delta = lines.where("l_returnflag <> 'N'")
     history = lines.where("l_returnflag = 'N'").withColumnsRenamed({"Id": "PostId", "PartDate": "Partdate"})
-    merged = merge.merge_children(history, delta, posts, "1995-01-01", "2001-12-31", order=["PostCreateDate"])
+    merged = merge.merge_children(history, delta, posts, *day_bounds(lines, F.col("PartDate")), order=["PostCreateDate"])
     return merged.select("PostId", "Partdate", "l_linenumber", "l_suppkey", "l_returnflag")
 
 
@@ -859,6 +863,33 @@ def partition_upsert_roundtrip(spark, sf_dir):
     return spark.read.parquet(path).select("user_id", "day", "event_id", "event_type", "label")
 
 
+# run -> events it takes; the second run's label is text, those of the others are numbers
+DRIFT_RUNS = (
+    "event_type = 'view'",
+    "event_type IN ('click', 'signup') AND day(ts) % 2 = 0",
+    "event_type NOT IN ('view', 'click', 'signup') OR (event_type <> 'view' AND day(ts) % 2 = 1)",
+)
+
+
+@query(
+    f"""WITH runs AS (SELECT *, CASE WHEN {DRIFT_RUNS[0]} THEN 1 WHEN {DRIFT_RUNS[1]} THEN 2 ELSE 3 END AS run FROM events)
+       SELECT user_id, day, event_id, label FROM (
+         SELECT user_id, CAST(ts AS DATE) AS day, event_id, CASE run WHEN 2 THEN 'x' ELSE '' END || event_id AS label,
+                row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY run DESC, event_id DESC) AS r
+         FROM runs) WHERE r = 1"""
+)
+def type_drift_upsert(spark, sf_dir):
+    """Three runs upserted into a dated table, where a field is a number, on even days text, then a number again."""
+    path = scratch_path(spark, "drift")
+    rows = table(spark, sf_dir, "events").withColumn("day", day("ts"))
+    for n, some in enumerate(DRIFT_RUNS):
+        label = F.concat(F.lit("x"), F.col("event_id").cast("string")) if n == 1 else F.col("event_id")
+        run = rows.where(some).select("user_id", "day", "event_id", label.alias("label"))
+        feeds.upsert_partitions(run, path, "day", ["user_id"], ["event_id"])
+    days = [r["day"] for r in rows.select("day").distinct().collect()]
+    return tables.read_partitions(spark, path, "day", days).select("user_id", "day", "event_id", "label")
+
+
 @query(
     """SELECT event_id, CAST(user_id AS VARCHAR) AS who, event_type AS kind FROM events WHERE event_type IN ('view', 'click')
        UNION ALL
@@ -1031,9 +1062,9 @@ JOB_POLICY = split.FieldPolicy(
 )
 
 
-def _year_start(column: str) -> Column:
-    """First day of the year as text: the days the job queries' posts are made on."""
-    return F.date_format(F.date_trunc("year", F.to_date(column)), "yyyy-MM-dd")
+def _month_start(column: str) -> Column:
+    """First day of the month as text: the days the job queries' posts are made on."""
+    return F.date_format(F.date_trunc("month", F.to_date(column)), "yyyy-MM-dd")
 
 
 def run_post_jobs(spark: SparkSession, sf_dir: str, children: tuple[str, ...] = ()) -> Callable[[str], str]:
@@ -1043,7 +1074,7 @@ def run_post_jobs(spark: SparkSession, sf_dir: str, children: tuple[str, ...] =
     those in part or open, and on both every line item is a metrics message.
     """
     place = _scratch_tables(spark)
-    records = post_records(spark, sf_dir).withColumn("CreateDate", _year_start("CreateDate"))
+    records = post_records(spark, sf_dir).withColumn("CreateDate", _month_start("CreateDate"))
     order_posts_of = {"2001-08-01": "Body <> 'O'", "2001-08-02": "Body <> 'F'"}
     lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", order_url().alias("Url")),
@@ -1061,7 +1092,7 @@ def run_post_jobs(spark: SparkSession, sf_dir: str, children: tuple[str, ...] =
         jobs.ingest_posts(posts, run, JOB_POLICY, lambda part: place(f"delta/{part}"), place("ledger/posts"), place("dead/posts"))
         metrics = metric_records[exec_date].select(
             "Url",
-            _year_start("o_orderdate").alias("CreateDate"),
+            _month_start("o_orderdate").alias("CreateDate"),
             F.struct(
                 F.col("l_quantity").cast("bigint").alias("LikeCount"),
                 F.col("l_suppkey").alias("CommentCount"),
@@ -1080,7 +1111,7 @@ def run_post_jobs(spark: SparkSession, sf_dir: str, children: tuple[str, ...] =
 
 
 @query(
-    f"""WITH o AS (SELECT *, {URL_SQL} AS url, CAST(date_trunc('year', o_orderdate) AS DATE) AS day FROM orders),
+    f"""WITH o AS (SELECT *, {URL_SQL} AS url, CAST(date_trunc('month', o_orderdate) AS DATE) AS day FROM orders),
         m AS (SELECT *, l_linestatus = 'F' AS early,
                 row_number() OVER (PARTITION BY l_orderkey, l_linestatus = 'F' ORDER BY strftime(l_shipdate, '%Y-%m-%d') DESC,
                     l_partkey * 10000 + l_linenumber * 100 + CAST(l_quantity AS BIGINT) DESC) AS r FROM lineitem),
@@ -1104,7 +1135,7 @@ def post_jobs(spark, sf_dir):
 
 
 @query(
-    f"""WITH o AS (SELECT *, {URL_SQL} AS url, CAST(date_trunc('year', o_orderdate) AS DATE) AS day FROM orders
+    f"""WITH o AS (SELECT *, {URL_SQL} AS url, CAST(date_trunc('month', o_orderdate) AS DATE) AS day FROM orders
                    LEFT JOIN customer ON o_custkey = c_custkey)
         SELECT md5(url) AS "PostId", day AS partdate, o_orderstatus AS "Kind", c_name AS "OcrBody" FROM o WHERE o_orderstatus <> 'F'
         UNION ALL

@@ -272,6 +272,8 @@ def merge_posts(
     days, outside = merge.window_profile([post_rows, metric_rows], "PartDate", lower, exec_date)
     step = max_days or max(len(days), 1)
     joined = merge.join_posts_metrics(post_rows, metric_rows, lower, exec_date)
+    if step < len(days):
+        joined = sinks.stage(joined, staging_path(spark, "joined", merged))
     for first in range(0, len(days), step):
         some = days[first : first + step]
         history = tables.read_partitions(spark, merged, POSTS_PARTITION, some)
@@ -305,7 +307,8 @@ def merge_child_table(
     history = tables.read_partitions(spark, table, POSTS_PARTITION, days)
     if history is not None:
         history = history.withColumnRenamed(POSTS_PARTITION, "Partdate")
-    merged = merge.merge_children(history, delta, posts, lower, exec_date, ties=ties)
+    stage = lambda keys: sinks.stage(keys, staging_path(spark, "wanted", table))
+    merged = merge.merge_children(history, delta, posts, lower, exec_date, ties=ties, stage=stage)
     sinks.replace_partitions(
         merged.withColumnRenamed("Partdate", POSTS_PARTITION), table, [POSTS_PARTITION], rebalance
     )

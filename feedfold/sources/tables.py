@@ -8,11 +8,10 @@ from datetime import date
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedfold.functions.dates import as_date
-from feedfold.operators.schema import align_to, quoted, union_drift
+from feedfold.operators.schema import align_to, union_drift
 
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -39,28 +38,42 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def read_delta(
-    spark: SparkSession, base: str, exec_date: str | date, fmt: str = "parquet"
+def read_drifting(
+    spark: SparkSession, base: str, folders: Sequence[str], glob: str, fmt: str = "parquet"
 ) -> DataFrame | None:
-    """All runs of one day, or None if there were none.
+    """Folders of one table whose types may differ, or None if there are none.
 
-    Only that day's folder is listed. Runs whose columns differ are merged by
-    the reader; runs whose types clash are read one by one and widened.
+    The reader merges schemas as far as it can. Where types clash, the schema of each folder is read from its
+    footers, folders of one schema make one scan, and the scans are widened and united: the plan grows with the
+    schemas that occur, not with the folders. A folder that is missing is passed over.
     """
-    day = f"{base}/exec_date={as_date(exec_date).isoformat()}"
     options = {"basePath": base, "mergeSchema": "true"}
     try:
-        return read_optional(spark, day, fmt, **options)
+        return read_optional(spark, glob, fmt, **options)
     except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE_SCHEMA" not in str(error):
             raise
-    # a day has no more run labels than minutes
-    labels = spark.read.format(fmt).option("basePath", base).load(day).select("exec_time").distinct().collect()
-    runs = [
-        spark.read.format(fmt).options(**options).load(f"{day}/exec_time={r['exec_time']}")
-        for r in sorted(labels, key=lambda r: r["exec_time"])
+    alike: dict[str, tuple[T.StructType, list[str]]] = {}
+    for folder in folders:
+        found = read_optional(spark, folder, fmt, **options)
+        if found is not None:
+            alike.setdefault(found.schema.json(), (found.schema, []))[1].append(folder)
+    scans = [
+        spark.read.format(fmt).option("basePath", base).schema(schema).load(same) for schema, same in alike.values()
     ]
-    return union_drift(*runs)
+    return union_drift(*scans) if scans else None
+
+
+def read_delta(
+    spark: SparkSession, base: str, exec_date: str | date, fmt: str = "parquet"
+) -> DataFrame | None:
+    """All runs of one day, or None if there were none.
+
+    Only that day's folder is listed. Runs whose columns or types differ are aligned.
+    """
+    day = f"{base}/exec_date={as_date(exec_date).isoformat()}"
+    names = _folders(spark, day, "exec_time")
+    return read_drifting(spark, base, [f"{day}/{n}" for n in names], day, fmt)
 
 
 def read_partitions(
@@ -70,21 +83,28 @@ def read_partitions(
 
     The days go into the path, so the files of other partitions are not even
     listed, and a day the table lacks is passed over. Schemas are merged over
-    these partitions only: an old or foreign column is not lost.
+    these partitions only: an old or foreign column is not lost, and a field
+    whose type differs from day to day is widened.
     """
     if not values:
         return None
-    days = ",".join(sorted({v.isoformat() for v in values}))
-    return read_optional(spark, f"{base}/{column}={{{days}}}", fmt, basePath=base, mergeSchema="true")
+    days = sorted({v.isoformat() for v in values})
+    folders = [f"{base}/{column}={d}" for d in days]
+    return read_drifting(spark, base, folders, f"{base}/{column}={{{','.join(days)}}}", fmt)
+
+
+def _folders(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Names of the partition folders below a path, one level deep."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in store.listStatus(root)] if store.exists(root) else []
+    return sorted(n for n in names if n.startswith(f"{column}="))
 
 
 def latest_snapshot(
     spark: SparkSession, base: str, before: str | date, column: str = "snapshot_date"
 ) -> DataFrame | None:
     """The newest snapshot older than a day, or None. Folder names tell; no other snapshot's files are listed or read."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(base)
-    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [f.getPath().getName() for f in store.listStatus(root)] if store.exists(root) else []
-    days = [as_date(n.partition("=")[2]) for n in names if n.startswith(f"{column}=")]
+    days = [as_date(n.partition("=")[2]) for n in _folders(spark, base, column)]
     older = [d for d in days if d < as_date(before)]
     return spark.read.parquet(f"{base}/{column}={max(older).isoformat()}") if older else None

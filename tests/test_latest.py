@@ -72,7 +72,16 @@ def test_salts_read_no_wide_columns(spark, tmp_path):
     assert "body" not in newest._jdf.queryExecution().executedPlan().toString()
 
 
-def test_aqe_splits_what_salting_leaves(spark, tmp_path):
+def test_without_salts_a_key_list_is_not_repeated(spark):
+    rows = spark.range(100).withColumn("k", F.col("id") % 7)
+    keys = spark.range(5).withColumnRenamed("id", "k")
+    kept = match_rows(rows, keys, ["k"], "left_semi")
+    assert "Generate" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, match_rows(rows, keys, ["k"], "left_semi", 8).collect()))
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_aqe_splits_a_hot_key(spark, tmp_path, salts):
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -92,7 +101,7 @@ def test_aqe_splits_what_salting_leaves(spark, tmp_path):
             F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
             F.lit(1).alias("d"), F.sha2(F.col("id").cast("string"), 256).alias("v"),
         ).write.parquet(path)
-        newest = latest_per_key(spark.read.parquet(path), ["k"], ["d"], ties="all", salts=4)
+        newest = latest_per_key(spark.read.parquet(path), ["k"], ["d"], ties="all", salts=salts)
         rows = newest.select("k", "v")
         assert len(rows.collect()) == 100_000
         assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()

@@ -135,6 +135,18 @@ def test_window_drops_late_and_future_days_and_order_has_nulls_last(spark):
     assert [(r["PostId"], r["LikesCount"]) for r in rows] == [("in", 2)]
 
 
+def test_a_post_survives_metrics_of_another_day(spark):
+    posts = [
+        ("p", d(1), "old", "c", None, 1, 1, None, _ts(1), "e", 1),
+        ("p", d(2), "new", "c", None, 2, 1, None, _ts(2), "e", 2),
+    ]
+    metrics = [("p", f"2024-01-0{n}", n, None, None, None, f"2024-01-0{n}", _ts(3), "b", None, "e", n) for n in (1, 2, 4)]
+    rows = sorted((r["PartdatePmd"], r["Url"], r["LikesCount"]) for r in _join(spark, posts, metrics).collect() if r["Url"])
+    assert rows == [(d(2), "new", 2)]
+    rest = {r["PartdatePmd"]: r["LikesCount"] for r in _join(spark, posts, metrics).collect() if not r["Url"]}
+    assert rest == {d(1): 1, d(4): 4}
+
+
 def test_posts_without_any_embedded_columns(spark):
     p = spark.createDataFrame([("p", d(1), "u")], "Id string, PartDate date, Url string")
     m = spark.createDataFrame([("p", "2024-01-01", 5, None, None, None, "t", _ts(1), "b", None, "e", 1)], METRICS)

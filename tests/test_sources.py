@@ -212,3 +212,14 @@ def test_latest_snapshot_goes_by_folder_names(spark, tmp_path):
     assert [r["v"] for r in found.collect()] == ["2024-01-02"]
     assert all("snapshot_date=2024-01-02" in f for f in found.inputFiles())
     assert tables.latest_snapshot(spark, base, "2024-01-01") is None
+
+
+def test_days_of_clashing_types_are_read_together(spark, tmp_path):
+    base = str(tmp_path / "t")
+    for n, value in ((1, F.lit(1).cast("bigint")), (2, F.lit("high")), (3, F.lit(2).cast("bigint"))):
+        spark.range(1).select(value.alias("Rank")).write.parquet(f"{base}/partdate=2024-01-0{n}")
+    days = [date(2024, 1, n) for n in (1, 2, 3, 4)]
+    found = tables.read_partitions(spark, base, "partdate", days)
+    assert sorted(map(tuple, found.collect())) == [("1", days[0]), ("2", days[2]), ("high", days[1])]
+    # one scan for each schema, not for each day
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
