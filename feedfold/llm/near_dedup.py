@@ -24,7 +24,7 @@ from feedfold.llm.common import components, join_spread, stage, with_group
 SHINGLE = 4
 BANDS, ROWS = 32, 6  # a pair at 0.8 shares no bucket with a chance of 6e-5
 PER_CENT = 80
-BLOCK = 64
+BLOCK = 8
 ANY = 1 << 40
 CACHE_WORDS = 400_000
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
