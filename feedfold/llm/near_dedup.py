@@ -123,10 +123,26 @@ def signatures(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: i
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
 
 
+def _salted(pairs: DataFrame) -> DataFrame:
+    """Pairs with a salt for either side: about sqrt(n) / 4 of them for a row that is in n pairs, so one for most rows."""
+    sized = with_group(pairs, ["a"], ["b"], {"in_a": F.count("*")}, {"in_a": F.sum("in_a")})
+    sized = with_group(sized, ["b"], ["a"], {"in_b": F.count("*")}, {"in_b": F.sum("in_b")})
+    salt = lambda by, n: F.pmod(F.xxhash64(by), F.ceil(F.sqrt(n) / 4))
+    return sized.select("a", "b", salt("b", "in_a").alias("salt_a"), salt("a", "in_b").alias("salt_b"))
+
+
+def _with_text(pairs: DataFrame, spread: DataFrame, texts: DataFrame, key: str, salt: str) -> DataFrame:
+    """Pairs with the text of one side, which goes once to each salt of its row in spread."""
+    there = spread.select(key, salt).distinct()
+    side = texts.select(F.col("doc_id").alias(key), F.col("text").alias(f"text_{key}")).join(there, key)
+    return pairs.join(side, [key, salt])
+
+
 def _compared(pairs: DataFrame, texts: DataFrame, size: int, rest: bool = False) -> DataFrame:
     """a, b, common, n_a, n_b of pairs (a, b), counted on full shingle sets; with rest, the hashes of a's shingles that b lacks."""
-    left = join_spread(pairs, texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), ["a"], ["b"], 32)
-    both = join_spread(left, texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), ["b"], ["a"], 32)
+    spread = stage(_salted(pairs), "spread")
+    left = _with_text(spread, spread, texts, "a", "salt_a")
+    both = _with_text(left, spread, texts, "b", "salt_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, set()
