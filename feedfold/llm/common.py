@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedfold.session import scratch_path
 
-SALTS = 256
+SALTS = 64  # those that occur in a group are the bits of a long
 
 
 def stage(frame: DataFrame, name: str) -> DataFrame:
@@ -20,20 +20,17 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def with_group(
-    rows: DataFrame, key: Sequence[str], spread: Sequence[str], first: Mapping[str, Column], then: Mapping[str, Column], salts: int = SALTS
-) -> DataFrame:
+def with_group(rows: DataFrame, key: Sequence[str], spread: Sequence[str], values: Mapping[str, Column], salts: int = SALTS) -> DataFrame:
     """Rows plus values of their group, without gathering a group in one task.
 
-    `first` aggregates the rows of a group that share a salt, `then` those results over the salts. The
-    value goes back to the salts that occur, so the list sent back has no more rows than there are, and
-    a group of any size is spread over `salts` tasks. Rows with a null in the key are left out.
+    `values` are aggregates that Spark combines before the shuffle, so a group costs the last step one row per task. They go
+    back to the salts (64 at most) that occur, so the list sent back has no more rows than there are, and a group of
+    any size is spread over `salts` tasks. Rows with a null in the key are left out.
     """
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    part = salted.groupBy(*key, "_salt").agg(*(c.alias(n) for n, c in first.items()))
-    whole = part.groupBy(*key).agg(*(c.alias(n) for n, c in then.items()), F.collect_set("_salt").alias("_salts"))
-    back = whole.select(*key, *then, F.explode("_salts").alias("_salt"))
-    return salted.join(back, [*key, "_salt"]).drop("_salt")
+    whole = salted.groupBy(*key).agg(*(c.alias(n) for n, c in values.items()), F.expr("bit_or(shiftleft(1L, _salt))").alias("_salts"))
+    occur = F.expr(f"explode(filter(sequence(0, {salts - 1}), s -> (_salts & shiftleft(1L, s)) <> 0))")
+    return salted.join(whole.select(*key, *values, occur.alias("_salt")), [*key, "_salt"]).drop("_salt")
 
 
 def join_spread(rows: DataFrame, side: DataFrame, key: Sequence[str], spread: Sequence[str], salts: int = SALTS) -> DataFrame:
@@ -48,8 +45,8 @@ def _print(edges: DataFrame) -> tuple[int, int]:
     return (row[0], row[1] or 0)
 
 
-def components(links: DataFrame, a: str, b: str) -> DataFrame:
-    """(node, component) of every linked node, the component named by its smallest node.
+def stars(links: DataFrame, a: str, b: str) -> DataFrame:
+    """Edges (u, v), staged, from every linked node u to the smallest node v of its component.
 
     Large-star and small-star alternate until the edges are a forest of stars; each step is staged. A node
     with very many links is spread over salts, so no step gathers the neighbours of a node.
@@ -58,17 +55,26 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = stage(pairs.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
     seen = _print(edges)
     while seen[0]:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        near = with_group(both, ["u"], ["v"], {"m": F.min("v")}, {"m": F.min("m")})
-        large = near.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
-        low = with_group(large, ["u"], ["v"], {"m": F.min("v")}, {"m": F.min("m")})
+        both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.u", "e.v")
+        near = with_group(both, ["u"], ["v"], {"m": F.min("v")})
+        large = near.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        low = with_group(large, ["u"], ["v"], {"m": F.min("v")})
         pulled = low.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = stage(pulled.select("e.u", "e.v").where("u <> v").distinct(), "edges")
         now = _print(edges)
         if now == seen:
             break
         seen = now
+    return edges
+
+
+def named(edges: DataFrame) -> DataFrame:
+    """(node, component) of all nodes of stars()."""
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
 
+
+def components(links: DataFrame, a: str, b: str) -> DataFrame:
+    """(node, component) of every linked node, the component named by its smallest node."""
+    return named(stars(links, a, b))

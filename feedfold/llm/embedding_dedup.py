@@ -102,11 +102,11 @@ def near_vectors(vectors: DataFrame, least: float = LEAST, tables: int = TABLES,
     Rows that repeat a vec_id are vectors of their own that share a node: each adds its links. Labels are not read; an empty table gives no rows.
     """
     base = stage(hashed(vectors, tables, bits).withColumn("same", F.sha2(F.array_join(F.col("vector").cast("array<string>"), ","), 256)), "vectors")
-    classed = with_group(base, ["same"], ["vec_id"], {"first": F.min("vec_id"), "n": F.count("*")}, {"first": F.min("first"), "n": F.sum("n")})
+    classed = with_group(base, ["same"], ["vec_id"], {"first": F.min("vec_id"), "n": F.count("*")})
     classed = stage(classed.select("vec_id", "same", "first", "n"), "classes")
     heads = stage(base.join(classed.where("vec_id = first").dropDuplicates(["same"]).select("same", "n"), "same").dropDuplicates(["same"]), "heads")
     spread = heads.select("same", F.size("vector").alias("dim"), F.posexplode("signs").alias("table", "bucket"))
-    sizes = with_group(spread, ["dim", "table", "bucket"], ["same"], {"size": F.count("*")}, {"size": F.sum("size")}).where("size > 1")
+    sizes = with_group(spread, ["dim", "table", "bucket"], ["same"], {"size": F.count("*")}).where("size > 1")
     cells = sizes.withColumn("cells", F.ceil(F.col("size") / CELL_ROWS).cast("int"))
     cells = stage(cells.withColumn("cell", F.pmod(F.xxhash64("same", F.lit(3)), F.col("cells")).cast("int")), "cells")
     # each cell goes once to each pair of cells that it is in

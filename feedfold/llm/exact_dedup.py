@@ -89,7 +89,7 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bits: int
     """
     named = name_texts(docs, block_bytes, bits)
     best = F.struct((-F.col("chars")).alias("shorter"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
-    grouped = with_group(named, ["identity"], ["row"], {"best": F.min(best), "n": F.count("*")}, {"best": F.min("best"), "n": F.sum("n")})
+    grouped = with_group(named, ["identity"], ["row"], {"best": F.min(best), "n": F.count("*")})
     return grouped.select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedfold.llm.common import components, join_spread, stage, with_group
+from feedfold.llm.common import join_spread, named, stage, stars, with_group
 
 SHINGLE = 4
 BANDS, ROWS = 32, 6  # a pair at 0.8 shares no bucket with a chance of 6e-5
@@ -125,8 +125,8 @@ def signatures(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: i
 
 def _salted(pairs: DataFrame) -> DataFrame:
     """Pairs with a salt for either side: about sqrt(n) / 4 of them for a row that is in n pairs, so one for most rows."""
-    sized = with_group(pairs, ["a"], ["b"], {"in_a": F.count("*")}, {"in_a": F.sum("in_a")})
-    sized = with_group(sized, ["b"], ["a"], {"in_b": F.count("*")}, {"in_b": F.sum("in_b")})
+    sized = with_group(pairs, ["a"], ["b"], {"in_a": F.count("*")})
+    sized = with_group(sized, ["b"], ["a"], {"in_b": F.count("*")})
     salt = lambda by, n: F.pmod(F.xxhash64(by), F.ceil(F.sqrt(n) / 4))
     return sized.select("a", "b", salt("b", "in_a").alias("salt_a"), salt("a", "in_b").alias("salt_b"))
 
@@ -175,30 +175,30 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, per_cent: int = PER_CE
     doc_id and text are not read; an empty table gives no rows.
     """
     signed = stage(signatures(docs, size, bands, rows), "signatures")
-    named = signed.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
-    classed = with_group(named, ["set_key", "n_shingles"], ["doc_id"], {"class": F.min("doc_id")}, {"class": F.min("class")})
+    usable = signed.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
+    classed = with_group(usable, ["set_key", "n_shingles"], ["doc_id"], {"class": F.min("doc_id")})
     copies = classed.where("doc_id <> class").select(F.col("doc_id").alias("a"), F.col("class").alias("b")).distinct()
     each = classed.where("doc_id = class").dropDuplicates(["set_key", "n_shingles"]).select(F.col("class").alias("doc"), F.explode("bands").alias("bucket")).distinct()
-    shared = stage(with_group(each, ["bucket"], ["doc"], {"n": F.count("*")}, {"n": F.sum("n")}).where("n > 1"), "buckets")
+    shared = stage(with_group(each, ["bucket"], ["doc"], {"n": F.count("*")}).where("n > 1"), "buckets")
     links = copies
     if not shared.isEmpty():
         texts = stage(docs.select("doc_id", "text").join(shared.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi"), "texts")
-        links = stage(copies.unionByName(_linked(shared, texts, size, per_cent)).distinct(), "links")
-    found = components(links, "a", "b").withColumnRenamed("node", "doc_id")
+        links = copies.unionByName(_linked(shared, texts, size, per_cent))
+    found = named(stars(links, "a", "b")).withColumnRenamed("node", "doc_id")
     whole = signed.join(found, "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return whole.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def _linked(shared: DataFrame, texts: DataFrame, size: int, per_cent: int) -> DataFrame:
-    """Links (a, b) that connect all rows of a bucket that any chain of similar pairs in buckets connects."""
+    """Links (a, b) that connect all rows of a bucket that any chain of similar pairs in buckets connects: a row and the smallest of its component."""
     central = shared.groupBy("doc").agg(F.sum("n").alias("weight"))
     weighed = shared.select("bucket", "doc").join(central, "doc")
     best = F.max(F.struct("weight", (-F.col("doc")).alias("low")))
-    led = with_group(weighed, ["bucket"], ["doc"], {"lead": best}, {"lead": F.max("lead")})
+    led = with_group(weighed, ["bucket"], ["doc"], {"lead": best})
     led = stage(led.select("bucket", "doc", (-F.col("lead.low")).alias("lead")).where("doc <> lead"), "led")
     tests = stage(_compared(led.select(F.col("doc").alias("a"), F.col("lead").alias("b")).distinct(), texts, size, rest=True), "tests")
-    links = _similar(tests, per_cent).distinct()
+    edges = stars(_similar(tests, per_cent), "a", "b")
     tested = tests.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     # what each row shares with its lead; a doc_id of several texts may share anything
     with_lead = tests.groupBy(F.col("a").alias("doc"), F.col("b").alias("lead")).agg(
@@ -213,9 +213,9 @@ def _linked(shared: DataFrame, texts: DataFrame, size: int, per_cent: int) -> Da
     possible = (F.col("component") != F.col("other")) & ((100 + per_cent) * F.least("common", "common_other") >= per_cent * (F.col("n") + F.col("n_other")))
     block = BLOCK
     while True:
-        found = components(links, "a", "b").select(F.col("node").alias("doc"), "component")
+        found = named(edges).select(F.col("node").alias("doc"), "component")
         now = state.join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-        mixed = with_group(now, ["bucket"], ["doc"], {"lo": F.min("component"), "hi": F.max("component")}, {"lo": F.min("lo"), "hi": F.max("hi")})
+        mixed = with_group(now, ["bucket"], ["doc"], {"lo": F.min("component"), "hi": F.max("component")})
         open_ = stage(mixed.where("lo <> hi").select("bucket", "doc", "component", "common", "n"), "open")
         size_of = open_.groupBy("bucket", "component").count()
         largest = size_of.groupBy("bucket").agg(F.max(F.struct("count", "component"))["component"].alias("largest"))
@@ -227,9 +227,11 @@ def _linked(shared: DataFrame, texts: DataFrame, size: int, per_cent: int) -> Da
         pivots = stage(ranked.where(F.col("rank") <= block + 1), "pivots")
         cross = join_spread(open_, pivots.where(F.col("rank") <= block), ["bucket"], ["doc"], 8).where(possible).select(*ordered).distinct()
         pairs = stage(cross.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = stage(links.unionByName(_similar(_compared(pairs, texts, size), per_cent)).distinct(), "similar")
+        if not pairs.isEmpty():
+            similar = _similar(_compared(pairs, texts, size), per_cent)
+            edges = stars(similar.unionByName(edges.select(F.col("u").alias("a"), F.col("v").alias("b"))), "a", "b")
         if pivots.where(F.col("rank") > block).isEmpty():
-            return links
+            return edges.select(F.col("u").alias("a"), F.col("v").alias("b"))
         tested = stage(tested.unionByName(pairs), "tested")
         block *= BLOCK
 

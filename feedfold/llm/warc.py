@@ -47,7 +47,7 @@ def captures(pages: DataFrame) -> DataFrame:
     payload = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("digest"))
     narrow = rows.where(F.octet_length("payload") >= LEAST_BYTES).select("page_id", "digest")
-    led = with_group(narrow, ["digest"], ["page_id"], {"first": F.min("page_id")}, {"first": F.min("first")})
+    led = with_group(narrow, ["digest"], ["page_id"], {"first": F.min("page_id")})
     later = led.where("first <> page_id").select("page_id", "digest", "first").distinct()
     return rows.join(later, ["page_id", "digest"], "left")
 

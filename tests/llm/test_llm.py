@@ -63,7 +63,7 @@ def test_components_and_group_values(spark):
     want = {n: c for n, c in classes({n for p in links for n in p}, links).items() if n != 5}
     assert dict(rows_of(got, "node", "component")) == want
     frame = spark.createDataFrame([(i % 3, i) for i in range(30)], "k long, v long")
-    out = with_group(frame, ["k"], ["v"], {"m": F.min("v"), "n": F.count("*")}, {"m": F.min("m"), "n": F.sum("n")}, salts=4)
+    out = with_group(frame, ["k"], ["v"], {"m": F.min("v"), "n": F.count("*")}, salts=4)
     assert rows_of(out, "k", "v", "m", "n") == sorted(((i % 3, i, i % 3, 10) for i in range(30)), key=repr)
 
 
