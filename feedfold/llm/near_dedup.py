@@ -26,6 +26,7 @@ BANDS, ROWS = 32, 6  # a pair at 0.8 shares no bucket with a chance of 6e-5
 PER_CENT = 80
 BLOCK = 8
 ANY = 1 << 40
+SHARES = 64
 CACHE_WORDS = 400_000
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
@@ -209,8 +210,9 @@ def _linked(shared: DataFrame, texts: DataFrame, size: int, per_cent: int) -> Da
         F.xxhash64("b", "s").alias("bucket"), "doc", F.lit(ANY).alias("common"), F.lit(0).cast("long").alias("n")
     )
     state = stage(inside.unionByName(outside.distinct()), "state")
-    ordered = (F.greatest("doc", "pivot").alias("a"), F.least("doc", "pivot").alias("b"))
-    possible = (F.col("component") != F.col("other")) & ((100 + per_cent) * F.least("common", "common_other") >= per_cent * (F.col("n") + F.col("n_other")))
+    possible = lambda p: (p["component"] != F.col("component")) & ((100 + per_cent) * F.least("common", p["common"]) >= per_cent * (F.col("n") + p["n"]))
+    # a row has at most one bucket a band, but maybe many buckets of shingles, which go to several lists
+    share = F.when(F.col("common") == ANY, F.pmod("bucket", F.lit(SHARES))).otherwise(F.lit(0))
     block = BLOCK
     while True:
         found = named(edges).select(F.col("node").alias("doc"), "component")
@@ -221,11 +223,12 @@ def _linked(shared: DataFrame, texts: DataFrame, size: int, per_cent: int) -> Da
         largest = size_of.groupBy("bucket").agg(F.max(F.struct("count", "component"))["component"].alias("largest"))
         minor = join_spread(open_, largest, ["bucket"], ["doc"]).where("component <> largest")
         order = Window.partitionBy("bucket").orderBy(F.xxhash64("doc", F.lit(block)), "doc")
-        ranked = minor.select(
-            "bucket", F.col("doc").alias("pivot"), F.col("component").alias("other"), F.col("common").alias("common_other"), F.col("n").alias("n_other"), F.row_number().over(order).alias("rank")
-        )
-        pivots = stage(ranked.where(F.col("rank") <= block + 1), "pivots")
-        cross = join_spread(open_, pivots.where(F.col("rank") <= block), ["bucket"], ["doc"], 8).where(possible).select(*ordered).distinct()
+        pivots = stage(minor.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= block + 1), "pivots")
+        listed = pivots.where(F.col("rank") <= block).groupBy("bucket").agg(F.collect_list(F.struct("doc", "component", "common", "n")).alias("pivots"))
+        met = join_spread(open_, listed, ["bucket"], ["doc"], 8).select("doc", share.alias("share"), F.transform(F.filter("pivots", possible), lambda p: p["doc"]).alias("pivots"))
+        # a pair that shares several buckets becomes one row
+        each = met.where(F.size("pivots") > 0).groupBy("doc", "share").agg(F.array_distinct(F.flatten(F.collect_list("pivots"))).alias("pivots"))
+        cross = each.select("doc", F.explode("pivots").alias("pivot")).select(F.greatest("doc", "pivot").alias("a"), F.least("doc", "pivot").alias("b")).distinct()
         pairs = stage(cross.join(tested, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             similar = _similar(_compared(pairs, texts, size), per_cent)
