@@ -21,6 +21,7 @@ from feedfold.llm.common import components, join_spread, stage, with_group
 LEAST = 0.9
 TABLES, BITS = 20, 10  # at a cosine of 0.9: 0.857 ** 10 a table, missed in all with a chance of 1.5 %
 CELL_ROWS = 256
+TOGETHER = 64  # buckets of one cell that a call compares, each for itself: at most 64 * 256 rows
 
 
 def _planes(dim: int, tables: int, bits: int) -> np.ndarray:
@@ -91,7 +92,7 @@ def _compare(left: pd.DataFrame, right: pd.DataFrame, same: bool, table: int, le
             root[p] = q
             edges.append((u, v, 0))
     some = np.nonzero(gain)[0]
-    return pd.DataFrame([*edges, *((ids[k], None, gain[k]) for k in some)], columns=["a", "b", "links"])
+    return pd.DataFrame([*edges, *((ids[k], None, gain[k]) for k in some)], columns=["a", "b", "links"], dtype=object)
 
 
 def near_vectors(vectors: DataFrame, least: float = LEAST, tables: int = TABLES, bits: int = BITS) -> DataFrame:
@@ -111,18 +112,24 @@ def near_vectors(vectors: DataFrame, least: float = LEAST, tables: int = TABLES,
     cells = stage(cells.withColumn("cell", F.pmod(F.xxhash64("same", F.lit(3)), F.col("cells")).cast("int")), "cells")
     # each cell goes once to each pair of cells that it is in
     other = F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other")
-    pairs = cells.select("same", "dim", "table", "bucket", "cell", other).select(
-        "same", "dim", "table", "bucket", F.least("cell", "other").alias("lo"), F.greatest("cell", "other").alias("hi"), "cell"
+    pack = F.when(F.col("cells") == 1, -1 - F.floor(F.col("bucket") / TOGETHER)).otherwise(F.col("bucket")).alias("pack")
+    pairs = cells.select("same", "dim", "table", "bucket", pack, "cell", other).select(
+        "same", "dim", "table", "bucket", "pack", F.least("cell", "other").alias("lo"), F.greatest("cell", "other").alias("hi"), "cell"
     )
     full = pairs.join(heads.select("same", "vec_id", "vector", "signs", "n"), "same")
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        if key[2] < 0:
+            rows = rows.sort_values("bucket", kind="stable")
+            cuts = np.flatnonzero(np.diff(rows.bucket.to_numpy())) + 1
+            bounds = zip([0, *cuts], [*cuts, len(rows)])
+            return pd.concat([_compare(part, part, True, key[1], least) for part in (rows.iloc[i:j] for i, j in bounds)])
         lo, hi = rows[rows.cell == key[3]], rows[rows.cell == key[4]]
         if not len(lo) or not len(hi):
             return pd.DataFrame({"a": [], "b": [], "links": []})
         return _compare(lo, hi, key[3] == key[4], key[1], least)
 
-    found = stage(full.groupBy("dim", "table", "bucket", "lo", "hi").applyInPandas(compare, "a long, b long, links long"), "found")
+    found = stage(full.groupBy("dim", "table", "pack", "lo", "hi").applyInPandas(compare, "a long, b long, links long"), "found")
     counts = found.where("b IS NULL").groupBy("a").agg(F.sum("links").alias("links"))
     edges = found.where("b IS NOT NULL").select("a", "b").unionByName(classed.select(F.col("vec_id").alias("a"), F.col("first").alias("b")))
     parts = components(edges, "a", "b")
