@@ -14,7 +14,7 @@ down to one number per n-gram row, which is what scoring sends to the executors
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -74,16 +74,24 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(best, -30, 30))))
 
 
-def _windows(per_gram, ends, sizes, order, starts, lens, noise=0.0) -> np.ndarray:
-    """Where the best window of each text starts, given a number for each n-gram of each word; noise is added to each window."""
+def _windows(per_gram, ends, sizes, docs, noise=None) -> np.ndarray:
+    """Where in its text the best window of each text starts, given a number for each n-gram of each word; noise(n) is added to windows."""
     per_word = np.add.reduceat(per_gram, ends[:-1]) / sizes
-    run = np.concatenate(([0.0], np.cumsum(per_word[order])))
-    means = run[np.minimum(np.arange(len(order)) + WINDOW, len(order))] - run[:-1]
-    means = means + noise
-    return np.array([s + (int(np.argmax(means[s : s + m - WINDOW + 1])) if m > WINDOW else 0) for s, m in zip(starts, lens)])
-
-
-def train(texts: list[str], labels: list[int], epochs: int = 30, rate: float = 0.3, seed: int = 7) -> Model:
+    best = []
+    for at in range(0, len(docs), 256):
+        part = docs[at : at + 256]
+        run = np.concatenate(([0.0], np.cumsum(per_word[np.concatenate(part)])))
+        means = run[np.minimum(np.arange(len(run) - 1) + WINDOW, len(run) - 1)] - run[:-1]
+        if noise:
+            means += noise(len(means))
+        start = 0
+        for m in map(len, part):
+            best.append(int(np.argmax(means[start : start + m - WINDOW + 1])) if m > WINDOW else 0)
+            start += m
+    return np.array(best)
+
+
+def train(texts: Iterable[str], labels: list[int], epochs: int = 30, rate: float = 0.3, seed: int = 7) -> Model:
     """Embeddings and softmax trained together by Adagrad, each text by its currently most toxic window."""
     if len(set(labels)) < 2:
         return Model(np.zeros(ROWS, np.float32), 4.0 if labels and labels[0] else -4.0)
@@ -92,35 +100,36 @@ def train(texts: list[str], labels: list[int], epochs: int = 30, rate: float = 0
     for t, lab in zip(texts, labels):
         ids = [index.setdefault(w, len(index)) for w in words_of(t)]
         if ids:
-            docs.append(np.array(ids))
+            docs.append(np.array(ids, np.int32))
             y.append(float(lab))
-    grams = [np.array(ngrams(w)) for w in index]
+    grams = [np.array(ngrams(w), np.int32) for w in index]
     flat, ends = np.concatenate(grams), np.cumsum([0, *map(len, grams)])
-    used, flat = np.unique(flat, return_inverse=True)
+    used = np.unique(flat)
+    flat = np.searchsorted(used, flat).astype(np.int32)
+    del grams, index
     sizes = np.diff(ends)
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (len(used), DIM))
     soft = rng.normal(0, 0.5, (DIM, 2))
     bias = np.array([2.0, 0.0])
     g_emb, g_soft, g_bias = np.full(len(used), 1e-4), np.full((DIM, 2), 1e-2), np.full(2, 1e-2)
-    order = np.concatenate(docs)
-    starts = np.cumsum([0, *map(len, docs)])[:-1]
     lens = np.array([len(d) for d in docs])
     y = np.array(y)
-    grams_of = [np.unique(np.concatenate([flat[ends[w] : ends[w + 1]] for w in np.unique(d)])) for d in docs]
-    df1, df0 = (np.bincount(np.concatenate([g for g, lab in zip(grams_of, y) if lab == k]), minlength=len(used)) for k in (1, 0))
+    df0, df1 = df = np.zeros((2, len(used)), np.int64)
+    for d, lab in zip(docs, y):
+        df[int(lab), np.unique(np.concatenate([flat[ends[w] : ends[w + 1]] for w in np.unique(d)]))] += 1
     prior = y.mean()
     rate_of = (np.maximum(df1 - 1, 0) + prior) / (np.maximum(df1 - 1, 0) + df0 + 1)
     odds = np.log(rate_of / (1 - rate_of)) - np.log(prior / (1 - prior))
     balance = np.where(y == 1, (len(y) - y.sum()) / y.sum(), 1.0) ** 0.5
     n = np.minimum(WINDOW, lens)
     for epoch in range(epochs):
-        noise = rng.gumbel(0, NOISE, len(order))  # so that all toxic words of a text get their turn
-        fixed = _windows(odds[flat], ends, sizes, order, starts, lens, noise)
-        chosen = _windows((emb @ (soft[:, 1] - soft[:, 0]))[flat], ends, sizes, order, starts, lens) if epoch else fixed
+        # with noise, so that all toxic words of a text get their turn
+        fixed = _windows(odds[flat], ends, sizes, docs, lambda m: rng.gumbel(0, NOISE, m))
+        chosen = _windows((emb @ (soft[:, 1] - soft[:, 0]))[flat], ends, sizes, docs) if epoch else fixed
         pick = np.where(y == 1, fixed, chosen)
         for part in np.array_split(rng.permutation(len(docs)), max(1, len(docs) // 64)):
-            picked = [order[pick[i] : pick[i] + n[i]] for i in part]
+            picked = [docs[i][pick[i] : pick[i] + n[i]] for i in part]
             words = np.concatenate(picked)
             whose = np.repeat(np.arange(len(part)), [len(p) for p in picked])
             share = 1 / np.array([len(p) for p in picked])[whose]
@@ -163,8 +172,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     clean = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
     taught = clean.where((F.col("toxic") == F.col("most")) & ~is_held_out()).select("doc_id", "toxic")
     chosen = taught.orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(sample_rows)
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id", "text").limit(sample_rows).collect()
-    return train([r["text"] or "" for r in rows], [r["toxic"] for r in rows])
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id", "text").limit(sample_rows).select("text", "toxic").toArrow()
+    return train((t.as_py() or "" for t in rows.column("text")), rows.column("toxic").to_pylist())
 
 
 def score_texts(docs: DataFrame, model: Model, keep: Sequence[Column]) -> DataFrame:
