@@ -1,30 +1,39 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-The rows of a source, in the order of a hash, form blocks. Block j (from 1) of a source of weight w is released at slot
-floor((j-1)/w) and due by slot ceil(j/w); each slot goes to the released block that is due first. So no source is ever a whole block
-ahead of or behind its weight. Weights are multiples of 1/PERIOD, which makes the schedule periodic: one period,
-of fixed length, is worked out from the weights alone, and each block finds its slot by arithmetic and a join with
-that table. When a source is used up the others go on by their weights, in a new phase.
-
-Sources under a share of MIN_SHARE of the rows form one pooled source, which bounds the number of sources, phases and table
-rows whatever the data. Only DataFrame expressions touch rows.
+The rows of a source, in the order of a hash, form blocks. All sources flow side by side by their weights, and where one is used up
+the others go on by theirs: after flow v, source i has passed min(w_i v, blocks of i), and T(v) is the sum over sources. Block j
+(from 1) of a source is released at slot floor(T((j-1)/w)) and due by slot ceil(T(j/w)); each slot goes to the released block that
+is due first. The flow itself keeps these bounds, so the slots do, too: no source is ever a whole block ahead of or behind its weight,
+however long the table is. Weights are taken as exact fractions, and every source has its own.
+
+Slots depend on one another, so the driver works them out one by one, with a few numbers per source, and writes them to the shared
+folder CHUNK at a time: one small row per block, none per row. Only DataFrame expressions touch rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import heapq
+from bisect import bisect_right
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
+from functools import cmp_to_key
+from itertools import accumulate
+from math import lcm
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from feedfold.session import scratch_path
+
 BLOCK_ROWS = 16
-PERIOD = 2520
-MIN_SHARE = 1 / 200
 POWER = 0.5
-BUCKETS = 4096
+RANGE_ROWS = 512
+CHUNK = 500_000
+LEAST = 1e-9
 
 
-def whole_shares(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
+def whole_shares(weights: Mapping[str, float], period: int) -> dict[str, int]:
     """Weights as slots of a period, at least one each, that add up to it (largest remainders first)."""
     total, spare = sum(weights.values()), period - len(weights)
     exact = {k: spare * w / total for k, w in weights.items()}
@@ -34,82 +43,112 @@ def whole_shares(weights: Mapping[str, float], period: int = PERIOD) -> dict[str
     return out
 
 
-def one_period(shares: Mapping[str, int], period: int = PERIOD) -> list[str]:
-    """The source of each slot: of the released blocks the one due first, ties by name."""
-    done = dict.fromkeys(shares, 0)
-    slots = []
-    for t in range(period):
-        ready = [k for k, a in shares.items() if done[k] * period // a <= t]
-        pick = min(ready, key=lambda k: (-(-(done[k] + 1) * period // shares[k]), k))
-        done[pick] += 1
-        slots.append(pick)
-    return slots
-
-
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD) -> list[tuple]:
-    """(source, first block, end block, first slot, blocks a period, place in the period, slot in the period) of each phase and place.
-
-    A phase ends with the slot that takes the last block of a source.
-    """
-    left, used, start, rows = dict(blocks), dict.fromkeys(blocks, 0), 0, []
-    while live := {k: weights[k] for k, n in left.items() if n}:
-        shares = whole_shares(live, period)
-        slots = one_period(shares, period)
-        at: dict[str, list[int]] = {k: [] for k in live}
-        for t, k in enumerate(slots):
-            at[k].append(t)
-        ends = {k: (left[k] - 1) // shares[k] * period + at[k][(left[k] - 1) % shares[k]] for k in live}
-        last = min(ends.values())
-        for k in live:
-            taken = (last + 1) // period * shares[k] + sum(t < (last + 1) % period for t in at[k])
-            rows += [(k, used[k], used[k] + taken, start, shares[k], i, t) for i, t in enumerate(at[k])]
-            used[k] += taken
-            left[k] -= taken
-        start += last + 1
-    return rows
-
-
-def schedule(rows: DataFrame, source: Column, order: Column, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
+def pfair(blocks: Mapping[str, int], weights: Mapping[str, float]) -> Iterator[tuple[str, int]]:
+    """(source, block) of slot 0, 1, ...: of the released blocks the one due first, ties by name. Weights are above 0."""
+    names = sorted(k for k, n in blocks.items() if n)
+    exact = [Fraction(str(weights[k])) for k in names]
+    scale = lcm(*(x.denominator for x in exact))
+    w, n = [int(x * scale) for x in exact], [blocks[k] for k in names]
+    # sources in the order in which the flow uses them up, by n / w; before the e-th end, T(v) = passed[e] + rate[e] * v
+    ends = sorted(range(len(names)), key=cmp_to_key(lambda a, b: n[a] * w[b] - n[b] * w[a]))
+    passed = list(accumulate((n[i] for i in ends), initial=0))
+    rate = list(accumulate((-w[i] for i in ends), initial=sum(w)))
+    at = [0] * len(names)  # how many sources have ended where a source's flow is
+
+    def when(i: int, j: int) -> int:
+        """T(j / w_i), times w_i."""
+        e = at[i]
+        if e < len(ends) and j * w[ends[e]] > n[ends[e]] * w[i]:
+            e = at[i] = bisect_right(ends, 0, lo=e, key=lambda k: 0 if n[k] * w[i] < j * w[k] else 1)
+        return passed[e] * w[i] + rate[e] * j
+
+    done, due = [0] * len(names), [0] * len(names)
+    free = [0] * len(names)  # slot of release of the next block
+    ready: list[tuple[int, int]] = []
+    later: list[tuple[int, int]] = []  # by slot of release
+
+    def release(i: int, slot: int) -> None:
+        start, end = free[i], when(i, done[i] + 1)
+        due[i], free[i] = -(-end // w[i]), end // w[i]
+        if start <= slot:
+            heapq.heappush(ready, (due[i], i))
+        else:
+            heapq.heappush(later, (start, i))
+
+    for i in range(len(names)):
+        release(i, 0)
+    for slot in range(passed[-1]):
+        while later and later[0][0] <= slot:
+            i = heapq.heappop(later)[1]
+            heapq.heappush(ready, (due[i], i))
+        _, i = heapq.heappop(ready)
+        yield names[i], done[i]
+        done[i] += 1
+        if done[i] < n[i]:
+            release(i, slot + 1)
+
+
+def _slots(spark: SparkSession, blocks: Mapping[str, int], weights: Mapping[str, float]) -> DataFrame:
+    """_source, _block, _slot of all blocks, in the shared folder."""
+    path, kind = scratch_path(spark, "llm-slots"), "_source string, _block long, _slot long"
+    names, numbers, first = [], [], 0
+
+    def write() -> None:
+        columns = {"_source": pa.array(names, pa.string()), "_block": pa.array(numbers, pa.int64()), "_slot": pa.array(range(first, first + len(names)), pa.int64())}
+        spark.createDataFrame(pa.table(columns), kind).write.mode("append").parquet(path)
+
+    for name, block in pfair(blocks, weights):
+        names.append(name)
+        numbers.append(block)
+        if len(names) == CHUNK:
+            write()
+            first += CHUNK
+            names, numbers = [], []
+    if names or not first:
+        write()
+    return spark.read.schema(kind).parquet(path)
+
+
+def schedule(rows: DataFrame, source: Column, order: Column, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS, period: int | None = None) -> DataFrame:
     """rows with _source, _block (in its source), _slot (of the block in the whole) and _place (in the block).
 
-    Without given weights a source weighs its number of rows to the power POWER. A source that weights does not name, one under
-    MIN_SHARE of the rows, and a null source go by the name null, as one source; so does its weight, if given under None.
+    Without given weights every source weighs its number of rows to the power POWER. Sources that given weights do not name go by
+    the name null, as one source, as null sources do; their weight may be given under None, else it is LEAST, as for weights of 0.
+    With a period, weights are first rounded to multiples of 1/period by whole_shares().
     """
-    spark = rows.sparkSession
-    total = rows.count()
-    counts = rows.groupBy(source.alias("_source")).count().where(F.col("count") >= F.lit(total * MIN_SHARE)).where("_source IS NOT NULL")
-    named = {r["_source"]: r["count"] for r in counts.collect()}  # at most 1 / MIN_SHARE rows
-    if weights is not None:
-        named = {k: n for k, n in named.items() if k in weights}
-    name = F.when(source.isin(list(named)), source) if named else F.lit(None).cast("string")
-    keyed = rows.withColumn("_source", F.concat(F.lit("="), name)).withColumn("_source", F.coalesce("_source", F.lit("")))
-    keyed = keyed.withColumn("_mixed", F.xxhash64(order, F.lit(5))).withColumn("_bucket", F.shiftright(F.col("_mixed"), 52).cast("int"))
-    # a row's rank in its source: its rank in one of BUCKETS ranges of the hash plus the rows of the ranges before
-    ranges = keyed.groupBy("_source", "_bucket").count()
+    if weights is not None and not all(0 <= x < float("inf") for x in weights.values()):
+        raise ValueError("weights must be finite and not negative")
+    if weights is None:
+        name = source
+    else:
+        given = [k for k in weights if k is not None]
+        name = F.when(source.isin(given), source) if given else F.lit(None).cast("string")
+    keyed = rows.withColumn("_source", F.coalesce(F.concat(F.lit("="), name), F.lit("")))
+    sizes = {r["_source"]: r["count"] for r in keyed.groupBy("_source").count().collect()}  # one row per source
+    # a row's rank in its source: its rank in one of many ranges of the hash plus the rows of the ranges before
+    bits = min(20, max(4, (sum(sizes.values()) // RANGE_ROWS).bit_length()))
+    keyed = keyed.withColumn("_mixed", F.xxhash64(order, F.lit(5))).withColumn("_bucket", F.shiftright(F.col("_mixed"), 64 - bits).cast("int"))
+    wanted = {k: float(n) ** POWER if weights is None else float(weights.get(k[1:] if k else None, LEAST)) or LEAST for k, n in sizes.items()}
+    if period is not None and wanted:
+        wanted = whole_shares(wanted, period)
+    slots = _slots(rows.sparkSession, {k: -(-n // block_rows) for k, n in sizes.items()}, wanted)
     before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select("_source", "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    ranges = keyed.groupBy("_source", "_bucket").count().withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    # each range takes along the slots of its own few blocks
+    first = F.floor(F.col("_before") / block_rows)
+    last = F.floor((F.col("_before") + F.col("count") - 1) / block_rows)
+    each = ranges.select("_source", "_bucket", "_before", F.explode(F.sequence(first, last)).alias("_block")).join(slots, ["_source", "_block"])
+    listed = each.groupBy("_source", "_bucket", "_before").agg(F.sort_array(F.collect_list("_slot")).alias("_slots"))
     within = Window.partitionBy("_source", "_bucket").orderBy("_mixed", order)
-    ranked = keyed.withColumn("_rank", F.row_number().over(within) - 1).join(ranges, ["_source", "_bucket"])
+    ranked = keyed.withColumn("_rank", F.row_number().over(within) - 1).join(listed, ["_source", "_bucket"])
     rank = F.col("_rank") + F.col("_before")
     placed = ranked.withColumn("_block", F.floor(rank / block_rows)).withColumn("_place", (rank % block_rows).cast("int"))
-    sizes = {f"={k}": n for k, n in named.items()}
-    rest = total - sum(sizes.values())
-    if rest:
-        sizes[""] = rest
-    wanted = {k: float(n) ** POWER if weights is None else float(weights.get(k[1:] if k else None, 1e-9)) for k, n in sizes.items()}
-    table = phases({k: -(-n // block_rows) for k, n in sizes.items()}, wanted, period)
-    steps = spark.createDataFrame(table, "_source string, _from long, _until long, _start long, _share long, _i long, _t long")
-    spans = steps.groupBy("_source", "_from", "_until", "_start", "_share").agg(F.sort_array(F.collect_list(F.struct("_i", "_t")))["_t"].alias("_ts"))
-    spans = spans.where("_from < _until").groupBy("_source").agg(F.sort_array(F.collect_list(F.struct("_until", "_from", "_start", "_share", "_ts"))).alias("_spans"))
-    joined = placed.join(F.broadcast(spans), "_source")  # at most (1 / MIN_SHARE + 1) * PERIOD places in all
-    span = F.get(F.filter("_spans", lambda s: s["_until"] > F.col("_block")), F.lit(0))
-    step = F.col("_block") - span["_from"]
-    slot = span["_start"] + F.floor(step / span["_share"]) * period + F.get(span["_ts"], (step % span["_share"]).cast("int"))
-    return joined.withColumn("_slot", slot).drop("_spans", "_mixed", "_bucket", "_rank", "_before")
-
-
-def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
-    """doc_id, source, stream (the scheduled source, null if pooled), block, slot, place of every row of docs.
+    slot = F.get("_slots", (F.col("_block") - first).cast("int"))
+    return placed.withColumn("_slot", slot).drop("_slots", "_mixed", "_bucket", "_rank", "_before")
+
+
+def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS, period: int | None = None) -> DataFrame:
+    """doc_id, source, stream (the scheduled source, null for null sources and those that weights leaves out), block, slot, place of every row of docs.
 
     Rows go by slot, then place. No row is dropped or repeated. Nulls, repeated ids and equal rows are ordinary rows (equal
     ones in either order); an empty table gives no rows.
@@ -120,7 +159,7 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows:
     return out.select("held.doc_id", "held.source", stream.alias("stream"), F.col("_block").alias("block"), F.col("_slot").alias("slot"), F.col("_place").alias("place"))
 
 
-def mixed_rows(docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
+def mixed_rows(docs: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS, period: int | None = None) -> DataFrame:
     """The rows of docs, with all their columns, sorted into the order of the schedule."""
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("held"))
     return schedule(rows, F.col("held.source"), F.col("held.doc_id"), weights, block_rows, period).orderBy("_slot", "_place").select("held.*")

@@ -157,6 +157,22 @@ def test_mixing_keeps_every_row_and_stays_within_a_block(spark):
     assert mixing.mix(docs.where("false")).count() == 0
 
 
+def streams_by_slot(rows):
+    by_slot = {r["slot"]: r["stream"] for r in rows}
+    assert sorted(by_slot) == list(range(len(by_slot)))
+    return [by_slot[t] for t in range(len(by_slot))]
+
+
+def test_mixing_schedules_each_of_many_sources(spark):
+    equal = docs_of(spark, [(n * 100 + i, "t", f"s{n}") for n in range(300) for i in range(4)])
+    slots = streams_by_slot(mixing.mix(equal, block_rows=1).collect())
+    for t in range(0, len(slots), 300):
+        assert len(set(slots[t : t + 300])) == 300
+    rare = docs_of(spark, [(i, "t", "big") for i in range(1000)] + [(2000 + i, "t", "rare") for i in range(4)])
+    slots = streams_by_slot(mixing.mix(rare, {"big": 0.7, "rare": 0.3}, block_rows=1).collect())
+    assert [t for t, s in enumerate(slots) if s == "rare"][-1] < 14
+
+
 def test_toxicity_learns_words_and_their_misspellings(spark):
     bad = ["venomous", "wretched", "horrible"]
     rows, labels = [], []
