@@ -173,6 +173,16 @@ def test_mixing_schedules_each_of_many_sources(spark):
     assert [t for t, s in enumerate(slots) if s == "rare"][-1] < 14
 
 
+def test_mixing_keeps_to_the_given_weights_over_a_long_table(spark):
+    weights = {"a": 0.50013, "b": 0.29987, "c": 0.15, None: 0.05}
+    docs = spark.range(60000).selectExpr("id AS doc_id", "CASE WHEN id % 10 < 5 THEN 'a' WHEN id % 10 < 8 THEN 'b' WHEN id % 20 < 19 THEN 'c' END AS source")
+    slots = streams_by_slot(mixing.mix(docs, weights, block_rows=2).select("slot", "stream").distinct().collect())
+    seen = collections.Counter()
+    for t, s in enumerate(slots[:29000]):  # no source ends before
+        seen[s] += 1
+        assert all(abs(seen[k] - w * (t + 1)) < 1 for k, w in weights.items())
+
+
 def test_toxicity_learns_words_and_their_misspellings(spark):
     bad = ["venomous", "wretched", "horrible"]
     rows, labels = [], []
