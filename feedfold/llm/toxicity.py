@@ -13,6 +13,7 @@ down to one number per n-gram row, which is what scoring sends to the executors
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -32,16 +33,32 @@ DROPPED = 0.75
 CACHE_WORDS = 400_000
 #: Fixed: what separates and what trims words.
 EDGES = " \t\n\x0b\x0c\r.,;:!?\"'()[]{}<>|*#$%&@~`^_+=-/\\"
+_EDGE = re.compile(f"[{re.escape(EDGES)}]+")
+PIECE, LONGEST_GRAM = 64, 6
+
+
+def pieces(run: str) -> list[str]:
+    """A run of more than PIECE characters: cut at EDGES, what is still longer into pieces that overlap, so that no n-gram is lost."""
+    step = PIECE - LONGEST_GRAM + 1
+    parts = [p for p in _EDGE.split(run) if p]
+    return [p[at : at + PIECE] for p in parts for at in range(0, max(1, len(p) - LONGEST_GRAM + 1), step)] or [run[:1]]
 
 
 def words_of(text: str) -> list[str]:
-    return text.lower().split()
+    """What white space separates; a long run (no spaces, or words joined by other signs) counts as several words."""
+    out: list[str] = []
+    for w in text.lower().split():
+        if len(w) > PIECE:
+            out += pieces(w)
+        else:
+            out.append(w)
+    return out
 
 
 def ngrams(word: str) -> list[int]:
     """Hashed rows of the character 3- to 6-grams of a word between < and >, and of the word itself."""
-    core = f"<{word.strip(EDGES)[:64]}>"
-    data = [core[i : i + n] for n in (3, 4, 5, 6) for i in range(len(core) - n + 1)]
+    core = f"<{word.strip(EDGES)}>"
+    data = [core[i : i + n] for n in range(3, LONGEST_GRAM + 1) for i in range(len(core) - n + 1)]
     return [zlib.crc32(g.encode("utf-8", "replace")) % ROWS for g in (*data, f"{core} ")]
 
 

@@ -204,6 +204,18 @@ def test_toxicity_learns_words_and_their_misspellings(spark):
     assert {r["predicted"] for r in toxicity.toxicity(docs_of(spark, rows), table.where("false")).collect()} == {0}
 
 
+def test_toxicity_reads_all_of_a_long_run():
+    grams = lambda text: {g for w in toxicity.words_of(text) for g in toxicity.ngrams(w)}
+    run = "".join(chr(0x4E00 + k * 7 % 5000) for k in range(400))
+    for at in range(len(run) - 5):
+        assert zlib.crc32(run[at : at + 6].encode()) % toxicity.ROWS in grams(run)
+    weights = np.full(toxicity.ROWS, -1.0)
+    weights[toxicity.ngrams("venomous")] = 9.0
+    model, clean = toxicity.Model(weights, 0.0), ",".join(["harmless"] * 20)
+    assert model.score(clean, {}) < 0.5 < model.score(f"{clean},venomous", {})
+    assert toxicity.words_of("-" * 100) and toxicity.words_of("Short, text") == ["short,", "text"]
+
+
 def test_quality_discriminant(spark):
     rows = [(i, prose(i, 80) if i % 3 else prose(i, 80).upper().replace(" ", "!! ")) for i in range(200)]
     table = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(200)], "doc_id long, quality int, toxic int")
