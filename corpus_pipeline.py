@@ -33,8 +33,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents in sequences of at most 2048 tokens."""
-    return packing.digests(packing.pack(docs, TOKENIZER))
+    """The pieces of the documents in sequences of at most 2048 tokens, so that each run of sequences keeps the mix."""
+    return packing.digests(packing.pack(docs, TOKENIZER, mixed=True))
 
 
 STAGES = [

@@ -2,7 +2,8 @@
 
 A document is its token ids plus an end id. Hashed counts of its ids are projected to a few dimensions, the point's
 place on a Hilbert curve is its key, and documents in key order, laid end to end, are cut every `length` ids. So
-neighbours on the curve share sequences, and only the last sequence of all can be short.
+neighbours on the curve share sequences, and only the last sequence of all can be short. Packing a mix, documents go by
+ranges of RUN_SLOTS slots of the schedule (see mixing) first, by the curve within each, so that target weights reach every run of sequences.
 
 Ids are tokenized once and staged. Keys alone are range-sorted to give each document its place; then each task cuts its own documents.
 """
@@ -18,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedfold.llm import mixing
 from feedfold.llm.common import stage
 
 LENGTH = 2048
 END_ID = 1
 FEATURES, DIMS, BITS = 1024, 4, 12
 CACHE = 1_200_000
+RUN_SLOTS = 64
 _ODD = re.compile(r" \s|\s ")
 
 
@@ -108,8 +111,8 @@ class Curve:
         return hilbert(np.array([self.point(i) for i in all_ids]).reshape(-1, DIMS), BITS)
 
 
-def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """row, doc_id, key, tokens (with the end id) and ids (16-bit where all fit, else 32-bit) of every row of docs; staged."""
+def tokenized(docs: DataFrame, tokenizer: str, *more: str) -> DataFrame:
+    """row, doc_id, key, tokens (with the end id), ids (16-bit where all fit, else 32-bit) and more columns of every row of docs; staged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, curve, end = _tokens(tokenizer), Curve(), np.array([END_ID], "<u4").tobytes()
@@ -119,17 +122,19 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
                 ids = [np.frombuffer(tokens.ids(t.as_py() or "") + end, "<u4") for t in part.column(2)]
                 packed = [i.astype("<u2").tobytes() if i.max() < 65536 else i.tobytes() for i in ids]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(curve.keys(ids), pa.int64()), pa.array([len(i) for i in ids], pa.int64()), pa.array(packed, pa.binary())],
-                    names=["row", "doc_id", "key", "tokens", "ids"],
+                    [part.column(0), part.column(1), pa.array(curve.keys(ids), pa.int64()), pa.array([len(i) for i in ids], pa.int64()), pa.array(packed, pa.binary()), *part.columns[3:]],
+                    names=["row", "doc_id", "key", "tokens", "ids", *more],
                 )
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    return stage(rows.mapInArrow(run, f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, key long, tokens long, ids binary"), "tokens")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", *more)
+    kinds = {"row": "long", "doc_id": docs.schema["doc_id"].dataType.simpleString(), "key": "long", "tokens": "long", "ids": "binary"}
+    kinds |= {c: docs.schema[c].dataType.simpleString() for c in more}
+    return stage(rows.mapInArrow(run, ", ".join(f"{c} {k}" for c, k in kinds.items())), "tokens")
 
 
 def places(rows: DataFrame) -> DataFrame:
-    """row and first: how many ids come before each row in key order. The driver sees one sum per partition."""
-    ordered = stage(rows.select("row", "doc_id", "key", "tokens").orderBy("key", "doc_id", "row").withColumn("part", F.spark_partition_id()), "order")
+    """row and first: how many ids come before each row in the order of run and key. The driver sees one sum per partition."""
+    ordered = stage(rows.select("row", "doc_id", "run", "key", "tokens").orderBy("run", "key", "doc_id", "row").withColumn("part", F.spark_partition_id()), "order")
     sums = sorted((r["part"], r["n"]) for r in ordered.groupBy("part").agg(F.sum("tokens").alias("n")).collect())
     before, total = {}, 0
     for part, n in sums:
@@ -150,17 +155,23 @@ def places(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(first)], names=["row", "first"])
 
     # one row per sorted partition goes to the rows of that partition, in their order
-    keyed = ordered.join(F.broadcast(starts), "part").repartition(max(len(before), 1), "part").sortWithinPartitions("part", "key", "doc_id", "row")
+    keyed = ordered.join(F.broadcast(starts), "part").repartition(max(len(before), 1), "part").sortWithinPartitions("part", "run", "key", "doc_id", "row")
     return keyed.select("row", "part", "tokens", "before").mapInArrow(run, "row long, first long")
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, mixed: bool = False, run_slots: int = RUN_SLOTS) -> DataFrame:
     """Pieces: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian 32-bit).
 
     A null or empty text is its end id alone. Repeated rows and null ids are documents like others, in order of key, doc_id and place in
-    the table; an empty table gives no pieces. Columns besides doc_id and text are not read.
+    the table; an empty table gives no pieces. Columns besides doc_id and text are not read. With mixed, source is read, and documents
+    go by ranges of run_slots slots of the schedule that mixing gives the table, then by key.
     """
-    rows = tokenized(docs, tokenizer)
+    rows = tokenized(docs, tokenizer, *["source"] * mixed)
+    ranked = rows.select("row", "doc_id", "key", "tokens", *["source"] * mixed)
+    if mixed:
+        ranked = mixing.schedule(ranked, F.col("source"), F.col("doc_id")).withColumn("run", F.floor(F.col("_slot") / run_slots))
+    else:
+        ranked = ranked.withColumn("run", F.lit(0))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +193,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
                     names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
                 )
 
-    joined = rows.select("row", "doc_id", "tokens", "ids").join(places(rows), "row")
+    joined = rows.select("row", "doc_id", "tokens", "ids").join(places(ranked), "row")
     return joined.select("doc_id", "tokens", "ids", "first").mapInArrow(
         run, f"doc_id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
     )

@@ -128,6 +128,19 @@ def test_packing_is_a_gapless_round_trip(spark):
     assert packing.pack(docs_of(spark, []), TOKENIZER).count() == 0
 
 
+def test_packing_a_mix_keeps_source_shares_in_every_run(spark):
+    rows = [(i, f"{'abc'[i % 3]} " * 60, "abc"[i % 3]) for i in range(1800)]  # a source's texts are neighbours on the curve
+    source = {r[0]: r[2] for r in rows}
+    pieces = packing.pack(docs_of(spark, rows), TOKENIZER, 256, mixed=True, run_slots=9).collect()
+    last = max(p["sequence_id"] for p in pieces)
+    for at in range(5):
+        held = collections.Counter()
+        for p in pieces:
+            if p["sequence_id"] * 5 // (last + 1) == at:
+                held[source[p["doc_id"]]] += p["length"]
+        assert all(0.2 < n / sum(held.values()) < 0.47 for n in held.values()) and len(held) == 3
+
+
 def test_hilbert_neighbours_touch():
     grid = np.array([(i, j, k) for i in range(8) for j in range(8) for k in range(8)])
     path = grid[np.argsort(packing.hilbert(grid, 3))]

@@ -23,3 +23,11 @@ def test_each_stage_acts_and_columns_stay(spark, tmp_path):
     assert kept[1] - kept[2] == {201} and kept[2] - kept[3] == {202} and kept[3] == kept[4] == kept[5]
     run = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(map(tuple, run.select("doc_id", "start", "length", "ids_crc32").collect())) == sorted(map(tuple, docs.select("doc_id", "start", "length", "ids_crc32").collect()))
+
+
+def test_packing_stage_goes_by_the_mix(spark, tmp_path):
+    rows = [(i, f"{'ab'[i % 2]} " * 40, "ab"[i % 2]) for i in range(8000)]
+    pieces = corpus_pipeline.packing_stage(spark, docs_of(spark, rows), str(tmp_path)).collect()
+    half = max(p["sequence_id"] for p in pieces) / 2
+    held = [sum(p["length"] for p in pieces if p["sequence_id"] < half and p["doc_id"] % 2 == k) for k in (0, 1)]
+    assert 0.4 < held[0] / sum(held) < 0.6
