@@ -239,9 +239,9 @@ def _linked(shared: DataFrame, texts: DataFrame, size: int, per_cent: int) -> Da
         block *= BLOCK
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """One row of docs for each component, with all columns: that of the smallest doc_id. Rows without doc_id stay."""
-    keep = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    keep = near_duplicates(docs, size).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("held"), F.col("doc_id").cast("long").alias("id"))
     named = held.where("id IS NOT NULL").join(keep.withColumnRenamed("doc_id", "id"), "id", "left_semi").dropDuplicates(["id"])
     return named.unionByName(held.where("id IS NULL")).select("held.*")

@@ -31,3 +31,11 @@ def test_packing_stage_goes_by_the_mix(spark, tmp_path):
     half = max(p["sequence_id"] for p in pieces) / 2
     held = [sum(p["length"] for p in pieces if p["sequence_id"] < half and p["doc_id"] % 2 == k) for k in (0, 1)]
     assert 0.4 < held[0] / sum(held) < 0.6
+
+
+def test_near_dedup_stage_goes_by_five_words(spark, tmp_path):
+    base = [f"w{i}" for i in range(91)]
+    other = list(base)
+    other[20] = other[50] = "new"  # 80 of 96 shingles of 4 words are shared, 77 of 97 of 5 words
+    docs = docs_of(spark, [(1, " ".join(base)), (2, " ".join(other)), (3, " ".join(base[:-1]))])
+    assert {r["doc_id"] for r in corpus_pipeline.near_dedup_stage(spark, docs, str(tmp_path)).collect()} == {1, 2}
