@@ -201,9 +201,9 @@ def _linked(shared: DataFrame, texts: DataFrame, size: int, per_cent: int) -> Da
     tests = stage(_compared(led.select(F.col("doc").alias("a"), F.col("lead").alias("b")).distinct(), texts, size, rest=True), "tests")
     edges = stars(_similar(tests, per_cent), "a", "b")
     tested = tests.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    # what each row shares with its lead; a doc_id of several texts may share anything
+    # what each row shares with its lead; a doc_id of several texts may share anything, by its smallest text
     with_lead = tests.groupBy(F.col("a").alias("doc"), F.col("b").alias("lead")).agg(
-        F.when(F.count("*") > 1, F.lit(ANY)).otherwise(F.max("common")).alias("common"), F.max("n_a").alias("n")
+        F.when(F.count("*") > 1, F.lit(ANY)).otherwise(F.max("common")).alias("common"), F.min("n_a").alias("n")
     )
     inside = join_spread(led, with_lead, ["doc", "lead"], ["bucket"], 8).select("bucket", "doc", "common", "n")
     outside = tests.select(F.col("a").alias("doc"), "b", F.explode("rest").alias("s")).select(

@@ -105,6 +105,15 @@ def test_near_dedup_equals_brute_force(spark):
     assert near_dedup.near_duplicates(docs_of(spark, []).where("false")).count() == 0
 
 
+def test_near_dedup_tests_the_short_text_of_a_repeated_id(spark):
+    w = [f"w{i}" for i in range(160)]
+    lead, x, short = " ".join(w), " ".join(w[:100]), " ".join(w[:90])
+    texts = docs_of(spark, [(1, x), (2, short), (2, prose(9, 3000)), (3, lead), (4, lead)])
+    shared = spark.createDataFrame([(7, 1, 3), (7, 2, 3), (7, 3, 3), (8, 3, 2), (8, 4, 2)], "bucket long, doc long, n long")
+    links = near_dedup._linked(shared, texts, 4, 80).collect()
+    assert classes(range(1, 5), [tuple(r) for r in links])[2] == 1
+
+
 def test_packing_is_a_gapless_round_trip(spark):
     from tokenizers import Tokenizer
 
