@@ -282,6 +282,18 @@ def test_repeated_passages(spark):
     assert substring_dedup.repeated_passages(docs_of(spark, [])).count() == 0
 
 
+def test_passages_end_where_a_shared_block_lies_elsewhere():
+    p, block = prose(1, 70, 10**6).split(), prose(2, 60, 10**6).split()
+    for k, edit in enumerate((["new"], [], [p[35], "new"])):  # word 35 replaced, deleted, followed by a new one
+        q = p[:35] + edit + p[36:]
+        one = prose(3, 90, 10**6).split() + p + block + prose(4, 90, 10**6).split()
+        two = prose(5, 50, 10**6).split() + q + prose(6, 300, 10**6).split() + block
+        own, other = (near_dedup.Hasher(5).runs([w.encode() for w in t]) for t in (one, two))
+        for a, b, at, there in ((own, other, 100, 60), (other, own, 60, 100)):
+            got = substring_dedup.passage(a, b, at, there, 46)
+            assert got and (got[0], got[2]) == (at - 10, there - 10) and got[4] >= 0.8 and abs(got[1] - 66) <= 1
+
+
 def test_compact_windows_partition_all_wide_subsequences():
     values = np.random.default_rng(1).permutation(60)
     cover = collections.Counter()
