@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedfold.session import scratch_path
@@ -40,6 +40,21 @@ def join_spread(rows: DataFrame, side: DataFrame, key: Sequence[str], spread: Se
     return salted.join(side.join(there, [*key]), [*key, "_salt"]).drop("_salt")
 
 
+def placed(rows: DataFrame, group: str, order: Sequence[Column | str], name: str) -> DataFrame:
+    """rows plus `pos`, the place (from 0) of each row in its group, and `n`, the group's rows.
+
+    `order` must tell all rows of a group apart. One range sort deals the rows out, so a group of any size is spread over
+    tasks; a row's place is that in its sorted partition plus what the partitions before hold, one small row per group and partition.
+    """
+    ordered = stage(rows.orderBy(group, *order).withColumn("_at", F.monotonically_increasing_id()), name)
+    ordered = ordered.withColumn("_part", F.shiftrightunsigned("_at", 33))
+    parts = ordered.groupBy(group, "_part").agg(F.count("*").alias("_rows"), F.min("_at").alias("_first"))
+    whole = Window.partitionBy(group)
+    before = F.coalesce(F.sum("_rows").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = parts.select(group, "_part", (before - F.col("_first")).alias("_shift"), F.sum("_rows").over(whole).alias("n"))
+    return ordered.join(starts, [group, "_part"]).withColumn("pos", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift")
+
+
 def _print(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
     return (row[0], row[1] or 0)

@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedfold.llm import embedding_dedup, exact_dedup, licenses, mixing, near_dedup, packing, quality, substring_dedup, toxicity, warc
+from feedfold.llm import (
+    block_topk,
+    embedding_dedup,
+    exact_dedup,
+    licenses,
+    merkle,
+    mixing,
+    near_dedup,
+    packing,
+    quality,
+    substring_dedup,
+    toxicity,
+    vector_codes,
+    warc,
+)
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -56,6 +70,18 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -69,6 +95,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pfair_mixing,
         op9_minhash_dedup,
         op10_embedding_dedup,
+        op11_vector_codes,
+        op12_block_topk,
+        op13_merkle_manifest,
     )
 }
-ORACLES: dict[str, str] = {"op1_warc_transactions": warc.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE, "op5_license_scan": licenses.oracle()}
+ORACLES: dict[str, str] = {
+    "op1_warc_transactions": warc.ORACLE,
+    "op3_exact_dedup": exact_dedup.ORACLE,
+    "op5_license_scan": licenses.oracle(),
+    "op11_vector_codes": vector_codes.ORACLE,
+    "op12_block_topk": block_topk.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
+}
