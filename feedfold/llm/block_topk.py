@@ -138,7 +138,7 @@ def candidates(vectors: DataFrame, scale: int = SCALE, every: int = EVERY, top:
     base = stage(integer_vectors(held, scale), "integers")
     first = base.orderBy(F.col("vec_id").asc_nulls_last(), "row").limit(PIVOTS).select("dim", "ints").collect()  # at most PIVOTS vectors
     wide = first[0]["dim"] if first else 0
-    pivots = np.array([r["ints"] for r in first if r["dim"] == wide], float).reshape(-1, wide)
+    pivots = np.array([r["ints"] for r in first if r["dim"] == wide], float)
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,0 +1,190 @@
+"""Vector codes, top-k search and Merkle manifest against brute force, with odd rows, ties and empty tables."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from feedfold.llm import block_topk, merkle, vector_codes
+from test_llm import DOCS, docs_of, prose, rows_of
+
+VECS = "vec_id long, embedding array<float>, label int, `row` string, dim string, `ints` int, `entry` int, `n` int"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, lab, "r", "d", 1, 2, 3) for i, v, lab in rows], VECS)
+
+
+def odd_vectors(n=260, dim=32, seed=4):
+    rng = np.random.default_rng(seed)
+    rows = [(int(i), [float(x) for x in np.float32(rng.normal(0, 0.3, dim))], int(i % 4) if i % 7 else None) for i in range(1, n)]
+    same = rows[5][1]
+    rows += [(1000 + i, same, 2) for i in range(40)]  # equal vectors, so ties everywhere
+    rows += [(7, rows[9][1], 3), (7, rows[9][1], 3), (100, same, 1), (None, rows[3][1], None), (0, [0.0] * dim, 0)]
+    rows += [(300, None, 1), (301, [], 1), (400, [None] + [0.1] * (dim - 1), 1), (500, [float("nan")] + [0.1] * (dim - 1), 1), (600, [float("inf")] + [0.1] * (dim - 1), 1)]
+    return rows
+
+
+def usable(rows):
+    return [r for r in rows if r[1] and None not in r[1] and np.isfinite(r[1]).all()]
+
+
+def lloyd(rows, scale, parts, entries, rounds):
+    """Codes, errors and books by full comparisons in plain integers."""
+    kept = sorted(usable(rows), key=lambda r: (r[0] is None, r[0] or 0, [np.floor(scale * c) for c in r[1]]))
+    x = [[int(np.floor(scale * float(np.float32(c)))) for c in r[1]] for r in kept]
+    w = len(x[0]) // parts
+    cut = [[tuple(v[p * w : p * w + w]) for p in range(parts)] for v in x]
+    books = [[cut[i][p] for i in range(min(entries, len(x)))] for p in range(parts)]
+
+    def assign():
+        near = lambda v, book: min((sum((a - b) ** 2 for a, b in zip(v, e)), k) for k, e in enumerate(book))
+        return [[near(v[p], books[p]) for p in range(parts)] for v in cut]
+
+    held = assign()
+    for _ in range(rounds):
+        for p in range(parts):
+            for k in range(len(books[p])):
+                own = [v[p] for v, h in zip(cut, held) if h[p][1] == k]
+                if own:
+                    books[p][k] = tuple(sum(c) // len(own) for c in zip(*own))
+        held = assign()
+    digest = hashlib.sha256(",".join(str(c) for b in books for e in b for c in e).encode()).hexdigest()
+    errors = [sum(d for d, _ in h) for h in held]
+    total = {}
+    for r, e in zip(kept, errors):
+        total[r[2]] = total.get(r[2], 0) + e
+    return sorted(((r[0], "".join(f"{k:02x}" for _, k in h), e, total[r[2]], digest) for r, h, e in zip(kept, held, errors)), key=repr)
+
+
+COLS = ("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@pytest.mark.parametrize("entries,rounds", [(8, 4), (64, 2)])
+def test_vector_codes_equal_full_lloyd(spark, entries, rounds):
+    rows = odd_vectors()
+    got = vector_codes.compress(table(spark, rows).repartition(5), 256, 8, entries, rounds)
+    assert got.columns == list(COLS)
+    assert rows_of(got, *COLS) == lloyd(rows, 256, 8, entries, rounds)
+
+
+def test_vector_codes_compare_only_what_moved(spark):
+    rows = odd_vectors()
+    state, books = vector_codes.train(table(spark, rows), 256, 8, 64, 6)
+    n = state.count()
+    last = state.agg({"compared": "sum"}).first()[0]
+    assert 0 < last < n * 8 * 64 / 2
+    x, book = np.array([[0, 0], [5, 0], [9, 9]]), np.array([[0, 1], [1, 0], [5, 0], [0, -1]])
+    entry, dist, taken = vector_codes.advance(x, np.array([1, 2, 3]), np.array([1, 0, 50]), book, np.array([True, False, False, True]))
+    assert [*entry] == [0, 2, 2] and [*dist] == [1, 0, 97] and taken == 2 * 2 + 4  # a tie goes to the lower entry
+
+
+def test_vector_codes_of_few_odd_and_no_vectors(spark):
+    few = [(3, [0.5, 0.25, 1.0], None), (2, [0.5, 0.25, -1.0], None), (9, [1.0, 2.0], 1), (4, [3e38, 0.0, 0.0], 1)]
+    got = rows_of(vector_codes.compress(table(spark, few), parts=2), "vec_id", "code", "error", "label_error")
+    assert got == [(2, "0000", 0, 0), (3, "0001", 0, 0)]  # another length and sums beyond a long take no part
+    assert vector_codes.compress(table(spark, few).where("false")).count() == 0
+    assert vector_codes.compress(table(spark, [(1, None, 1)])).columns == list(COLS)
+
+
+def best(rows, scale, every, top):
+    kept = [(r[0], [int(np.floor(scale * float(np.float32(c)))) for c in r[1]]) for r in usable(rows)]
+    out = []
+    for i, (q, x) in enumerate(kept):
+        if q is None or q % every:
+            continue
+        found = [(-sum(a * b for a, b in zip(x, y)), v is None, v or 0, v) for j, (v, y) in enumerate(kept) if j != i and len(y) == len(x)]
+        out += [(q, k + 1, f[3], -f[0]) for k, f in enumerate(sorted(found)[:top])]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("every,top", [(100, 10), (5, 3)])
+def test_top_k_equals_brute_force(spark, monkeypatch, every, top):
+    monkeypatch.setattr(block_topk, "SHARD_ROWS", 64)
+    monkeypatch.setattr(block_topk, "CHUNK_ROWS", 32)
+    rows = odd_vectors() + [(700, [0.5, 0.5], 1), (5, [0.5, -0.5], 1), (6, [0.25, 0.5], 1), (200, [1.0], 1)]
+    got = block_topk.top_k(table(spark, rows).repartition(3), 1024, every, top)
+    assert rows_of(got, "query_id", "rank", "vec_id", "score") == best(rows, 1024, every, top)
+
+
+def test_top_k_leaves_blocks_below_the_kth_score(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(0, 1, (40, 32))
+    rows = [(i, [float(c) for c in np.float32(centres[i % 40] + rng.normal(0, 0.05, 32))], 0) for i in range(2400)]
+    found = block_topk.candidates(table(spark, rows))
+    met, scored = found.agg({"blocks": "sum", "scored": "sum"}).first()[::1]
+    names = found.agg({"blocks": "sum", "scored": "sum"}).columns
+    sums = dict(zip(names, (met, scored)))
+    assert sums["sum(scored)"] < 0.5 * sums["sum(blocks)"]
+    assert rows_of(block_topk.top_k(table(spark, rows)), "query_id", "rank", "vec_id", "score") == best(rows, 1024, 100, 10)
+
+
+def test_top_k_of_large_numbers_and_of_nothing(spark):
+    rows = [(i, [float(2**17 + i), -3.0, float(i)], 0) for i in range(0, 300, 50)]
+    got = block_topk.top_k(table(spark, rows), 1024, 100, 10)
+    assert rows_of(got, "query_id", "rank", "vec_id", "score") == best(rows, 1024, 100, 10)
+    assert block_topk.top_k(table(spark, rows).where("false")).count() == 0
+    assert block_topk.top_k(table(spark, [(100, [1.0], 1)])).count() == 0
+
+
+def sha(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def tree(nodes, fanout):
+    """Root and, per node, the sides (left, right) up to it."""
+    at, paths = list(range(len(nodes))), [[] for _ in nodes]
+    while len(nodes) > 1:
+        for k, i in enumerate(at):
+            lo = i - i % fanout
+            paths[k].append(("".join(nodes[lo:i]), "".join(nodes[i + 1 : lo + fanout])))
+        nodes, at = [sha(*nodes[i : i + fanout]) for i in range(0, len(nodes), fanout)], [i // fanout for i in at]
+    return nodes[0], paths
+
+
+def leaf(d, s, g, n, t):
+    return sha(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in (d, s, g, n, t)))
+
+
+def manifest(rows, fanout):
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[2], []).append(r)
+    langs = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    subs = {}
+    for g in langs:
+        own = sorted(groups[g], key=lambda r: (r[0] is not None, r[0] or 0, leaf(*r)))
+        subs[g] = (own, *tree([leaf(*r) for r in own], fanout))
+    root, ways = tree([subs[g][1] for g in langs], fanout)
+    out = []
+    for g, way in zip(langs, ways):
+        for (d, s, lang, n, t), path in zip(subs[g][0], subs[g][2]):
+            hit = d is not None and n is not None and zlib.crc32(str(d).encode()) % 7 == 0
+            h = leaf(d, s, lang, n + hit if n is not None else None, t)
+            for left, right in path + way:
+                h = sha(left, h, right)
+            out.append((d, leaf(d, s, lang, n, t), subs[g][1], root, sha(*(x for p in path + way for x in p)), h, h == root))
+    return sorted(out, key=repr)
+
+
+FIELDS = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@pytest.mark.parametrize("fanout,levels", [(2, 4), (2, 1), (3, 2)])
+def test_manifest_equals_plain_tree(spark, fanout, levels):
+    rng = random.Random(3)
+    rows = [(i, f"s{i % 3}", rng.choice(["en", "de", "é", "zz"]), i * 3, prose(i, i % 9)) for i in range(300)]
+    rows += [(7, "x", "en", 1, "again"), (7, "x", "en", 1, "again"), (7, None, "en", None, None), (None, "s", "en", 5, "ü" * 5000), (None, None, None, None, None), (14, "s", "one", None, ""), (5, "s", "", 2**63 - 1, "a\nb"), (28, "s", "", 2**63 - 1, "x")]
+    got = merkle.manifest(spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string").repartition(7), fanout, levels)
+    assert rows_of(got, *FIELDS) == manifest(rows, fanout)
+
+
+def test_manifest_of_one_row_one_language_and_nothing(spark):
+    one = [(3, "s", "en", 2, "ab")]
+    got = merkle.manifest(spark.createDataFrame([r + ("p", 1, "t") for r in one], "doc_id long, source string, lang string, n_chars long, text string, pos string, `n` int, tree string"))
+    assert rows_of(got, *FIELDS) == manifest(one, 2) and got.first()["proof_sha256"] == sha()
+    many = [(i, "s", "en", i, "t") for i in range(33)]
+    assert rows_of(merkle.manifest(spark.createDataFrame(many, "doc_id long, source string, lang string, n_chars long, text string")), *FIELDS) == manifest(many, 2)
+    assert merkle.manifest(docs_of(spark, []).where("false")).count() == 0 and "n_chars" in DOCS
