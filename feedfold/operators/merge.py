@@ -51,9 +51,15 @@ def window_profile(
 
 # --- keyed snapshot --------------------------------------------------------
 
-def unchanged_history(history: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """History rows whose key the delta, with a key once, does not have."""
-    return match_rows(history, delta, keys, "left_anti")
+def unchanged_history(history: DataFrame, delta: DataFrame, keys: Sequence[str], clustered: bool = False) -> DataFrame:
+    """History rows whose key the delta does not have; a row without a key is nobody's and stays.
+
+    ``clustered`` asks Spark to meet both sides by key hash, which a side laid out that way needs no exchange for.
+    """
+    names = [f"_k{i}" for i in range(len(keys))]
+    wanted = delta.select(*(quoted(k).alias(n) for k, n in zip(keys, names)))
+    same = [quoted(k) == F.col(n) for k, n in zip(keys, names)]
+    return history.join(wanted.hint("merge") if clustered else wanted, reduce(Column.__and__, same), "left_anti")
 
 
 def snapshot_merge(
@@ -63,26 +69,24 @@ def snapshot_merge(
     order: Sequence[str],
     tiebreak: Sequence[str] | None = None,
     clusters: int | None = None,
+    laid_out: bool = False,
 ) -> DataFrame:
-    """The newest delta row of each key, and the history rows of all other keys.
+    """The newest delta row of each key, and all history rows of other keys.
 
-    A delta row replaces a history row as a whole. Columns and types may
-    differ between the two sides.
+    A delta row replaces history rows as a whole. Columns and types may
+    differ between the two sides. Rows without a key replace nothing: history's stay, and of the delta's the newest is added.
 
-    Without ``clusters`` this is an anti join and a union, and history may
-    hold a key any number of times; Spark broadcasts the delta's keys where
-    they turn out small. With ``clusters`` history holds a key once, and the
-    result has that many partitions by key hash, ready to be written as such:
-    both sides go through a single exchange and meet there, so history is not
-    shuffled once for the join and again for the layout.
+    Spark broadcasts the delta's keys where they turn out small. With ``clusters`` the
+    result has that many partitions by key hash, ready to be written as such, and
+    the same rows. Then history is ``laid_out`` that way already, as ``read_snapshot`` gives it, and only the delta is
+    shuffled; or it goes through one exchange, which serves the layout, too.
     """
+    if clusters:
+        delta = delta.repartition(clusters, *(quoted(k) for k in keys))
+        if not laid_out:
+            history = history.repartition(clusters, *(quoted(k) for k in keys))
     newest = latest_per_key(delta, keys, order, tiebreak=tiebreak)
-    if clusters is None:
-        return union_drift(unchanged_history(history, newest, keys), newest)
-    both = union_drift(
-        history.withColumn("_from_delta", F.lit(0)), newest.withColumn("_from_delta", F.lit(1))
-    ).repartition(clusters, *(quoted(k) for k in keys))
-    return latest_per_key(both, keys, ["_from_delta"], tiebreak=order).drop("_from_delta")
+    return union_drift(unchanged_history(history, newest, keys, bool(clusters)), newest)
 
 
 # --- column-wise upsert ----------------------------------------------------

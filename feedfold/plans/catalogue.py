@@ -609,16 +609,16 @@ def snapshot_merge(spark, sf_dir):
         WHERE is_new OR NOT EXISTS (SELECT 1 FROM newest d WHERE d.is_new AND d.o_custkey = n.o_custkey)"""
 )
 def clustered_snapshot(spark, sf_dir):
-    """A snapshot over an older one, written by key hash and read back."""
+    """A snapshot over an older one, both bucketed by key; only the delta is shuffled."""
     orders = table(spark, sf_dir, "orders")
     base = scratch_path(spark, "snapshots")
     cut = F.lit(SPLIT_DAY).cast("timestamp_ntz")
     first = latest_per_key(orders.where(F.col("o_orderdate") < cut), ["o_custkey"], ["o_orderdate"], tiebreak=["o_orderkey"])
-    sinks.write_snapshot(sinks.cluster_by(first, 8, ["o_custkey"]), base, "1999-12-31")
+    sinks.write_snapshot(sinks.cluster_by(first, 8, ["o_custkey"]), base, "1999-12-31", keys=["o_custkey"], buckets=8)
     history = tables.latest_snapshot(spark, base, "2000-01-01")
     delta = orders.where(F.col("o_orderdate") >= cut)
-    merged = merge.snapshot_merge(history, delta, ["o_custkey"], ["o_orderdate"], ["o_orderkey"], clusters=8)
-    sinks.write_snapshot(merged, base, "2000-01-01")
+    merged = merge.snapshot_merge(history, delta, ["o_custkey"], ["o_orderdate"], ["o_orderkey"], clusters=8, laid_out=True)
+    sinks.write_snapshot(merged, base, "2000-01-01", keys=["o_custkey"], buckets=8)
     return tables.latest_snapshot(spark, base, "2000-01-02").select("o_custkey", "o_orderkey", "o_totalprice")
 
 

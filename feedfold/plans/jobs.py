@@ -35,6 +35,7 @@ from feedfold.operators.schema import (
 from feedfold.operators.split import CHILD_PARTS, PRIMARY, FieldPolicy, split_posts, transform_blogs
 from feedfold.session import staging_path
 from feedfold.sources import sinks, tables
+from feedfold.sources.swap import settle
 from feedfold.streaming.feeds import BatchHandler
 
 POSTS_PARTITION = "partdate"
@@ -203,33 +204,38 @@ def merge_blogs(
     snapshots: str,
     clusters: int | None = None,
     key: str = "UrlHash",
+    owner: str | None = None,
 ) -> None:
     """A day's blog delta over the newest older snapshot, as that day's snapshot.
 
-    The snapshot is written in ``clusters`` files by key hash; unless given,
-    that is the number of shuffle partitions the cluster is set to. Without any older snapshot the delta alone is the snapshot; history that
-    cannot be read is an error.
+    The snapshot is written in ``clusters`` buckets by key hash; unless given, in as many as the older one has, or the
+    number of shuffle partitions the cluster is set to. Since the older one remembers its layout, only the delta is shuffled. Without any older
+    snapshot the delta alone is the snapshot; history that cannot be read is an error. ``owner`` names the run, so that its
+    repeat may go on where a lost driver stopped.
     """
+    settle(spark, snapshots, owner)
     delta = tables.read_delta(spark, blogs, exec_date)
-    history = tables.latest_snapshot(spark, snapshots, exec_date)
-    if history is not None:
-        history = history.drop("partition_key")
-    if delta is None and history is None:
+    folder = tables.latest_snapshot_folder(spark, snapshots, exec_date)
+    if delta is None and folder is None:
         return
-    clusters = clusters or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    history, layout = None, None
+    if folder is not None:
+        history, layout = tables.read_snapshot(spark, folder).drop("partition_key"), tables.layout_of(spark, folder)
+    keys = ["AccountId"]
+    known = layout["buckets"] if layout and layout["keys"] == keys else None
+    clusters = clusters or known or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order, tiebreak = ["CurrentTimestamp", "MergeDate"], ["kafkaoffset", "kafkapartition"]
     if delta is None:
-        merged = sinks.cluster_by(history, clusters, ["AccountId"])
+        merged = sinks.cluster_by(history, clusters, keys)
     else:
         delta = delta.drop("exec_date", "exec_time").withColumns(
             {"MergeDate": F.lit(as_date(exec_date).strftime("%Y%m%d")), "AccountId": F.col(key)}
         )
         if history is None:
-            newest = merge.latest_per_key(delta, ["AccountId"], order, tiebreak=tiebreak)
-            merged = sinks.cluster_by(newest, clusters, ["AccountId"])
+            merged = merge.latest_per_key(sinks.cluster_by(delta, clusters, keys), keys, order, tiebreak=tiebreak)
         else:
-            merged = merge.snapshot_merge(history, delta, ["AccountId"], order, tiebreak, clusters)
-    sinks.write_snapshot(merged, snapshots, exec_date)
+            merged = merge.snapshot_merge(history, delta, keys, order, tiebreak, clusters, laid_out=known == clusters)
+    sinks.write_snapshot(merged, snapshots, exec_date, keys=keys, buckets=clusters, owner=owner)
 
 
 @dataclass(frozen=True)
@@ -251,6 +257,7 @@ def merge_posts(
     fmt: str = "parquet",
     max_days: int | None = None,
     rebalance: bool = True,
+    owner: str | None = None,
 ) -> MergeReport:
     """A day's posts and metrics into the merged posts table.
 
@@ -259,6 +266,7 @@ def merge_posts(
     files at the cost of a shuffle; a table so large that every task fills a
     file per day can do without.
     """
+    settle(spark, merged, owner)
     post_delta = tables.read_delta(spark, posts, exec_date, fmt)
     metric_delta = tables.read_delta(spark, metrics, exec_date, fmt)
     if post_delta is None and metric_delta is None:
@@ -280,7 +288,7 @@ def merge_posts(
         delta = joined.where(F.col("PartdatePmd").isin(some)) if step < len(days) else joined
         table = merge.upsert_posts(history, delta, key_fn, history_unique=True)
         sinks.replace_partitions(
-            table.withColumnRenamed("Partdate", POSTS_PARTITION), merged, [POSTS_PARTITION], rebalance
+            table.withColumnRenamed("Partdate", POSTS_PARTITION), merged, [POSTS_PARTITION], rebalance, owner=owner
         )
     return MergeReport(days, outside)
 
@@ -294,8 +302,10 @@ def merge_child_table(
     table: str,
     ties: str = "all",
     rebalance: bool = True,
+    owner: str | None = None,
 ) -> MergeReport:
     """A day's child rows of one kind into their table."""
+    settle(spark, table, owner)
     delta = tables.read_delta(spark, children, exec_date)
     if delta is None:
         return MergeReport([], 0)
@@ -310,7 +320,7 @@ def merge_child_table(
     stage = lambda keys: sinks.stage(keys, staging_path(spark, "wanted", table))
     merged = merge.merge_children(history, delta, posts, lower, exec_date, ties=ties, stage=stage)
     sinks.replace_partitions(
-        merged.withColumnRenamed("Partdate", POSTS_PARTITION), table, [POSTS_PARTITION], rebalance
+        merged.withColumnRenamed("Partdate", POSTS_PARTITION), table, [POSTS_PARTITION], rebalance, owner=owner
     )
     return MergeReport(days, outside)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date
 from urllib.parse import quote
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 from feedfold.functions.dates import as_date
 from feedfold.operators.offsets import LEDGER_SCHEMA
 from feedfold.operators.schema import align_to, quoted
-from feedfold.sources.tables import read_optional
+from feedfold.sources.files import Store
+from feedfold.sources.swap import Exchange, leaf_folders, swap
+from feedfold.sources.tables import LAYOUT, read_optional
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
@@ -32,17 +35,27 @@ def replace_partitions(
     rebalance: bool = True,
     max_records: int | None = None,
     fmt: str = "parquet",
+    owner: str | None = None,
 ) -> None:
     """Replace the partitions that occur in the frame; leave all others alone.
 
+    The new partitions are written whole beside the table, then exchanged folder by folder (see ``swap``): the frame may read the
+    table itself, a lost driver leaves no mix, and a second writer is refused.
+
     Rebalancing lets AQE size the files: small partitions share no task with
     a large one, and a partition holding much of the data is split.
     """
+    spark = df.sparkSession
     out = df.hint("rebalance", *columns) if rebalance else df
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = out.write.format(fmt).partitionBy(*columns)
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
-    writer.format(fmt).partitionBy(*columns).save(path)
+
+    def write(staged: str) -> Exchange:
+        writer.save(staged)
+        return Exchange(moves=[(f"{staged}/{f}", f"{path}/{f}") for f in leaf_folders(Store(spark, path), staged, columns)])
+
+    swap(spark, path, write, owner)
 
 
 def write_delta(df: DataFrame, base: str, exec_date: str | date, exec_time: str) -> None:
@@ -67,10 +80,37 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def write_snapshot(
-    df: DataFrame, base: str, snapshot_date: str | date, column: str = "snapshot_date"
+    df: DataFrame,
+    base: str,
+    snapshot_date: str | date,
+    column: str = "snapshot_date",
+    keys: Sequence[str] | None = None,
+    buckets: int | None = None,
+    owner: str | None = None,
 ) -> None:
-    """A day's complete table in its own folder, laid out as the frame is partitioned."""
-    df.write.mode("overwrite").parquet(f"{base}/{column}={as_date(snapshot_date).isoformat()}")
+    """A day's complete table in its own folder, laid out as the frame is partitioned.
+
+    With ``keys`` and ``buckets`` it is a bucketed table: rows lie by key hash, sorted within each bucket, and a
+    record beside them says so, by which ``read_snapshot`` lets joins and windows on the keys do without an exchange. A frame
+    that is partitioned the same way is written without one, too, a file per bucket. A day written again is exchanged as a whole.
+    """
+    folder = f"{column}={as_date(snapshot_date).isoformat()}"
+    spark = df.sparkSession
+
+    def write(staged: str) -> Exchange:
+        store = Store(spark, base)
+        if keys and buckets:
+            name = f"feedfold_{uuid.uuid4().hex}"  # a session's catalog alone can write buckets; the entry goes at once
+            try:
+                df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", staged).format("parquet").saveAsTable(name)
+            finally:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+            store.write_new(f"{staged}/{LAYOUT}", {"keys": list(keys), "buckets": buckets, "columns": df._jdf.schema().toDDL()})
+        else:
+            df.write.parquet(staged)
+        return Exchange(moves=[(staged, f"{base}/{folder}")])
+
+    swap(spark, base, write, owner)
 
 
 def cluster_by(df: DataFrame, clusters: int, keys: Sequence[str]) -> DataFrame:

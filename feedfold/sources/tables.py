@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date
 
@@ -12,7 +13,9 @@ from pyspark.sql import types as T
 
 from feedfold.functions.dates import as_date
 from feedfold.operators.schema import align_to, union_drift
+from feedfold.sources.files import Store
 
+LAYOUT = "_layout"
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -95,16 +98,44 @@ def read_partitions(
 
 def _folders(spark: SparkSession, path: str, column: str) -> list[str]:
     """Names of the partition folders below a path, one level deep."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [f.getPath().getName() for f in store.listStatus(root)] if store.exists(root) else []
-    return sorted(n for n in names if n.startswith(f"{column}="))
+    return [n for n in Store(spark, path).names(path) if n.startswith(f"{column}=")]
+
+
+def layout_of(spark: SparkSession, folder: str) -> dict | None:
+    """Keys, buckets and columns of a folder written as a bucketed table, or None."""
+    return Store(spark, folder).read(f"{folder}/{LAYOUT}")
+
+
+def read_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """A table folder, as the buckets it was written in where its layout record tells them."""
+    layout = layout_of(spark, folder)
+    if layout is None:
+        return spark.read.parquet(folder)
+    keys = ", ".join(_name(k) for k in layout["keys"])
+    name = f"feedfold_{uuid.uuid4().hex}"
+    place = folder.replace("\\", "\\\\").replace("'", "\\'")
+    buckets = f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {layout['buckets']} BUCKETS"
+    spark.sql(f"CREATE TABLE {name} ({layout['columns']}) USING parquet {buckets} LOCATION '{place}'")
+    try:  # the frame knows files and buckets from here on; the catalog need not keep them
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def latest_snapshot_folder(spark: SparkSession, base: str, before: str | date, column: str = "snapshot_date") -> str | None:
+    """Folder of the newest snapshot older than a day, or None. Names tell; no other snapshot's files are listed."""
+    days = [as_date(n.partition("=")[2]) for n in _folders(spark, base, column)]
+    older = [d for d in days if d < as_date(before)]
+    return f"{base}/{column}={max(older).isoformat()}" if older else None
 
 
 def latest_snapshot(
     spark: SparkSession, base: str, before: str | date, column: str = "snapshot_date"
 ) -> DataFrame | None:
-    """The newest snapshot older than a day, or None. Folder names tell; no other snapshot's files are listed or read."""
-    days = [as_date(n.partition("=")[2]) for n in _folders(spark, base, column)]
-    older = [d for d in days if d < as_date(before)]
-    return spark.read.parquet(f"{base}/{column}={max(older).isoformat()}") if older else None
+    """The newest snapshot older than a day, or None."""
+    folder = latest_snapshot_folder(spark, base, before, column)
+    return None if folder is None else read_snapshot(spark, folder)

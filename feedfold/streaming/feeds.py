@@ -13,6 +13,7 @@ from feedfold.operators.merge import coalesce_merge
 from feedfold.operators.schema import quoted
 from feedfold.session import scratch_path
 from feedfold.sources.sinks import replace_partitions, stage
+from feedfold.sources.swap import settle
 from feedfold.sources.tables import read_partitions
 
 BatchHandler = Callable[[DataFrame, int], None]
@@ -77,6 +78,7 @@ def upsert_partitions(
     value. Doing it again with the same delta changes nothing. A row without a
     day has no partition to go to; callers set such rows aside beforehand.
     """
+    settle(delta.sparkSession, path)
     delta = delta.where(quoted(partition).isNotNull())
     newest = latest_per_key(delta, [*keys, partition], order, tiebreak=tiebreak)
     days = sorted(r[0] for r in delta.select(partition).distinct().collect())

@@ -53,8 +53,17 @@ def test_snapshot_replaces_whole_rows_and_keeps_the_rest(spark):
 def test_clustered_snapshot_shuffles_history_once(spark):
     _, out = _snapshot(spark, clusters=5)
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
-    # one exchange for both sides together, one for the delta's own newest rows
-    assert plan.count("Exchange hashpartitioning") == 2
+    # one exchange for history, two for the delta: its keys, which say what goes, and its rows
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_snapshot_of_repeated_history_keys_is_the_same_in_any_layout(spark):
+    history = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z"), ("b", 2, "z"), (None, 1, "n")], "k string, ts int, v string")
+    delta = spark.createDataFrame([("b", 5, "new"), (None, 4, "m"), (None, 3, "l")], "k string, ts int, v string")
+    want = [("a", 1, "x"), ("a", 2, "y"), ("b", 5, "new"), (None, 1, "n"), (None, 4, "m")]
+    for clusters in (None, 4):
+        out = M.snapshot_merge(history, delta, ["k"], ["ts"], clusters=clusters)
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
 
 
 # --- column-wise upsert -----------------------------------------------------
