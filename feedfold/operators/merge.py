@@ -27,6 +27,13 @@ def in_window(column: Column | str, lower: str | date, upper: str | date) -> Col
     return day.between(F.lit(as_date(lower)), F.lit(as_date(upper)))
 
 
+def left_out_reason(column: Column | str, lower: str | date, upper: str | date) -> Column:
+    """Why a row is outside a day interval: undated, late or early; null for a row inside."""
+    day = quoted(column) if isinstance(column, str) else column
+    late, early = day < F.lit(as_date(lower)), day > F.lit(as_date(upper))
+    return F.when(day.isNull(), F.lit("undated")).when(late, F.lit("late")).when(early, F.lit("early"))
+
+
 def window_profile(
     frames: Sequence[DataFrame], column: str, lower: str | date, upper: str | date
 ) -> tuple[list[date], int]:
@@ -207,6 +214,36 @@ def with_day(df: DataFrame, column: str = "PartDate") -> DataFrame:
     return df.withColumn(field.name, text_to_date(quoted(field.name)))
 
 
+def newest_posts(posts: DataFrame, lower: str | date, upper: str | date) -> DataFrame:
+    """The newest message of each post in a window, whose day is the post's."""
+    posts = with_day(posts).where(in_window("PartDate", lower, upper))
+    return latest_per_key(
+        posts,
+        ["Id"],
+        _present(posts, ["MetricsTimestamp", "CurrentTimestamp"]),
+        tiebreak=_present(posts, ["kafkaoffset", "kafkapartition"]) or None,
+    )
+
+
+def moved_keys(known: DataFrame, posts: DataFrame) -> DataFrame:
+    """PostId, Partdate and new day of the known rows (PostId, Partdate) whose post is now on another day. ``posts`` have an id once."""
+    now = posts.select(F.col("Id").alias("PostId"), F.col("PartDate").alias("_day"))
+    return known.join(now, "PostId").where("Partdate <> _day").distinct()
+
+
+def carried_rows(history: DataFrame, moved: DataFrame) -> DataFrame:
+    """History rows of moved posts, under their new day."""
+    return history.join(moved, ["PostId", "Partdate"]).withColumn("Partdate", F.col("_day")).drop("_day").select(*history.columns)
+
+
+def without_moved(history: DataFrame | None, moved: DataFrame, carried: DataFrame, partition: str) -> DataFrame:
+    """History of some days without the rows that moved away, and with those that moved there; its day column named as in the rows."""
+    if history is None:
+        return carried
+    stay = match_rows(history.withColumnRenamed(partition, "Partdate"), moved, POST_KEY, "left_anti")
+    return union_drift(stay, carried)
+
+
 def join_posts_metrics(
     posts: DataFrame, metrics: DataFrame, lower: str | date, upper: str | date
 ) -> DataFrame:
@@ -218,14 +255,8 @@ def join_posts_metrics(
     per (id, day) before the join, so each pair has unique keys, and no window
     over the joined rows follows.
     """
-    posts = with_day(posts).where(in_window("PartDate", lower, upper))
     metrics = with_day(metrics).where(in_window("PartDate", lower, upper))
-    posts = latest_per_key(
-        posts,
-        ["Id"],
-        _present(posts, ["MetricsTimestamp", "CurrentTimestamp"]),
-        tiebreak=_present(posts, ["kafkaoffset", "kafkapartition"]) or None,
-    )
+    posts = newest_posts(posts, lower, upper)
     metrics = latest_per_key(
         metrics,
         ["Id", "PartDate"],

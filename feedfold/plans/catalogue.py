@@ -1007,7 +1007,7 @@ def stream_ingest(spark, sf_dir):
         F.col("event_id").alias("offset"),
     )
     ingest = lambda batch, run: jobs.ingest_metrics(batch, run, place("delta"), place("ledger"), place("dead"))
-    feeds.drain(envelope, jobs.ingest_handler(ingest, "2024-01-31", "Metrics", "g"), place("checkpoint"))
+    feeds.drain(envelope, jobs.ingest_handler(ingest, "2024-01-31", "Metrics", "g", place("checkpoint")), place("checkpoint"))
     return tables.read_delta(spark, place("delta"), "2024-01-31").select(
         "metricsurl", "id", "likes", "kafkapartition", "kafkaoffset", "partdate"
     )

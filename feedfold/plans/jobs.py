@@ -8,7 +8,7 @@ it counts as unreadable.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from feedfold.functions.dates import as_date
 from feedfold.functions.keys import KeyFn, url_key
 from feedfold.operators import merge
+from feedfold.operators.matching import match_rows
 from feedfold.operators.offsets import run_offsets
 from feedfold.operators.reshape import canonical_metrics, derive_post_dates, project_metrics
 from feedfold.operators.schema import (
@@ -31,11 +32,16 @@ from feedfold.operators.schema import (
     infer_json_schema,
     parse_json_rows,
     quoted,
+    union_drift,
 )
 from feedfold.operators.split import CHILD_PARTS, PRIMARY, FieldPolicy, split_posts, transform_blogs
 from feedfold.session import staging_path
 from feedfold.sources import sinks, tables
+from feedfold.sources.files import Store
+from feedfold.sources.leftout import Held, keep_left_out
+from feedfold.sources.retention import contents, note_consumed
 from feedfold.sources.swap import settle
+from feedfold.sources.touched import rewrite_touched
 from feedfold.streaming.feeds import BatchHandler
 
 POSTS_PARTITION = "partdate"
@@ -183,20 +189,45 @@ def ingest_posts(
     _finish_ingest(parsed, run, dead_letters, ledger)
 
 
-def ingest_handler(ingest: Callable[[DataFrame, Run], None], exec_date: str, topic: str, group: str) -> BatchHandler:
-    """An ingest job as the handler of a drained stream.
+def ingest_handler(
+    ingest: Callable[[DataFrame, Run], None], exec_date: str, topic: str, group: str, checkpoint: str
+) -> BatchHandler:
+    """An ingest job as the handler of a stream drained with the given checkpoint.
 
-    The run label is the batch id, so a repeated batch replaces its own rows.
+    The run label is the stream's own id, which its checkpoint keeps, and the batch id, so that neither another stream nor a new checkpoint
+    meets its rows on the same day. A batch's day is fixed when it is first tried, in a record beside the checkpoint: a repeat on a later
+    day replaces the same rows.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ingest(batch, Run(exec_date, f"batch-{batch_id:08d}", topic, group))
+        store = Store(batch.sparkSession, checkpoint)
+        record = f"{checkpoint}/runs/{batch_id}"
+        store.write_new(record, {"exec_date": exec_date})
+        day = store.read(record)["exec_date"]
+        stream = store.read(f"{checkpoint}/metadata")["id"].replace("-", "")
+        ingest(batch, Run(day, f"{stream}-{batch_id:08d}", topic, group))
 
     return handle
 
 
 # --- merge -----------------------------------------------------------------
 
+@dataclass(frozen=True)
+class Upkeep:
+    """What a merge does besides merging.
+
+    ``left_out`` keeps rows outside the window, a folder per feed, and has those read again that the window admits; ``days`` gives
+    undated ones a day (Id, PartDate). ``consumed`` is the ledger of folded runs, ``consumer`` the merge's name in it. ``owner``
+    names the run, so that its repeat may go on where a lost driver stopped.
+    """
+
+    left_out: str | None = None
+    days: DataFrame | None = None
+    consumed: str | None = None
+    consumer: str | None = None
+    owner: str | None = None
+
+
 def merge_blogs(
     spark: SparkSession,
     exec_date: str | date,
@@ -204,17 +235,18 @@ def merge_blogs(
     snapshots: str,
     clusters: int | None = None,
     key: str = "UrlHash",
-    owner: str | None = None,
+    upkeep: Upkeep = Upkeep(),
 ) -> None:
     """A day's blog delta over the newest older snapshot, as that day's snapshot.
 
     The snapshot is written in ``clusters`` buckets by key hash; unless given, in as many as the older one has, or the
     number of shuffle partitions the cluster is set to. Since the older one remembers its layout, only the delta is shuffled. Without any older
-    snapshot the delta alone is the snapshot; history that cannot be read is an error. ``owner`` names the run, so that its
-    repeat may go on where a lost driver stopped.
+    snapshot the delta alone is the snapshot; history that cannot be read is an error.
     """
-    settle(spark, snapshots, owner)
-    delta = tables.read_delta(spark, blogs, exec_date)
+    settle(spark, snapshots, upkeep.owner)
+    runs = tables.delta_runs(spark, blogs, exec_date)
+    seen = contents(spark, runs) if upkeep.consumed else {}
+    delta = tables.read_delta(spark, blogs, exec_date, runs=runs)
     folder = tables.latest_snapshot_folder(spark, snapshots, exec_date)
     if delta is None and folder is None:
         return
@@ -235,17 +267,73 @@ def merge_blogs(
             merged = merge.latest_per_key(sinks.cluster_by(delta, clusters, keys), keys, order, tiebreak=tiebreak)
         else:
             merged = merge.snapshot_merge(history, delta, keys, order, tiebreak, clusters, laid_out=known == clusters)
-    sinks.write_snapshot(merged, snapshots, exec_date, keys=keys, buckets=clusters, owner=owner)
+    sinks.write_snapshot(merged, snapshots, exec_date, keys=keys, buckets=clusters, owner=upkeep.owner)
+    if upkeep.consumed:
+        note_consumed(spark, upkeep.consumed, upkeep.consumer or f"blogs:{snapshots}", seen)
 
 
 @dataclass(frozen=True)
 class MergeReport:
-    """Days a merge rewrote, and delta rows outside its date window."""
+    """Days a merge rewrote, and rows outside its date window."""
 
     days: list[date]
     outside: int
 
 
+def day_batches(sizes: Mapping[date, int], max_days: int | None = None, max_bytes: int | None = None) -> list[list[date]]:
+    """Days in batches of at most ``max_days`` days and ``max_bytes`` together, sorted; a day above that is a batch of its own.
+
+    The largest days are placed first, each into the emptiest batch that takes it, so batches come out even.
+    """
+    batches: list[list[date]] = []
+    held: list[int] = []
+    for day in sorted(sizes, key=lambda d: (-sizes[d], d)):
+        fits = [
+            i for i, b in enumerate(batches)
+            if len(b) < (max_days or len(sizes)) and (max_bytes is None or held[i] + sizes[day] <= max_bytes)
+        ]
+        if fits and (max_days or max_bytes):
+            at = min(fits, key=lambda i: (held[i], i))
+        elif fits:
+            at = 0
+        else:
+            batches.append([])
+            held.append(0)
+            at = len(batches) - 1
+        batches[at].append(day)
+        held[at] += sizes[day]
+    return sorted(sorted(b) for b in batches)
+
+
+class _Input:
+    """One delta of a merge: its runs as found, and the rows once left out that the window admits."""
+
+    def __init__(self, spark: SparkSession, base: str, name: str, exec_date: str | date, lower: str | date, upkeep: Upkeep, fmt: str = "parquet"):
+        self._spark, self._upkeep, self._lower, self._upper = spark, upkeep, lower, exec_date
+        runs = tables.delta_runs(spark, base, exec_date)
+        self._seen = contents(spark, runs) if upkeep.consumed else {}
+        self._own = tables.read_delta(spark, base, exec_date, fmt, runs)
+        if self._own is not None:
+            self._own = merge.with_day(self._own)
+        self._place = f"{upkeep.left_out}/{name}" if upkeep.left_out else None
+        self._held = Held(spark, self._place, lower, exec_date, days=upkeep.days) if self._place else None
+
+    def rows(self) -> DataFrame | None:
+        again = self._held.admitted() if self._held else None
+        frames = [f.drop("exec_date", "exec_time") for f in (self._own, again) if f is not None]
+        return merge.with_day(union_drift(*frames)) if frames else None
+
+    def done(self, consumer: str) -> None:
+        """The rows are in their table: keep what was left out, let go of what was admitted, note the runs, in this order."""
+        if self._place and self._own is not None:
+            self._held.release()
+            keep_left_out(self._own, self._place, self._lower, self._upper)
+        elif self._place:
+            self._held.release()
+        if self._upkeep.consumed:
+            note_consumed(self._spark, self._upkeep.consumed, self._upkeep.consumer or consumer, self._seen)
+
+
 def merge_posts(
     spark: SparkSession,
     exec_date: str | date,
@@ -257,42 +345,87 @@ def merge_posts(
     fmt: str = "parquet",
     max_days: int | None = None,
     rebalance: bool = True,
-    owner: str | None = None,
+    max_bytes: int | None = None,
+    touched_only: bool = False,
+    history_unique: bool = True,
+    upkeep: Upkeep = Upkeep(),
 ) -> MergeReport:
     """A day's posts and metrics into the merged posts table.
 
-    All touched days are merged in one plan and written at once; ``max_days``
-    bounds the days per write where a cluster is small. Rebalancing sizes the
-    files at the cost of a shuffle; a table so large that every task fills a
+    All touched days are merged in one plan and written at once; ``max_days`` and ``max_bytes`` (of the days as they are)
+    bound what one write replaces where a cluster is small. ``touched_only`` rewrites the files that hold changed posts instead of whole days.
+    Rebalancing sizes the files at the cost of a shuffle; a table so large that every task fills a
     file per day can do without.
+
+    A post has one row. Where its newest message has another day than the table's row, that row moves to the new day, its values under the message's.
+    Only a table filled from elsewhere may repeat a post on a day; ``history_unique=False`` cuts it to the newest row.
     """
-    settle(spark, merged, owner)
-    post_delta = tables.read_delta(spark, posts, exec_date, fmt)
-    metric_delta = tables.read_delta(spark, metrics, exec_date, fmt)
-    if post_delta is None and metric_delta is None:
+    settle(spark, merged, upkeep.owner)
+    inputs = [_Input(spark, base, name, exec_date, lower, upkeep, fmt) for base, name in ((posts, "posts"), (metrics, "metrics"))]
+    post_rows, metric_rows = (i.rows() for i in inputs)
+    if post_rows is None and metric_rows is None:
         return MergeReport([], 0)
-    if metric_delta is None:
-        metric_delta = spark.createDataFrame([], METRICS_SCHEMA)
-    metric_rows = merge.with_day(canonical_metrics(metric_delta))
-    if post_delta is None:
-        post_delta = spark.createDataFrame([], merge.POST_COLUMNS)
-    post_rows = merge.with_day(post_delta.drop("exec_date", "exec_time"))
+    metric_rows = spark.createDataFrame([], METRICS_SCHEMA) if metric_rows is None else metric_rows
+    metric_rows = merge.with_day(canonical_metrics(metric_rows))
+    post_rows = spark.createDataFrame([], merge.POST_COLUMNS) if post_rows is None else post_rows
     days, outside = merge.window_profile([post_rows, metric_rows], "PartDate", lower, exec_date)
-    step = max_days or max(len(days), 1)
     joined = merge.join_posts_metrics(post_rows, metric_rows, lower, exec_date)
-    if step < len(days):
+    window = _window_days(spark, merged, lower, exec_date)
+    # rows of metrics alone have no Url and stay where they are
+    moved = _moved(spark, merged, window, merge.newest_posts(post_rows, lower, exec_date), fmt, "Url IS NOT NULL")
+    carried = None
+    if moved is not None:
+        left = [r[0] for r in moved.select("Partdate").distinct().collect()]
+        days = sorted({*days, *left})
+        old = tables.read_partitions(spark, merged, POSTS_PARTITION, left, fmt).withColumnRenamed(POSTS_PARTITION, "Partdate")
+        carried = sinks.stage(merge.carried_rows(old, moved), staging_path(spark, "carried", merged))
+    store = Store(spark, merged)
+    sizes = {d: sum(store.files(f"{merged}/{POSTS_PARTITION}={d.isoformat()}").values()) for d in days}
+    batches = day_batches(sizes, max_days, max_bytes)
+    if len(batches) > 1 or touched_only:
         joined = sinks.stage(joined, staging_path(spark, "joined", merged))
-    for first in range(0, len(days), step):
-        some = days[first : first + step]
-        history = tables.read_partitions(spark, merged, POSTS_PARTITION, some)
-        delta = joined.where(F.col("PartdatePmd").isin(some)) if step < len(days) else joined
-        table = merge.upsert_posts(history, delta, key_fn, history_unique=True)
-        sinks.replace_partitions(
-            table.withColumnRenamed("Partdate", POSTS_PARTITION), merged, [POSTS_PARTITION], rebalance, owner=owner
-        )
+    for some in batches:
+        delta = joined.where(F.col("PartdatePmd").isin(some)) if len(batches) > 1 else joined
+
+        def laid(history: DataFrame | None, some: list[date] = some, delta: DataFrame = delta) -> DataFrame:
+            unique = history_unique
+            if carried is not None:
+                history = merge.without_moved(history, moved, carried.where(F.col("Partdate").isin(some)), POSTS_PARTITION)
+                unique = False
+            table = merge.upsert_posts(history, delta, key_fn, history_unique=unique)
+            return table.withColumnRenamed("Partdate", POSTS_PARTITION)
+
+        if touched_only and carried is None:
+            changed = delta.select("PostId", F.col("PartdatePmd").alias(POSTS_PARTITION))
+            rewrite_touched(spark, merged, POSTS_PARTITION, some, ["PostId", POSTS_PARTITION], changed, laid, fmt, owner=upkeep.owner)
+        else:
+            history = tables.read_partitions(spark, merged, POSTS_PARTITION, some, fmt)
+            table = laid(history)
+            emptied = [] if carried is None else [d for d in some if d in window]
+            sinks.replace_partitions(table, merged, [POSTS_PARTITION], rebalance, fmt=fmt, owner=upkeep.owner, also=[f"{POSTS_PARTITION}={d.isoformat()}" for d in emptied])
+    for i in inputs:
+        i.done(f"posts:{merged}")
     return MergeReport(days, outside)
 
 
+def _window_days(spark: SparkSession, table: str, lower: str | date, upper: str | date) -> list[date]:
+    """Days of a window that a dated table has."""
+    days = [as_date(n.partition("=")[2]) for n in Store(spark, table).names(table) if n.startswith(f"{POSTS_PARTITION}=")]
+    return sorted(d for d in days if as_date(lower) <= d <= as_date(upper))
+
+
+def _moved(spark: SparkSession, table: str, window: list[date], posts: DataFrame, fmt: str = "parquet", only: str | None = None) -> DataFrame | None:
+    """Keys of a table's rows, ``only`` some, whose post is on another day by ``posts`` (Id, PartDate); staged, None if there are none."""
+    if not window:
+        return None
+    # a given schema: narrow columns, and no footer is read to merge schemas
+    folders = [f"{table}/{POSTS_PARTITION}={d.isoformat()}" for d in window]
+    known = spark.read.schema(f"PostId string, Url string, {POSTS_PARTITION} date").option("basePath", table).format(fmt).load(folders)
+    keys = (known.where(only) if only else known).select("PostId", F.col(POSTS_PARTITION).alias("Partdate"))
+    moved = sinks.stage(merge.moved_keys(keys, posts), staging_path(spark, "moved", table))
+    return None if moved.isEmpty() else moved
+
+
 def merge_child_table(
     spark: SparkSession,
     exec_date: str | date,
@@ -302,27 +435,38 @@ def merge_child_table(
     table: str,
     ties: str = "all",
     rebalance: bool = True,
-    owner: str | None = None,
+    upkeep: Upkeep = Upkeep(),
 ) -> MergeReport:
-    """A day's child rows of one kind into their table."""
-    settle(spark, table, owner)
-    delta = tables.read_delta(spark, children, exec_date)
+    """A day's child rows of one kind into their table.
+
+    Rows of a post that has moved to another day go from the old one. Child rows in the window whose post is not in the merged table
+    have nothing to belong to and are not kept.
+    """
+    settle(spark, table, upkeep.owner)
+    source = _Input(spark, children, children.rstrip("/").rpartition("/")[2], exec_date, lower, upkeep)
+    delta = source.rows()
     if delta is None:
         return MergeReport([], 0)
-    delta = merge.with_day(delta.drop("exec_date", "exec_time"))
     days, outside = merge.window_profile([delta], "PartDate", lower, exec_date)
     posts = tables.read_partitions(spark, merged_posts, POSTS_PARTITION, days)
-    if not days or posts is None:
-        return MergeReport([], outside)
-    history = tables.read_partitions(spark, table, POSTS_PARTITION, days)
-    if history is not None:
-        history = history.withColumnRenamed(POSTS_PARTITION, "Partdate")
-    stage = lambda keys: sinks.stage(keys, staging_path(spark, "wanted", table))
-    merged = merge.merge_children(history, delta, posts, lower, exec_date, ties=ties, stage=stage)
-    sinks.replace_partitions(
-        merged.withColumnRenamed("Partdate", POSTS_PARTITION), table, [POSTS_PARTITION], rebalance, owner=owner
-    )
-    return MergeReport(days, outside)
+    if days and posts is not None:
+        window = _window_days(spark, table, lower, exec_date)
+        of_posts = posts.where("Url IS NOT NULL").select(F.col("PostId").alias("Id"), F.col(POSTS_PARTITION).alias("PartDate"))
+        stale = _moved(spark, table, window, of_posts)
+        if stale is not None:
+            days = sorted({*days, *(r[0] for r in stale.select("Partdate").distinct().collect())})
+        history = tables.read_partitions(spark, table, POSTS_PARTITION, days)
+        if history is not None:
+            history = history.withColumnRenamed(POSTS_PARTITION, "Partdate")
+            history = history if stale is None else match_rows(history, stale, merge.POST_KEY, "left_anti")
+        emptied = [] if stale is None else [f"{POSTS_PARTITION}={d.isoformat()}" for d in days if d in window]
+        stage = lambda keys: sinks.stage(keys, staging_path(spark, "wanted", table))
+        merged = merge.merge_children(history, delta, posts, lower, exec_date, ties=ties, stage=stage)
+        sinks.replace_partitions(
+            merged.withColumnRenamed("Partdate", POSTS_PARTITION), table, [POSTS_PARTITION], rebalance, owner=upkeep.owner, also=emptied
+        )
+    source.done(f"children:{table}")
+    return MergeReport(days if posts is not None else [], outside)
 
 
 def merge_all_children(
@@ -331,9 +475,10 @@ def merge_all_children(
     lower: str | date,
     bases: Callable[[str], str],
     tables_of: Callable[[str], str],
+    upkeep: Upkeep = Upkeep(),
 ) -> dict[str, MergeReport]:
     """The four child tables, one after another."""
     return {
-        part: merge_child_table(spark, exec_date, lower, bases(part), tables_of(PRIMARY), tables_of(part))
+        part: merge_child_table(spark, exec_date, lower, bases(part), tables_of(PRIMARY), tables_of(part), upkeep=upkeep)
         for part in CHILD_PARTS
     }

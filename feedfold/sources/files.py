@@ -20,6 +20,16 @@ class Store:
         path = self._at(folder)
         return sorted(f.getPath().getName() for f in self._fs.listStatus(path)) if self._fs.exists(path) else []
 
+    def files(self, folder: str) -> dict[str, int]:
+        """Whole paths and sizes of the data files in a folder; hidden ones are passed over."""
+        path = self._at(folder)
+        found = self._fs.listStatus(path) if self._fs.exists(path) else []
+        return {f.getPath().toString(): f.getLen() for f in found if f.isFile() and f.getPath().getName()[0] not in "._"}
+
+    def path_of(self, uri: str) -> str:
+        """The path behind a file's URI as scans report it, in which odd characters are escaped."""
+        return self._at(self._jvm.java.net.URI(uri)).toString()
+
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._at(path))
 

@@ -36,8 +36,9 @@ def replace_partitions(
     max_records: int | None = None,
     fmt: str = "parquet",
     owner: str | None = None,
+    also: Sequence[str] = (),
 ) -> None:
-    """Replace the partitions that occur in the frame; leave all others alone.
+    """Replace the partitions that occur in the frame; leave all others alone. Folders of ``also`` go if the frame has no rows for them.
 
     The new partitions are written whole beside the table, then exchanged folder by folder (see ``swap``): the frame may read the
     table itself, a lost driver leaves no mix, and a second writer is refused.
@@ -53,7 +54,8 @@ def replace_partitions(
 
     def write(staged: str) -> Exchange:
         writer.save(staged)
-        return Exchange(moves=[(f"{staged}/{f}", f"{path}/{f}") for f in leaf_folders(Store(spark, path), staged, columns)])
+        made = leaf_folders(Store(spark, path), staged, columns)
+        return Exchange(moves=[(f"{staged}/{f}", f"{path}/{f}") for f in made], removes=[f"{path}/{f}" for f in also if f not in made])
 
     swap(spark, path, write, owner)
 

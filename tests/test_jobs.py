@@ -11,6 +11,8 @@ from feedfold.functions import url_key
 from feedfold.operators import split as P
 from feedfold.plans import jobs
 from feedfold.sources import kafka, sinks, tables
+from feedfold.sources.leftout import Held
+from feedfold.sources.retention import remove_consumed
 from feedfold.streaming import feeds
 from messages import BLOG, METRICS, POST, POST_EXCLUDES, POST_PRIMARY, envelope, messages
 
@@ -199,10 +201,161 @@ def test_drained_ingest_equals_batch_ingest(spark, tmp_path):
         messages(spark, METRICS, 4, Url=URL, Metrics=metrics).coalesce(1).write.mode("append").parquet(src)
     schema = "value binary, partition int, offset bigint"
     ingest = lambda frame, run: jobs.ingest_metrics(frame, run, streamed, str(tmp_path / "ledger"))
-    handler = jobs.ingest_handler(ingest, "2024-01-01", "m", "g")
+    handler = jobs.ingest_handler(ingest, "2024-01-01", "m", "g", str(tmp_path / "ckpt"))
     feeds.drain(kafka.file_feed(spark, src, schema, max_files=1), handler, str(tmp_path / "ckpt"))
     handler(spark.read.schema(schema).parquet(src).limit(0), 7)
     jobs.ingest_metrics(spark.read.parquet(src), _run("2024-01-01"), batch)
     key = ["metricsurl", "likes", "partdate", "id", "kafkaoffset"]
     rows = lambda path: sorted(tuple(r) for r in tables.read_delta(spark, path, "2024-01-01").select(key).collect())
     assert rows(streamed) == rows(batch) and len(rows(batch)) == 8
+
+
+# --- upkeep -----------------------------------------------------------------
+
+def _post(url, day, likes=1, **more):
+    return {"Url": url, "CreateDate": day, "Metrics": {"LikeCount": likes, "Timestamp": day}, "Attachments": [{"Type": likes}], **more}
+
+
+def _feed(spark, records):
+    return envelope(spark.createDataFrame([(json.dumps(r),) for r in records], "value string").coalesce(1))
+
+
+def _metric(url, day, likes):
+    return {"Url": url, "CreateDate": day, "Metrics": {"LikeCount": likes, "Timestamp": f"{day}T{likes:02d}"}}
+
+
+@pytest.fixture
+def feeds_of(spark, tmp_path):
+    place = lambda name: str(tmp_path / name)
+
+    def ingest(day, posts=(), metrics=(), time="10-00"):
+        if posts:
+            jobs.ingest_posts(_feed(spark, posts), _run(day, time), POST_POLICY, lambda p: place(f"delta/{p}"))
+        if metrics:
+            jobs.ingest_metrics(_feed(spark, metrics), _run(day, time), place("delta/Metrics"))
+
+    def merge(day, lower="2024-01-01", **more):
+        return jobs.merge_posts(spark, day, lower, place("delta/Posts"), place("delta/Metrics"), place("Posts"), **more)
+
+    return place, ingest, merge
+
+
+def _merged(spark, place):
+    return {(r["Url"], str(r["partdate"])): r["CommentsCount"] for r in spark.read.parquet(place("Posts")).collect()}
+
+
+def test_a_post_moves_with_its_day(spark, feeds_of):
+    place, ingest, merge = feeds_of
+    children = lambda day: jobs.merge_child_table(spark, day, "2024-01-01", place(f"delta/{P.ATTACHMENTS}"), place("Posts"), place("Attachments"))
+    ingest("2024-01-03", [_post("u1", "2024-01-01", 1), _post("u2", "2024-01-01", 2), _post("u3", "2024-01-02", 3)], [{**_metric("u1", "2024-01-01", 5), "Blog": {"Url": "b"}}, _metric("u9", "2024-01-03", 5)])
+    merge("2024-01-03"), children("2024-01-03")
+    ingest("2024-01-04", [_post("u1", "2024-01-03", 7), _post("u3", "2024-01-01", 8)], [_metric("u3", "2024-01-04", 9)])
+    for _ in range(2):
+        report = merge("2024-01-04", max_days=2)
+        children("2024-01-04")
+        rows = {(r["PostId"], r["partdate"].day): r for r in spark.read.parquet(place("Posts")).collect()}
+        key = url_key_of
+        assert {k for k, r in rows.items() if r["Url"]} == {(key("u1"), 3), (key("u2"), 1), (key("u3"), 1)}
+        # metrics of another day stay a row of that day, and the moved row keeps what the new message lacks
+        assert (key("u3"), 4) in rows and (key("u9"), 3) in rows and len(rows) == 5
+        assert rows[key("u1"), 3]["BlogUrl"] == "b"
+        kept = {(r["PostId"], r["partdate"].day) for r in spark.read.parquet(place("Attachments")).collect()}
+        assert kept == {(key("u1"), 3), (key("u2"), 1), (key("u3"), 1)}
+    assert report.days[0] == date(2024, 1, 1)
+
+
+def test_rows_left_out_come_back_when_a_window_admits_them(spark, feeds_of):
+    place, ingest, merge = feeds_of
+    upkeep = jobs.Upkeep(left_out=place("left"))
+    posts = [_post("in", "2024-01-02"), _post("late", "2023-12-20"), _post("early", "2024-01-05"), _post("bare", "soon")]
+    ingest("2024-01-03", posts, [_metric("late", "2023-12-20", 3), _metric("m", "2024-01-04", 4)])
+
+    def left(kind):
+        held = Held(spark, place(f"left/{kind}"), "2024-01-01", "2024-01-03")._rows
+        return sorted((r["Url"] if kind == "posts" else r["metricsurl"], r["_left_out"]) for r in held.collect()) if held is not None else []
+
+    for _ in range(2):
+        report = merge("2024-01-03", upkeep=upkeep)
+        assert report.outside == 5 and set(_merged(spark, place)) == {("in", "2024-01-02")}
+        assert left("posts") == [("bare", "undated"), ("early", "early"), ("late", "late")]
+        assert left("metrics") == [("late", "late"), ("m", "early")]
+    # a later day admits what was early, without a delta of its own
+    merge("2024-01-05", upkeep=upkeep)
+    assert {u for u, _ in _merged(spark, place)} == {"in", "early", None} and left("posts") == [("bare", "undated"), ("late", "late")]
+    # an older bound admits what was late, a given day what was undated
+    days = spark.createDataFrame([(url_key_of("bare"), date(2024, 1, 1))], "Id string, PartDate date")
+    merge("2024-01-05", "2023-12-01", upkeep=jobs.Upkeep(left_out=place("left"), days=days))
+    assert {u for u, _ in _merged(spark, place)} == {"in", "early", "late", "bare", None}
+    assert left("posts") == [] and left("metrics") == []
+    assert _merged(spark, place)[("bare", "2024-01-01")] is not None or ("bare", "2024-01-01") in _merged(spark, place)
+
+
+def test_folded_runs_go_once_all_readers_have_them(spark, feeds_of):
+    place, ingest, merge = feeds_of
+    ledger, base = place("consumed"), place("delta/Metrics")
+    upkeep = jobs.Upkeep(consumed=ledger, consumer="posts")
+    ingest("2024-01-03", [_post("a", "2024-01-02")], [_metric("a", "2024-01-02", 3)])
+    ingest("2024-01-03", metrics=[_metric("a", "2024-01-02", 4)], time="11-00")
+    remove = lambda readers: [r.rpartition("=")[2] for r in remove_consumed(spark, ledger, base, readers, place("archive"))]
+    assert remove(["posts"]) == []
+    merge("2024-01-03", upkeep=upkeep)
+    before = sorted(map(tuple, spark.read.parquet(place("Posts")).select("PostId", "MetricsLikesCount").collect()))
+    assert before[0][1] == 4
+    assert remove(["posts", "audit"]) == []
+    # written again after it was folded, and one that came since: both stay
+    ingest("2024-01-03", metrics=[_metric("a", "2024-01-02", 5)], time="10-00")
+    ingest("2024-01-03", metrics=[_metric("a", "2024-01-02", 6)], time="12-00")
+    assert remove(["posts"]) == ["11-00"]
+    assert [r.rpartition("=")[2] for r in tables.delta_runs(spark, base, "2024-01-03")] == ["10-00", "12-00"]
+    merge("2024-01-03", upkeep=upkeep)
+    after = sorted(map(tuple, spark.read.parquet(place("Posts")).select("PostId", "MetricsLikesCount").collect()))
+    assert after[0][1] == 6 and remove(["posts"]) == ["10-00", "12-00"]
+    # a replay finds no metrics and changes nothing
+    merge("2024-01-03", upkeep=upkeep)
+    replayed = sorted(map(tuple, spark.read.parquet(place("Posts")).select("PostId", "MetricsLikesCount").collect()))
+    assert [r[0] for r in replayed] == [r[0] for r in after] and tables.read_delta(spark, base, "2024-01-03") is None
+
+
+def test_day_batches_are_even_and_bounded():
+    days = [date(2024, 1, n) for n in range(1, 8)]
+    sizes = dict(zip(days, (50, 10, 20, 30, 100, 5, 5)))
+    by_bytes = jobs.day_batches(sizes, max_bytes=60)
+    assert sorted(d for b in by_bytes for d in b) == days
+    assert [b for b in by_bytes if sum(sizes[d] for d in b) > 60] == [[days[4]]] and len(by_bytes) == 3
+    by_days = jobs.day_batches(sizes, max_days=2)
+    assert max(map(len, by_days)) == 2 and sorted(d for b in by_days for d in b) == days and len(by_days) == 4
+    assert jobs.day_batches(sizes) == [days] and jobs.day_batches({}) == []
+
+
+def test_two_checkpoints_of_a_day_keep_their_rows(spark, tmp_path):
+    delta, src = str(tmp_path / "delta"), str(tmp_path / "src")
+    schema = "value binary, partition int, offset bigint"
+    ingest = lambda frame, run: jobs.ingest_metrics(frame, run, delta)
+    for n, day in ((1, "2024-01-01"), (2, "2024-01-01")):
+        _feed(spark, [_metric(f"u{n}", "2024-01-01", n)]).write.parquet(f"{src}{n}")
+        feeds.drain(kafka.file_feed(spark, f"{src}{n}", schema), jobs.ingest_handler(ingest, day, "m", "g", f"{tmp_path}/cp{n}"), f"{tmp_path}/cp{n}")
+    assert sorted(r["likes"] for r in tables.read_delta(spark, delta, "2024-01-01").collect()) == [1, 2]
+    # a repeat of a batch on a later day replaces the rows of the day it was first tried on
+    again = jobs.ingest_handler(ingest, "2024-01-02", "m", "g", f"{tmp_path}/cp2")
+    again(spark.read.parquet(f"{src}2"), 0)
+    assert tables.read_delta(spark, delta, "2024-01-02") is None and tables.read_delta(spark, delta, "2024-01-01").count() == 2
+
+
+def test_history_of_repeated_posts_is_cut_through_the_job(spark, feeds_of):
+    place, ingest, merge = feeds_of
+    rows = [("p", "old", "t1", "t1", "2024-01-02"), ("p", "newer", "t2", "t2", "2024-01-02"), ("q", "null first", None, "t0", "2024-01-02"), ("q", "kept", "t0", None, "2024-01-02")]
+    old = spark.createDataFrame(rows, "PostId string, Url string, MetricsTimestamp string, CreateDate string, partdate string")
+    sinks.replace_partitions(old.withColumn("partdate", F.to_date("partdate")), place("Posts"), ["partdate"])
+    ingest("2024-01-03", [_post("x", "2024-01-02")])
+    merge("2024-01-03", history_unique=False)
+    assert {r["PostId"]: r["Url"] for r in spark.read.parquet(place("Posts")).collect()} == {"p": "newer", "q": "kept", url_key_of("x"): "x"}
+
+
+def test_touched_files_of_posts_only(spark, feeds_of):
+    place, ingest, merge = feeds_of
+    ingest("2024-01-03", [_post(f"u{n}", "2024-01-02", n) for n in range(20)])
+    merge("2024-01-03")
+    ingest("2024-01-04", [_post("u3", "2024-01-02", 99)])
+    merge("2024-01-04", touched_only=True)
+    rows = {r["Url"]: r["MetricsLikesCount"] for r in spark.read.parquet(place("Posts")).collect()}
+    assert rows["u3"] == 99 and len(rows) == 20 and rows["u5"] == 5
