@@ -23,6 +23,7 @@ from feedfold.sources.swap import Exchange, leaf_folders, settle, swap
 from feedfold.sources.tables import read_drifting, read_partitions
 
 SMALL_BYTES = 8 << 20
+SLOT = "_slot"
 
 
 @dataclass(frozen=True)
@@ -60,7 +61,7 @@ def rewrite_touched(
     ``merge`` gets the rows of those files, or None, and returns them with the delta laid over; ``keys`` include the partition column.
     Files under ``small_bytes`` are taken along, so that added rows do not pile up in small files. Where the merge changes
     the type of a column all files of the days are rewritten, since the files of one folder must agree. ``spread`` deals
-    a day's rows to that many files by key hash, so that few keys lie in few files.
+    a day's rows to that many files at least by key hash, so that few keys lie in few files.
     """
     settle(spark, path, owner)
     store = Store(spark, path)
@@ -78,14 +79,19 @@ def rewrite_touched(
             take = set(there)
     files = sorted(take)
     out = merge(read_drifting(spark, path, files, files, fmt) if files else None)
+    columns = [partition]
     if spread > 1:
-        out = out.repartition(quoted(partition), F.pmod(F.xxhash64(*(quoted(k) for k in keys)), F.lit(spread)))
-    else:
-        out = out.hint("rebalance", partition)
+        out = out.withColumn(SLOT, F.pmod(F.xxhash64(*(quoted(k) for k in keys)), F.lit(spread)).cast("int"))
+        columns.append(SLOT)
 
     def write(staged: str) -> Exchange:
-        out.write.format(fmt).partitionBy(partition).save(staged)
-        places = {f: f"{path}/{folder}/{f.rpartition('/')[2]}" for folder in leaf_folders(store, staged, [partition]) for f in store.files(f"{staged}/{folder}")}
+        out.hint("rebalance", *columns).write.format(fmt).partitionBy(*columns).save(staged)
+        places = {}
+        for folder in leaf_folders(store, staged, columns):
+            day, _, slot = folder.partition("/")
+            for f in store.files(f"{staged}/{folder}"):
+                name = f.rpartition("/")[2]  # alike in the folders of a day's slots, whose files come together here
+                places[f] = f"{path}/{day}/{slot.replace(f'{SLOT}=', 's') + '-' if slot else ''}{name}"
         return Exchange(removes=files, moves=list(places.items()))
 
     swap(spark, path, write, owner)
