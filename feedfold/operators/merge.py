@@ -16,7 +16,7 @@ from feedfold.functions.keys import KeyFn, url_key
 from feedfold.operators.latest import latest_per_key, newest_versions, rows_of_versions
 from feedfold.operators.matching import match_rows
 from feedfold.operators.reshape import suffix_collisions
-from feedfold.operators.schema import align_column, align_to, find_field, merged_schema, quoted, union_drift, widen
+from feedfold.operators.schema import align_column, align_to, exact_schema, find_field, quoted, union_drift, widen
 
 # --- date window -----------------------------------------------------------
 
@@ -126,7 +126,7 @@ def coalesce_merge(history: DataFrame, delta: DataFrame, keys: Sequence[str]) ->
     Each side must hold a key once. Nulls in keys are equal, so a repeated merge gives the same rows. Columns of
     one side only are kept.
     """
-    target = merged_schema([history.schema, delta.schema])
+    target = exact_schema(history, delta)
     old, new = align_to(history, target), align_to(delta, target)
     old = old.select(*(quoted(f.name).alias(f"_h{i}") for i, f in enumerate(target.fields)))
     new = new.select(*(quoted(f.name).alias(f"_d{i}") for i, f in enumerate(target.fields)))
@@ -323,7 +323,7 @@ def upsert_posts(
         old = new.sparkSession.createDataFrame([], new.schema)
     else:
         old = history.drop("SocialnetworkType")
-        old = align_to(old, merged_schema([new.schema, old.schema]))
+        old = align_to(old, exact_schema(new, old))
     if history is not None and not history_unique:
         old = latest_per_key(old, POST_KEY, NEWEST_POST, tiebreak=["Url", "ExecDate"])
     return coalesce_merge(old, new, POST_KEY).withColumn("SocialnetworkType", classify(F.col("Url")))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from feedfold.operators.schema import (
     METRICS_SCHEMA,
+    align_rescuing,
     align_to,
     find_field,
     find_path,
@@ -101,20 +102,24 @@ def exclude_then_keep(df: DataFrame, paths: Sequence[str], excludes: Iterable[st
     return keep_paths(drop_fields(df, excludes), paths)
 
 
-def project_fields(df: DataFrame, fields: Mapping[str, str], types: T.StructType) -> DataFrame:
-    """Nested paths to flat columns; a path the data lacks becomes a typed null."""
+def project_fields(df: DataFrame, fields: Mapping[str, str], types: T.StructType, rescue: bool = False) -> DataFrame:
+    """Nested paths to flat columns; a path the data lacks becomes a typed null.
+
+    With ``rescue`` one more column keeps the text of values that their declared type cannot take.
+    """
     columns = []
     for name, path in fields.items():
         found = find_path(df.schema, path)
         value = F.lit(None).cast(types[name].dataType) if found is None else quoted(*found[0])
         columns.append(value.alias(name))
     flat = df.select(*columns)
-    return align_to(flat, T.StructType([types[name] for name in fields]))
+    target = T.StructType([types[name] for name in fields])
+    return align_rescuing(flat, target) if rescue else align_to(flat, target)
 
 
-def project_metrics(messages: DataFrame) -> DataFrame:
+def project_metrics(messages: DataFrame, rescue: bool = False) -> DataFrame:
     """Flat metrics columns of a nested metrics feed."""
-    return project_fields(messages, METRICS_FIELDS, METRICS_SCHEMA)
+    return project_fields(messages, METRICS_FIELDS, METRICS_SCHEMA, rescue)
 
 
 def canonical_metrics(delta: DataFrame) -> DataFrame:

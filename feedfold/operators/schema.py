@@ -118,8 +118,12 @@ def same_type(a: T.DataType, b: T.DataType) -> bool:
     return a == b
 
 
-def widen(a: T.DataType, b: T.DataType) -> T.DataType:
-    """Smallest type both fit in; types with nothing in common become text."""
+def widen(a: T.DataType, b: T.DataType, exact: bool = False) -> T.DataType:
+    """Smallest type both fit in; types with nothing in common become text.
+
+    Whole numbers of 64 bits meet fractions in a double, which holds them up to 2**53. With ``exact`` numbers that no
+    number type holds for sure become text as well.
+    """
     if same_type(a, b):
         return a
     if isinstance(a, T.NullType):
@@ -130,38 +134,66 @@ def widen(a: T.DataType, b: T.DataType) -> T.DataType:
         fields = []
         for f in a.fields:
             other = find_field(b, f.name)
-            fields.append(T.StructField(f.name, widen(f.dataType, other.dataType) if other else f.dataType))
+            fields.append(T.StructField(f.name, widen(f.dataType, other.dataType, exact) if other else f.dataType))
         fields += [T.StructField(f.name, f.dataType) for f in b.fields if find_field(a, f.name) is None]
         return T.StructType(fields)
     if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
-        return T.ArrayType(widen(a.elementType, b.elementType))
+        return T.ArrayType(widen(a.elementType, b.elementType, exact))
     if isinstance(a, T.MapType) and isinstance(b, T.MapType):
-        return T.MapType(widen(a.keyType, b.keyType), widen(a.valueType, b.valueType))
+        return T.MapType(widen(a.keyType, b.keyType, exact), widen(a.valueType, b.valueType, exact))
     if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
-        return _widen_numbers(a, b)
+        return _widen_numbers(a, b, exact)
     if isinstance(a, T.DatetimeType) and isinstance(b, T.DatetimeType):
         return T.TimestampType()
     return T.StringType()
 
 
-def _widen_numbers(a: T.DataType, b: T.DataType) -> T.DataType:
+_FRACTIONS = (T.FloatType, T.DoubleType)
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def _widen_numbers(a: T.DataType, b: T.DataType, exact: bool) -> T.DataType:
+    unsure = T.StringType() if exact else T.DoubleType()
     if isinstance(a, T.DecimalType) or isinstance(b, T.DecimalType):
-        if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
-            scale = max(a.scale, b.scale)
-            digits = max(a.precision - a.scale, b.precision - b.scale)
-            return T.DecimalType(digits + scale, scale) if digits + scale <= 38 else T.DoubleType()
-        decimal, other = (a, b) if isinstance(a, T.DecimalType) else (b, a)
-        if isinstance(other, (T.FloatType, T.DoubleType)):
-            return T.DoubleType()
-        digits = max(decimal.precision - decimal.scale, 19)
-        return T.DecimalType(digits + decimal.scale, decimal.scale) if digits + decimal.scale <= 38 else T.DoubleType()
+        if isinstance(a, _FRACTIONS) or isinstance(b, _FRACTIONS):
+            return unsure
+        shape = lambda t: (t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (_DIGITS[type(t)], 0)
+        (whole_a, scale_a), (whole_b, scale_b) = shape(a), shape(b)
+        whole, scale = max(whole_a, whole_b), max(scale_a, scale_b)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else unsure
     wider = max(a, b, key=lambda t: _NUMBER_ORDER.index(type(t)))
-    # a float cannot hold every int, a double can hold far more
-    return T.DoubleType() if isinstance(wider, T.FloatType) else wider
+    if not isinstance(wider, _FRACTIONS):
+        return wider
+    if isinstance(a, T.LongType) or isinstance(b, T.LongType):
+        return unsure
+    # a float cannot hold every int, a double can
+    return T.DoubleType()
+
+
+def merged_schema(schemas: Sequence[T.StructType], exact: bool = False) -> T.StructType:
+    return reduce(lambda a, b: widen(a, b, exact), schemas)
 
 
-def merged_schema(schemas: Sequence[T.StructType]) -> T.StructType:
-    return reduce(widen, schemas)
+def exact_schema(*frames: DataFrame) -> T.StructType:
+    """Merged schema of frames in which every value of theirs survives.
+
+    Where a type could lose digits (long and fraction, wide decimals), the columns at hand are looked at: the number type is
+    taken if all their values fit, else text. Frames without such a clash cost nothing; others one aggregation over the clashing columns.
+    """
+    loose, strict = (merged_schema([f.schema for f in frames], exact) for exact in (False, True))
+    unsure = {f.name.lower() for f, g in zip(loose.fields, strict.fields) if not same_type(f.dataType, g.dataType)}
+    lossy: set[str] = set()
+    for frame in frames if unsure else ():
+        tests = {}
+        for f in loose.fields:
+            own = find_field(frame.schema, f.name) if f.name.lower() in unsure else None
+            lost = None if own is None else loses(quoted(own.name), own.dataType, f.dataType)
+            if lost is not None:
+                tests[f.name.lower()] = lost
+        if tests:
+            found = frame.agg(*(F.bool_or(F.coalesce(c, F.lit(False))) for c in tests.values())).first()
+            lossy |= {name for name, hit in zip(tests, found) if hit}
+    return T.StructType([g if f.name.lower() in lossy else f for f, g in zip(loose.fields, strict.fields)])
 
 
 # --- alignment -------------------------------------------------------------
@@ -208,6 +240,65 @@ def align_column(column: Column, have: T.DataType, want: T.DataType) -> Column:
     return F.lit(None).cast(want)
 
 
+def loses(column: Column, have: T.DataType, want: T.DataType) -> Column | None:
+    """Whether ``align_column`` would lose what the column holds; None where no value can be lost.
+
+    A field the target lacks is dropped by design and does not count.
+    """
+    if same_type(have, want):
+        return None
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        found = [
+            lost for f in have.fields
+            if (g := find_field(want, f.name)) is not None and (lost := loses(column.getField(f.name), f.dataType, g.dataType)) is not None
+        ]
+        return reduce(Column.__or__, [F.coalesce(x, F.lit(False)) for x in found]) if found else None
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return _any_lost(column, have.elementType, want.elementType)
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        parts = [_any_lost(F.map_keys(column), have.keyType, want.keyType), _any_lost(F.map_values(column), have.valueType, want.valueType)]
+        parts = [p for p in parts if p is not None]
+        return reduce(Column.__or__, parts) if parts else None
+    if isinstance(want, T.StringType) or isinstance(have, T.NullType):
+        return None
+    made = align_column(column, have, want)
+    if isinstance(have, T.StringType) or not _convertible(have, want):
+        return column.isNotNull() & made.isNull()
+    # back in its own type it must be what it was
+    return column.isNotNull() & ~made.try_cast(have).eqNullSafe(column)
+
+
+def _any_lost(array: Column, have: T.DataType, want: T.DataType) -> Column | None:
+    if loses(F.lit(None).cast(have), have, want) is None:
+        return None
+    return F.exists(array, lambda x: F.coalesce(loses(x, have, want), F.lit(False)))
+
+
+RESCUED = "_rescued"
+
+
+def align_rescuing(df: DataFrame, target: T.StructType) -> DataFrame:
+    """``align_to`` with one more column: a map from column name to the text of a value its declared type cannot take, or null."""
+    aligned = align_to(df, target).columns
+    entries = []
+    for f in target.fields:
+        own = find_field(df.schema, f.name)
+        lost = None if own is None else loses(quoted(own.name), own.dataType, f.dataType)
+        if lost is not None:
+            nested = isinstance(own.dataType, (T.StructType, T.ArrayType, T.MapType))
+            text = F.to_json(quoted(own.name)) if nested else quoted(own.name).cast("string")
+            entries += [F.lit(f.name), F.when(F.coalesce(lost, F.lit(False)), text)]
+    kind = "map<string,string>"
+    held = F.map_filter(F.create_map(*entries), lambda _, v: v.isNotNull()) if entries else F.lit(None).cast(kind)
+    held = F.when(F.size(held) > 0, held).cast(kind) if entries else held
+    columns = []
+    for name, f in zip(aligned, target.fields):
+        own = find_field(df.schema, f.name)
+        value = F.lit(None).cast(f.dataType) if own is None else align_column(quoted(own.name), own.dataType, f.dataType)
+        columns.append(value.alias(name))
+    return df.select(*columns, held.alias(RESCUED))
+
+
 def align_to(df: DataFrame, target: T.StructType) -> DataFrame:
     """The frame with exactly the target's columns, in its order and types."""
     if same_type(df.schema, target):
@@ -223,26 +314,33 @@ def align_to(df: DataFrame, target: T.StructType) -> DataFrame:
 
 
 def union_drift(*frames: DataFrame) -> DataFrame:
-    """Union by name of frames whose columns and types may differ."""
-    target = merged_schema([f.schema for f in frames])
+    """Union by name of frames whose columns and types may differ; every value survives."""
+    target = exact_schema(*frames)
     return reduce(DataFrame.unionByName, [align_to(f, target) for f in frames])
 
 
 # --- JSON ------------------------------------------------------------------
 
+SPELLINGS = "spellings"
+
+
 def _storable(dtype: T.DataType) -> T.DataType | None:
     """Type as kept in tables.
 
-    Fractions are doubles, clashing and unknown types text. Empty structs go,
-    and so does a name that repeats an earlier one but for case.
+    Fractions are doubles, clashing and unknown types text. Empty structs go. Names that differ in nothing but case are one field
+    of a type all of them fit in, whose metadata list the spellings.
     """
     if isinstance(dtype, T.StructType):
-        kept: dict[str, T.StructField] = {}
+        kept: dict[str, list[T.StructField]] = {}
         for f in dtype.fields:
             inner = _storable(f.dataType)
             if inner is not None:
-                kept.setdefault(f.name.lower(), T.StructField(f.name, inner))
-        return T.StructType(list(kept.values())) if kept else None
+                kept.setdefault(f.name.lower(), []).append(T.StructField(f.name, inner))
+        fields = []
+        for same in kept.values():
+            kind = reduce(_widen_spelled, (f.dataType for f in same))
+            fields.append(T.StructField(same[0].name, kind, True, {SPELLINGS: [f.name for f in same]} if len(same) > 1 else None))
+        return T.StructType(fields) if fields else None
     if isinstance(dtype, T.ArrayType):
         element = _storable(dtype.elementType)
         return None if element is None else T.ArrayType(element)
@@ -253,6 +351,51 @@ def _storable(dtype: T.DataType) -> T.DataType | None:
     return dtype
 
 
+def _spellings(field: T.StructField) -> list[str]:
+    return (field.metadata or {}).get(SPELLINGS) or [field.name]
+
+
+def _widen_spelled(a: T.DataType, b: T.DataType) -> T.DataType:
+    """``widen`` that keeps the spellings of nested fields."""
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        fields = []
+        for f in a.fields:
+            g = find_field(b, f.name)
+            names = list(dict.fromkeys(_spellings(f) + (_spellings(g) if g else [])))
+            kind = _widen_spelled(f.dataType, g.dataType) if g else f.dataType
+            fields.append(T.StructField(f.name, kind, True, {SPELLINGS: names} if len(names) > 1 else None))
+        return T.StructType(fields + [g for g in b.fields if find_field(a, g.name) is None])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(_widen_spelled(a.elementType, b.elementType))
+    return widen(a, b, exact=True)
+
+
+def _spelled_out(dtype: T.DataType, number: bool = False) -> T.DataType:
+    """The type with a field for each spelling, in order; or the same with the fields' numbers for names."""
+    if isinstance(dtype, T.StructType):
+        each = [(n, f.dataType) for f in dtype.fields for n in _spellings(f)]
+        return T.StructType([T.StructField(f"_{i}" if number else n, _spelled_out(d, number)) for i, (n, d) in enumerate(each)])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_spelled_out(dtype.elementType, number))
+    return dtype
+
+
+def _folded_spellings(values: list[Column], dtype: T.DataType) -> Column:
+    """One value of the type from several spelled out by number: the first that is not null, in structs field by field."""
+    if isinstance(dtype, T.StructType):
+        at, fields = 0, []
+        for f in dtype.fields:
+            n = len(_spellings(f))
+            own = [v.getField(f"_{i}") for v in values for i in range(at, at + n)]
+            fields.append(_folded_spellings(own, f.dataType).alias(f.name))
+            at += n
+        return F.when(F.coalesce(*values).isNotNull(), F.struct(*fields))
+    first = F.coalesce(*values)
+    if isinstance(dtype, T.ArrayType) and not same_type(dtype, _spelled_out(dtype, True)):
+        return F.transform(first, lambda x: _folded_spellings([x], dtype.elementType))
+    return first
+
+
 def infer_json_schema(df: DataFrame, column: str = "value") -> T.StructType:
     """Schema holding every JSON object in a text or binary column.
 
@@ -262,7 +405,14 @@ def infer_json_schema(df: DataFrame, column: str = "value") -> T.StructType:
     """
     text = quoted(column).cast("string")
     objects = df.where(text.rlike(r"^\s*\{")).select(F.try_parse_json(text).alias("v"))
-    ddl = objects.agg(F.schema_of_variant_agg("v")).first()[0]
+    # objects whose names are alike but for case must not pass for one type: tasks of this thread's jobs tell case apart
+    context, setting = df.sparkSession.sparkContext, "spark.sql.caseSensitive"
+    before = context.getLocalProperty(setting)
+    context.setLocalProperty(setting, "true")
+    try:
+        ddl = objects.agg(F.schema_of_variant_agg("v")).first()[0]
+    finally:
+        context.setLocalProperty(setting, before)
     if ddl is None or not ddl.startswith("OBJECT<"):
         return T.StructType([])
     # back-quoted names are passed over, so a field called OBJECT< is safe
@@ -273,10 +423,18 @@ def infer_json_schema(df: DataFrame, column: str = "value") -> T.StructType:
 def parse_json_rows(df: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
     """Adds ``_json`` with the parsed fields and the text of unreadable rows.
 
-    A row counts as unreadable when its text is null, is no JSON object or
-    holds a value its field cannot take.
+    A row counts as unreadable when its text is null, is no JSON object,
+    holds a value its field cannot take, or repeats a key within an object, of whose values only one could be kept. Names that
+    differ in nothing but case, where the schema was inferred from such rows, are one field: its first spelling that is not null.
     """
     text = quoted(column).cast("string")
     with_text = T.StructType([*schema.fields, T.StructField(UNPARSED, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNPARSED}
-    return df.withColumn("_json", F.from_json(text, with_text, options))
+    spelled, numbered = _spelled_out(with_text), _spelled_out(with_text, True)
+    # each step is a column of its own, so that the text is parsed once
+    marked = df.withColumn("_json", F.from_json(text, spelled, options))
+    if not same_type(spelled, with_text):
+        marked = marked.withColumn("_json", F.col("_json").cast(numbered))
+        marked = marked.withColumn("_json", _folded_spellings([F.col("_json")], with_text))
+    repeats = F.col(f"_json.{UNPARSED}").isNull() & F.try_parse_json(text).isNull()
+    return marked.withColumn("_json", F.when(repeats, F.col("_json").withField(UNPARSED, text)).otherwise(F.col("_json")))

@@ -21,7 +21,7 @@ from feedfold.operators.latest import latest_per_key
 from feedfold.operators.offsets import next_offsets, run_offsets
 from feedfold.plans import jobs
 from feedfold.session import scratch_path
-from feedfold.sources import kafka, sinks, synth, tables
+from feedfold.sources import kafka, sinks, synth, tables, touched
 from feedfold.streaming import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -946,6 +946,92 @@ def ledger_roundtrip(spark, sf_dir):
     return next_offsets(sinks.read_ledger(spark, path))
 
 
+def _upsert_in_two(spark: SparkSession, sf_dir: str, some: Column) -> tuple[str, list[touched.FileReport]]:
+    """Post-like events in files of several slots a day, then the others' first and last in two deltas."""
+    path = scratch_path(spark, "touched")
+    events = _event_versions(table(spark, sf_dir, "events"))
+    is_post = F.col("event_type").isin(*EVENT_POSTS)
+    reports = []
+    for delta in (events.where(is_post), events.where(~is_post & some), events.where(~is_post & ~some)):
+        reports.append(touched.upsert_touched(delta, path, "day", ["user_id"], ["event_id"], spread=4, small_bytes=0))
+    return path, reports
+
+
+@query(UPSERT_SQL)
+def touched_upsert(spark, sf_dir):
+    """Deltas folded into a dated table by rewriting only the files that hold their keys."""
+    path, _ = _upsert_in_two(spark, sf_dir, F.col("user_id") % 2 == 0)
+    return spark.read.parquet(path).select("user_id", "day", "event_id", "event_type", "label")
+
+
+@query(
+    """SELECT CAST(event_id AS VARCHAR) AS message, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+              CASE WHEN event_id % 5 = 2 THEN 'u' || event_id END AS name, false AS unreadable
+       FROM events WHERE event_id % 5 < 3
+       UNION ALL
+       SELECT CASE WHEN event_id % 5 = 3 THEN '{"Id":' || event_id || ',"Id":0}' ELSE 'no json ' || event_id END, NULL, NULL, true
+       FROM events WHERE event_id % 5 >= 3"""
+)
+def folded_messages(spark, sf_dir):
+    """Messages whose names differ in case are one field; repeated keys and other unreadable text are set aside whole."""
+    k, key = F.get_json_object("props", "$.k").cast("bigint"), F.col("event_id") % 5
+    word = F.concat(F.lit("u"), F.col("event_id").cast("string"))
+    text = (
+        F.when(key == 0, F.to_json(F.struct(F.col("event_id").alias("Id"), F.struct(k.alias("K")).alias("Props"))))
+        .when(key == 1, F.to_json(F.struct(F.col("event_id").alias("id"), F.struct(k.alias("k")).alias("props"))))
+        .when(key == 2, F.to_json(F.struct(F.col("event_id").alias("ID"), F.struct(k.alias("K")).alias("props"), F.struct(word.alias("name")).alias("Props"))))
+        .when(key == 3, F.concat(F.lit('{"Id":'), "event_id", F.lit(',"Id":0}')))
+        .otherwise(F.concat(F.lit("no json "), "event_id"))
+    )
+    messages = table(spark, sf_dir, "events").select(text.alias("value"))
+    parsed = schema.parse_json_rows(messages, schema.infer_json_schema(messages))
+    bad = F.col(f"_json.{schema.UNPARSED}").isNotNull()
+    field = lambda name: F.when(~bad, F.col(f"_json.{name}"))
+    return parsed.select(
+        F.when(bad, F.col("value")).otherwise(F.col("_json.Id").cast("string")).alias("message"),
+        field("Props.K").alias("k"),
+        field("Props.name").alias("name"),
+        bad.alias("unreadable"),
+    )
+
+
+@query(
+    """SELECT event_id, CAST(CASE WHEN event_id % 3 <> 1 THEN user_id END AS BIGINT) AS likes,
+              CASE WHEN event_id % 3 = 1 THEN user_id || 'k' END AS rescued,
+              CASE WHEN event_id % 3 = 1 THEN 'unfit' END AS reason
+       FROM events"""
+)
+def rescued_values(spark, sf_dir):
+    """Metrics whose count is no number: null in the delta, kept beside it and among the dead letters."""
+    place = _scratch_tables(spark)
+    count = F.col("user_id").cast("string")
+    odd = F.col("event_id") % 3 == 1
+    likes = F.struct(F.when(odd, F.concat(count, F.lit("k"))).otherwise(count).alias("LikeCount"))
+    records = table(spark, sf_dir, "events").select(F.concat(F.lit("u"), F.col("event_id").cast("string")).alias("Url"), likes.alias("Metrics"), "event_id")
+    message = F.to_json(F.struct("Url", "Metrics")).alias("value")
+    envelope = records.select(message, F.lit(0).alias("partition"), F.col("event_id").alias("offset"))
+    jobs.ingest_metrics(envelope, jobs.Run("2024-01-01", "01-00", "Metrics", "g"), place("delta"), dead_letters=place("dead"))
+    letters = tables.read_delta(spark, place("dead"), "2024-01-01").select(F.col("kafkaoffset").alias("_at"), "reason")
+    delta = tables.read_delta(spark, place("delta"), "2024-01-01")
+    met = delta.join(letters, F.col("kafkaoffset") == F.col("_at"), "left")
+    return met.select(F.col("kafkaoffset").alias("event_id"), "likes", F.col(schema.RESCUED)["likes"].alias("rescued"), "reason")
+
+
+@query(
+    """SELECT event_id, CASE event_id % 3 WHEN 0 THEN CAST(9007199254740993 + event_id AS VARCHAR) WHEN 1 THEN (event_id * 4 + 1) || '.25' ELSE CAST(event_id AS VARCHAR) END AS amount
+       FROM events"""
+)
+def exact_union(spark, sf_dir):
+    """Runs of a day whose field is a large whole number, a fraction and a small number: no digit is lost."""
+    base = scratch_path(spark, "exact")
+    events = table(spark, sf_dir, "events")
+    amounts = (F.lit(2**53 + 1) + F.col("event_id"), (F.col("event_id") * 4 + 1).cast("double") + 0.25, F.col("event_id").cast("int"))
+    for n, amount in enumerate(amounts):
+        run = events.where(F.col("event_id") % 3 == n).select("event_id", amount.alias("amount"))
+        sinks.write_delta(run, base, "2024-01-01", f"0{n}-00")
+    return tables.read_delta(spark, base, "2024-01-01").select("event_id", "amount")
+
+
 # --- streams ----------------------------------------------------------------
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,7 @@ from feedfold.operators.offsets import run_offsets
 from feedfold.operators.reshape import canonical_metrics, derive_post_dates, project_metrics
 from feedfold.operators.schema import (
     METRICS_SCHEMA,
+    RESCUED,
     UNPARSED,
     dedupe_columns,
     find_field,
@@ -111,10 +112,18 @@ def parse_messages(
     return Parsed(raw, messages, parsed.where("NOT _readable").select("value", "kafkapartition", "kafkaoffset"))
 
 
-def _finish_ingest(parsed: Parsed, run: Run, dead_letters: str | None, ledger: str | None) -> None:
-    """Data is in place by now; unreadable messages and the ledger follow, in this order."""
+def _finish_ingest(
+    parsed: Parsed, run: Run, dead_letters: str | None, ledger: str | None, rescued: DataFrame | None = None
+) -> None:
+    """Data is in place by now; dead letters and the ledger follow, in this order.
+
+    Dead letters are unreadable messages as they came, and, of those that were read but for some values, these values.
+    """
     if dead_letters:
-        sinks.write_delta(parsed.unreadable, dead_letters, run.exec_date, run.exec_time)
+        letters = parsed.unreadable.withColumn("reason", F.lit("unreadable"))
+        if rescued is not None:
+            letters = letters.unionByName(rescued.withColumn("reason", F.lit("unfit")))
+        sinks.write_delta(letters, dead_letters, run.exec_date, run.exec_time)
     if ledger:
         offsets = run_offsets(parsed.raw, run.topic, run.group, run.exec_date, run.exec_time)
         sinks.append_ledger(offsets, ledger)
@@ -138,8 +147,8 @@ def ingest_blogs(
 
 
 def flat_metrics(messages: DataFrame, exec_date: str, key_fn: KeyFn = url_key) -> DataFrame:
-    """Metrics messages as the 17 delta columns."""
-    return project_metrics(messages).withColumns(
+    """Metrics messages as the 17 delta columns, and ``_rescued``, a map of the values that these cannot take, or null."""
+    return project_metrics(messages, rescue=True).withColumns(
         {"id": key_fn(F.col("metricsurl")), "execdate": F.lit(exec_date)}
     )
 
@@ -153,10 +162,12 @@ def ingest_metrics(
     key_fn: KeyFn = url_key,
     schema: T.StructType | None = None,
 ) -> None:
-    """Metrics messages to the metrics delta."""
+    """Metrics messages to the metrics delta; values that do not fit its columns are kept beside them and in the dead letters."""
     parsed = parse_messages(envelope, base, "Url", schema)
-    sinks.write_delta(flat_metrics(parsed.messages, run.exec_date, key_fn), base, run.exec_date, run.exec_time)
-    _finish_ingest(parsed, run, dead_letters, ledger)
+    flat = flat_metrics(parsed.messages, run.exec_date, key_fn)
+    sinks.write_delta(flat, base, run.exec_date, run.exec_time)
+    unfit = flat.where(F.col(RESCUED).isNotNull()).select(F.to_json(RESCUED).alias("value"), "kafkapartition", "kafkaoffset")
+    _finish_ingest(parsed, run, dead_letters, ledger, unfit)
 
 
 def keyed_posts(messages: DataFrame, key_fn: KeyFn = url_key) -> DataFrame:

@@ -1,5 +1,8 @@
 """Inference, comparison, widening and alignment."""
 
+from decimal import Decimal
+
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,3 +130,88 @@ def test_infer_survives_odd_field_names(spark):
     assert got["OBJECT<a"].dataType == T.LongType()
     assert got["k`k"].dataType["v"].dataType == T.LongType()
     assert len([f for f in got.fieldNames() if f.lower() == "a"]) == 1
+
+
+# --- nothing is lost ---------------------------------------------------------
+
+NUMBERS = {
+    "tinyint": [1, -128, None],
+    "int": [2**31 - 1, 7],
+    "bigint": [2**53 + 1, -(2**63), 5],
+    "float": [0.5, 1e30, None],
+    "double": [0.1, 1e300, -3.0],
+    "decimal(20,4)": [Decimal("1234567890123456.7891")],
+    "decimal(38,0)": [Decimal(10) ** 37 + 1],
+    "string": ["1k", "x"],
+}
+
+
+def _alike(a, b):
+    """Whether two values, one of them maybe as text, say the same."""
+    if a is None or b is None:
+        return a is b
+    try:
+        return Decimal(repr(a) if isinstance(a, float) else str(a)) == Decimal(repr(b) if isinstance(b, float) else str(b))
+    except ArithmeticError:
+        return str(a) == str(b)
+
+
+@pytest.mark.parametrize("left", NUMBERS)
+def test_every_value_survives_a_union(spark, left):
+    import numpy as np
+
+    frames = {k: spark.createDataFrame([(i, v, {"x": [v]}) for i, v in enumerate(vs)], f"i int, v {k}, s struct<x:array<{k}>>") for k, vs in NUMBERS.items()}
+    for right in list(NUMBERS)[list(NUMBERS).index(left):]:
+        out = S.union_drift(frames[left].withColumn("side", F.lit(0)), frames[right].withColumn("side", F.lit(1)))
+        for r in out.collect():
+            want = NUMBERS[(left, right)[r["side"]]][r["i"]]
+            if (left, right)[r["side"]] == "float" and want is not None and not isinstance(r["v"], str):
+                want = float(np.float32(want))
+            got = [r["v"], r["s"]["x"][0]]
+            near = lambda g: isinstance(want, float) and g is not None and np.float32(float(g)) == np.float32(want)
+            assert all(_alike(want, g) or near(g) for g in got), (left, right, want, got)
+
+
+def test_long_and_double_meet_in_a_number_where_all_fit(spark):
+    small, double = spark.createDataFrame([(2**53,)], "v bigint"), spark.createDataFrame([(0.5,)], "v double")
+    assert S.union_drift(small, double).schema["v"].dataType == T.DoubleType()
+    big = spark.createDataFrame([(2**53 + 1,)], "v bigint")
+    out = S.union_drift(big, double)
+    assert {r["v"] for r in out.collect()} == {"9007199254740993", "0.5"}
+
+
+def test_no_value_is_nulled_without_a_rescued_entry(spark):
+    target = T.StructType.fromDDL("a bigint, b int, c array<bigint>, d struct<x:int>, e date, f string, g boolean, h bigint")
+    rows = [("1k", 2**40, ["1", "z"], ("q",), "2024-01-01", 5, 2, 1.5), (" 7 ", 3, ["4"], ("8",), "soon", 6, 1, 2.0), (None, None, None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "a string, b bigint, c array<string>, d struct<x:string>, e string, f int, g int, h double")
+    out = S.align_rescuing(df, target)
+    got = out.collect()
+    assert got[0][S.RESCUED] == {"a": "1k", "b": str(2**40), "c": '["1","z"]', "d": '{"x":"q"}', "g": "2", "h": "1.5"}
+    assert got[1][S.RESCUED] == {"e": "soon"} and (got[1]["a"], got[1]["h"], got[1]["g"]) == (7, 2, True)
+    assert got[2][S.RESCUED] is None and same_fields(out.drop(S.RESCUED), S.align_to(df, target))
+    assert S.align_rescuing(df, df.schema).first()[S.RESCUED] is None
+
+
+def same_fields(a, b):
+    return a.schema == b.schema and list(map(tuple, a.collect())) == list(map(tuple, b.collect()))
+
+
+def test_spellings_are_one_field_and_repeated_keys_are_unreadable(spark):
+    texts = [
+        '{"Url":"a","M":{"Like":1,"x":[{"K":1}]}}',
+        '{"url":"b","m":{"like":2,"X":[{"k":2},{"K":3}]}}',
+        '{"URL":null,"url":"c","M":{"Like":5},"m":{"like":6,"other":7}}',
+        '{"Url":"d","Url":"e"}',
+        '{"Url":"f","M":{"Like":1,"Like":2}}',
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1)
+    alike = spark.createDataFrame([('{"A":{"k":1}}',), ('{"a":{"K":2}}',)], "value string").coalesce(1)
+    assert [r["A"]["k"] for r in S.parse_json_rows(alike, S.infer_json_schema(alike)).select("_json.*").collect()] == [1, 2]
+    inferred = S.infer_json_schema(df)
+    assert [f.name.lower() for f in inferred.fields] == ["m", "url"]
+    rows = S.parse_json_rows(df, inferred).select("_json.*").collect()
+    plain = lambda r: (r["URL"], r["M"].asDict(recursive=True) if r["M"] else None)
+    assert plain(rows[0]) == ("a", {"Like": 1, "x": [{"K": 1}], "other": None})
+    assert plain(rows[1]) == ("b", {"Like": 2, "x": [{"K": 2}, {"K": 3}], "other": None})
+    assert plain(rows[2]) == ("c", {"Like": 5, "x": None, "other": 7})
+    assert [r[S.UNPARSED] for r in rows] == [None, None, None, *texts[3:]]
