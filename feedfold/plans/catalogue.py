@@ -18,10 +18,10 @@ from feedfold.functions.dates import compact_date, date_span, days_before
 from feedfold.functions.keys import url_key
 from feedfold.operators import merge, reshape, schema, split
 from feedfold.operators.latest import latest_per_key
-from feedfold.operators.offsets import next_offsets, run_offsets
+from feedfold.operators.offsets import next_offsets, run_offsets, starting_offsets
 from feedfold.plans import jobs
 from feedfold.session import scratch_path
-from feedfold.sources import kafka, sinks, synth, tables, touched
+from feedfold.sources import kafka, leftout, retention, sinks, synth, tables, touched
 from feedfold.streaming import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1235,3 +1235,227 @@ def child_jobs(spark, sf_dir):
     return spark.read.parquet(place(split.ATTACHMENTS)).select(
         "PostId", "partdate", "Kind", F.col("Ocr.Body").alias("OcrBody")
     )
+
+
+CHILDREN_OF_INTEREST = (split.OTHER, split.GEO, split.MODIFICATION)
+
+
+@query(
+    f"""WITH o AS (SELECT *, {URL_SQL} AS url, CAST(date_trunc('month', o_orderdate) AS DATE) AS day FROM orders
+                   LEFT JOIN customer ON o_custkey = c_custkey)
+        SELECT '{split.OTHER}' AS part, md5(url) AS "PostId", day AS partdate, c_name AS held FROM o
+        UNION ALL
+        SELECT '{split.GEO}', md5(url), day, c_mktsegment FROM o WHERE o_orderstatus <> 'F'
+        UNION ALL
+        SELECT '{split.GEO}', md5(url), day, NULL FROM o WHERE o_orderstatus = 'F'
+        UNION ALL
+        SELECT '{split.MODIFICATION}', md5(url), day, CAST(o_orderkey AS VARCHAR) FROM o"""
+)
+def child_tables(spark, sf_dir):
+    """The three other merged child tables after two days."""
+    place = run_post_jobs(spark, sf_dir, CHILDREN_OF_INTEREST)
+    held = {split.OTHER: "AuthorName", split.GEO: "Caption", split.MODIFICATION: "Status"}
+    frames = [
+        spark.read.parquet(place(part)).select(
+            F.lit(part).alias("part"), "PostId", "partdate", F.col(held[part]).cast("string").alias("held")
+        )
+        for part in CHILDREN_OF_INTEREST
+    ]
+    return frames[0].union(frames[1]).union(frames[2])
+
+
+def _order_deltas(spark: SparkSession, sf_dir: str, place: Callable[[str], str], exec_date: str, some: str, day_of: Column) -> None:
+    """Orders as a posts delta, written as ingest would."""
+    posts = table(spark, sf_dir, "orders").where(some).select(
+        url_key(order_url()).alias("Id"),
+        F.to_date(day_of).alias("PartDate"),
+        order_url().alias("Url"),
+        F.col("o_orderkey").alias("MetricsLikeCount"),
+        F.lit(exec_date).alias("CreateDate"),
+        F.col("o_orderkey").alias("kafkaoffset"),
+    )
+    sinks.write_delta(posts, place("delta/Posts"), exec_date, "01-00")
+
+
+LEFT_SQL = """SELECT md5({url}) AS "PostId", CASE WHEN o_orderstatus = 'P' THEN 'undated' WHEN m < DATE '1995-01-01' THEN 'late'
+               WHEN m > DATE '1997-12-01' THEN 'early' ELSE 'merged' END AS state
+        FROM (SELECT *, CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders)"""
+
+
+@query(LEFT_SQL.format(url=URL_SQL))
+def left_out_rows(spark, sf_dir):
+    """Every post is merged or kept with a reason; a second, wider window admits what the first left out."""
+    place = _scratch_tables(spark)
+    month = F.when(F.col("o_orderstatus") != "P", F.date_trunc("month", "o_orderdate"))
+    _order_deltas(spark, sf_dir, place, "1996-06-01", "true", month)
+    upkeep = jobs.Upkeep(left_out=place("left"))
+    for lower, upper in (("1996-01-01", "1996-06-01"), ("1995-01-01", "1997-12-01")):
+        jobs.merge_posts(spark, upper, lower, place("delta/Posts"), place("delta/Metrics"), place("Posts"), upkeep=upkeep)
+    merged = spark.read.parquet(place("Posts")).select("PostId", F.lit("merged").alias("state"))
+    kept = leftout.read_left_out(spark, place("left/posts")).select(F.col("Id").alias("PostId"), F.col(leftout.REASON).alias("state"))
+    return merged.unionByName(kept)
+
+
+@query(
+    """SELECT event_type, count(*) AS messages, event_type IN ('view', 'click') AS removed FROM events GROUP BY event_type"""
+)
+def consumed_runs(spark, sf_dir):
+    """Runs of a delta, one per event type: those that both of its readers have folded in go, the others stay."""
+    place = _scratch_tables(spark)
+    events, base = table(spark, sf_dir, "events").select("event_id", "event_type"), place("delta")
+    kinds = sorted(r[0] for r in events.select("event_type").distinct().collect())
+    for kind in kinds:
+        sinks.write_delta(events.where(F.col("event_type") == kind), base, "2024-01-01", kind)
+    sizes = tables.read_delta(spark, base, "2024-01-01").groupBy(F.col("exec_time").alias("event_type")).agg(F.count("*").alias("messages"))
+    sizes = sinks.stage(sizes, place("sizes"))
+    runs = tables.delta_runs(spark, base, "2024-01-01")
+    of = lambda *names: [r for r in runs if r.rpartition("=")[2] in names]
+    retention.note_consumed(spark, place("ledger"), "totals", retention.contents(spark, of("view", "click", "error")))
+    retention.note_consumed(spark, place("ledger"), "posts", retention.contents(spark, of("view", "click", "signup")))
+    for _ in range(2):
+        retention.remove_consumed(spark, place("ledger"), base, ["totals", "posts"])
+    left = tables.read_delta(spark, base, "2024-01-01").select(F.col("exec_time").alias("event_type")).distinct()
+    return sizes.join(left.withColumn("_left", F.lit(True)), "event_type", "left").select(
+        "event_type", "messages", F.col("_left").isNull().alias("removed")
+    )
+
+
+@query(
+    f"""SELECT md5({URL_SQL}) AS "PostId", CAST(date_trunc('month', o_orderdate) AS DATE) + CASE WHEN o_orderstatus = 'P' THEN 14 ELSE 0 END AS partdate,
+               CASE WHEN o_orderstatus = 'P' THEN '2001-08-02' ELSE '2001-08-01' END AS "CreateDate"
+        FROM orders"""
+)
+def moved_posts(spark, sf_dir):
+    """Posts whose newest message has another day leave the old one; each post has one row."""
+    place = _scratch_tables(spark)
+    month = F.to_date(F.date_trunc("month", "o_orderdate"))
+    _order_deltas(spark, sf_dir, place, "2001-08-01", "true", month)
+    _order_deltas(spark, sf_dir, place, "2001-08-02", "o_orderstatus = 'P'", F.date_add(month, 14))
+    for exec_date in ("2001-08-01", "2001-08-02"):
+        jobs.merge_posts(spark, exec_date, "1990-01-01", place("delta/Posts"), place("delta/Metrics"), place("Posts"))
+    return spark.read.parquet(place("Posts")).select("PostId", "partdate", "CreateDate")
+
+
+@query(f"""SELECT md5({URL_SQL}) AS "PostId", CAST(date_trunc('month', o_orderdate) AS DATE) AS partdate, o_orderkey AS likes FROM orders""")
+def batched_merge(spark, sf_dir):
+    """Posts merged in batches of days, first by a number of days, then by the size of what is there."""
+    place = _scratch_tables(spark)
+    month = F.date_trunc("month", "o_orderdate")
+    _order_deltas(spark, sf_dir, place, "2001-08-01", "o_orderstatus <> 'F'", month)
+    _order_deltas(spark, sf_dir, place, "2001-08-02", "o_orderstatus <> 'O'", month)
+    for exec_date, bounds in (("2001-08-01", {"max_days": 40}), ("2001-08-02", {"max_bytes": 400_000})):
+        jobs.merge_posts(spark, exec_date, "1990-01-01", place("delta/Posts"), place("delta/Metrics"), place("Posts"), **bounds)
+    return spark.read.parquet(place("Posts")).select("PostId", "partdate", F.col("MetricsLikesCount").alias("likes"))
+
+
+@query(
+    f"""WITH h AS (SELECT md5('c' || o_custkey) AS id, CAST(date_trunc('year', o_orderdate) AS DATE) AS day, o_orderkey,
+                          row_number() OVER (PARTITION BY o_custkey, date_trunc('year', o_orderdate)
+                              ORDER BY CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END DESC NULLS LAST, o_orderkey DESC) AS r
+                   FROM orders)
+        SELECT id AS "PostId", day AS partdate, o_orderkey AS likes FROM h WHERE r = 1"""
+)
+def repeated_history(spark, sf_dir):
+    """A posts table filled from elsewhere repeats posts on a day; a merge leaves the newest row, null times last."""
+    place = _scratch_tables(spark)
+    stamp = F.when(F.col("o_orderstatus") != "P", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    old = table(spark, sf_dir, "orders").select(
+        url_key(F.concat(F.lit("c"), F.col("o_custkey").cast("string"))).alias("PostId"),
+        F.to_date(F.date_trunc("year", "o_orderdate")).alias("partdate"),
+        stamp.alias("MetricsTimestamp"),
+        F.timestamp_seconds("o_orderkey").alias("CurrentTimestamp"),
+        F.col("o_orderkey").alias("MetricsLikesCount"),
+    )
+    sinks.replace_partitions(old, place("Posts"), ["partdate"])
+    days = [r[0] for r in old.select("partdate").distinct().collect()]
+    touch = spark.createDataFrame([("none", d, "touch") for d in days], "Id string, PartDate date, Url string")
+    sinks.write_delta(touch, place("delta/Posts"), "2001-08-01", "01-00")
+    jobs.merge_posts(spark, "2001-08-01", "1990-01-01", place("delta/Posts"), place("delta/Metrics"), place("Posts"), history_unique=False)
+    return spark.read.parquet(place("Posts")).where("PostId <> 'none'").select("PostId", "partdate", F.col("MetricsLikesCount").alias("likes"))
+
+
+# --- formats, positions, streams of state -----------------------------------
+
+@query(
+    """SELECT 'orc' AS format, event_id, event_type, value FROM events
+       UNION ALL SELECT 'json', event_id, event_type, value FROM events
+       UNION ALL SELECT 'csv', event_id, event_type, value FROM events"""
+)
+def formats_scan(spark, sf_dir):
+    """A table written and read in several formats."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    found = []
+    for fmt in ("orc", "json", "csv"):
+        path = scratch_path(spark, fmt)
+        events.write.format(fmt).save(path)
+        # text formats carry no types of their own
+        read = tables.read_table(spark, path, fmt) if fmt != "csv" else tables.read_table(spark, path, fmt).toDF(*events.columns)
+        found.append(schema.align_to(read, events.schema).select(F.lit(fmt).alias("format"), "*"))
+    return found[0].union(found[1]).union(found[2])
+
+
+@query(
+    """SELECT 'Events' AS topic, p AS partition, coalesce(o, -2) AS position
+       FROM range(6) r(p) LEFT JOIN (SELECT user_id % 4 AS k, max(event_id) + 1 AS o FROM events GROUP BY ALL) ON k = p"""
+)
+def offset_positions(spark, sf_dir):
+    """The start positions that a ledger gives a feed of six partitions, of which two were never read."""
+    messages = table(spark, sf_dir, "events").select(
+        F.pmod("user_id", F.lit(4)).cast("int").alias("kafkapartition"), F.col("event_id").alias("kafkaoffset")
+    )
+    ledger = run_offsets(messages, "Events", "g", "2024-01-30", "23-00")
+    latest = {r["kafkapartition"]: r["nextoffset"] for r in next_offsets(ledger).collect()}  # one per partition of the feed
+    text = starting_offsets(latest, "Events", range(6))
+    positions = F.from_json(F.lit(text), "map<string,map<string,bigint>>")
+    one = spark.range(1).select(F.explode(positions).alias("topic", "each"))
+    return one.select("topic", F.explode("each").alias("_p", "position")).select("topic", F.col("_p").cast("bigint").alias("partition"), "position")
+
+
+@query(
+    """SELECT user_id, CAST(ts AS DATE) AS day, max(event_id) AS event_id, max_by(event_type, event_id) AS event_type
+       FROM events GROUP BY user_id, CAST(ts AS DATE)"""
+)
+def stream_newest(spark, sf_dir):
+    """Newest event per user and day of a drained feed, kept in state of one entry per key and laid over a dated table."""
+    path = scratch_path(spark, "newest")
+    stream = _event_stream(spark, sf_dir).select("user_id", day("ts").alias("day"), "event_id", "event_type")
+    newest = feeds.newest_stream(stream, ["user_id"], ["event_id"], "day", "60 days")
+    handler = feeds.upsert_handler(path, "day", ["user_id"], ["event_id"], transform=lambda b: b.drop("_settles"))
+    feeds.drain(newest, handler, scratch_path(spark, "checkpoint"), "update")
+    return spark.read.parquet(path).select("user_id", "day", "event_id", "event_type")
+
+
+@query(
+    """WITH e AS (SELECT user_id, CAST(ts AS DATE) AS day, event_id, event_type IN ('view', 'click', 'signup') AS post FROM events),
+       n AS (SELECT user_id, day, post, max(event_id) AS event_id FROM e GROUP BY ALL),
+       last AS (SELECT least((SELECT max(day) FROM e WHERE post), (SELECT max(day) FROM e WHERE NOT post)) - 1 AS day)
+       SELECT coalesce(p.user_id, m.user_id) AS user_id, coalesce(p.day, m.day) AS day, p.event_id AS event_id, m.event_id AS "event_idMetrics"
+       FROM (SELECT * FROM n WHERE post) p FULL JOIN (SELECT * FROM n WHERE NOT post) m ON p.user_id = m.user_id AND p.day = m.day
+       WHERE coalesce(p.day, m.day) < (SELECT day FROM last)"""
+)
+def stream_join(spark, sf_dir):
+    """Two feeds joined day by day as streams: all settled days, whether one side or both had the user."""
+    path = scratch_path(spark, "joined")
+    is_post = F.col("event_type").isin(*EVENT_POSTS)
+    sides = [_event_stream(spark, sf_dir).where(some).select("user_id", day("ts").alias("day"), "event_id") for some in (is_post, ~is_post)]
+    feeds.drain_to_files(feeds.join_streams(*sides, "user_id", ["event_id"], "day", "1 day"), path, scratch_path(spark, "checkpoint"))
+    return spark.read.parquet(path).select("user_id", "day", "event_id", "event_idMetrics")
+
+
+@query(
+    """SELECT 'https://vk.com/' || user_id AS metricsurl, event_id AS kafkaoffset, event_type IN ('view', 'click', 'signup') AS first FROM events"""
+)
+def two_streams_ingest(spark, sf_dir):
+    """Two streams with checkpoints of their own ingest on one day, the second batch repeated on the next: all rows once."""
+    place = _scratch_tables(spark)
+    is_post = F.col("event_type").isin(*EVENT_POSTS)
+    message = F.to_json(F.struct(F.concat(F.lit("https://vk.com/"), F.col("user_id").cast("string")).alias("Url"), is_post.cast("bigint").alias("Type")))
+    ingest = lambda batch, run: jobs.ingest_metrics(batch, run, place("delta"))
+    for n, some in enumerate((is_post, ~is_post)):
+        envelope = _event_stream(spark, sf_dir).where(some).select(message.alias("value"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"))
+        feeds.drain(envelope, jobs.ingest_handler(ingest, "2024-01-31", "Metrics", "g", place(f"checkpoint{n}")), place(f"checkpoint{n}"))
+    again = table(spark, sf_dir, "events").where(~is_post).select(message.alias("value"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"))
+    jobs.ingest_handler(ingest, "2024-02-01", "Metrics", "g", place("checkpoint1"))(again, 0)
+    days = [tables.read_delta(spark, place("delta"), d) for d in ("2024-01-31", "2024-02-01")]
+    rows = schema.union_drift(*(d for d in days if d is not None))
+    return rows.select("metricsurl", "kafkaoffset", (F.col("metricstype") == 1).alias("first"))
