@@ -17,7 +17,7 @@ from feedfold.streaming import feeds
 from messages import BLOG, METRICS, POST, POST_EXCLUDES, POST_PRIMARY, envelope, messages
 
 URL = "https://t.me/channel/1"
-BLOG_POLICY = P.FieldPolicy.parse('{"_TRACE_ID": [], "_sentiment": [], "CollectMessage": []}', "Url,UrlHash,Metrics.LikeCount")
+BLOG_POLICY = P.FieldPolicy.parse('{"Trace": [], "Nowhere": []}', "Url,UrlHash,Metrics.LikeCount")
 POST_POLICY = P.FieldPolicy.parse(POST_EXCLUDES, POST_PRIMARY)
 
 
@@ -30,7 +30,7 @@ def test_blogs_end_to_end(spark, tmp_path):
     blogs = messages(spark, BLOG, 100, Url=URL, UrlHash=url_key(F.lit(URL)))
     jobs.ingest_blogs(blogs, _run("2024-01-01"), BLOG_POLICY, delta, ledger)
     day = tables.read_delta(spark, delta, "2024-01-01")
-    assert day.count() == 100 and "_TRACE_ID" not in day.columns and "Metrics" in day.columns
+    assert day.count() == 100 and "Trace" not in day.columns and "Metrics" in day.columns
     jobs.merge_blogs(spark, "2024-01-01", delta, snap, clusters=4)
     merged = tables.latest_snapshot(spark, snap, "2024-01-02")
     assert merged.where(F.col("AccountId") == url_key(F.lit(URL))).count() == 1 and merged.count() == 1
