@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedfold.llm.common import stage
+
 SHRINK_DIAGONAL = 0.1
 SHRINK_POOLED = 0.05
 FLOOR = 1e-4
@@ -97,23 +99,37 @@ def is_held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Discriminant:
-    """From all labelled rows outside the held-out fifth; a doc_id whose labels are null or contradict one another is left out."""
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id and its text's statistics x, staged: all else goes by these few numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [statistics(t.as_py()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return stage(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, x array<double>"), "statistics")
+
+
+def fit(rows: DataFrame, labels: DataFrame) -> Discriminant:
+    """From all labelled rows of measured() outside the held-out fifth; a doc_id whose labels are null or contradict one another is left out."""
     clean = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
-    taught = docs.select("doc_id", "text").join(clean.where((F.col("quality") == F.col("most")) & ~is_held_out()).select("doc_id", "quality"), "doc_id")
+    taught = rows.join(clean.where((F.col("quality") == F.col("most")) & ~is_held_out()).select("doc_id", "quality"), "doc_id")
     d = len(STATISTICS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, s, q = np.zeros(2), np.zeros((2, d)), np.zeros((2, d, d))
         for batch in batches:
-            for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
-                x = np.array(statistics(text.as_py()))
-                n[label] += 1
-                s[label] += x
-                q[label] += np.outer(x, x)
+            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            x, label = flat.reshape(-1, d), batch.column(1).to_numpy(zero_copy_only=False)
+            for k in (0, 1):
+                own = x[label == k]
+                n[k] += len(own)
+                s[k] += own.sum(0)
+                q[k] += own.T @ own
         yield pa.RecordBatch.from_pydict({"n": n.tolist(), "s": s.tolist(), "q": q.reshape(2, -1).tolist(), "label": pa.array([0, 1], pa.int32())})
 
-    sums = taught.select("text", "quality").mapInArrow(run, "n double, s array<double>, q array<double>, label int")
+    sums = taught.select("x", "quality").mapInArrow(run, "n double, s array<double>, q array<double>, label int")
     flat = sums.select("label", F.posexplode(F.concat(F.array("n"), "s", "q")).alias("at", "x"))
     total = np.zeros((2, 1 + d + d * d))
     for r in flat.groupBy("label", "at").agg(F.sum("x").alias("x")).collect():  # 2 * (1 + d + d * d) numbers
@@ -127,13 +143,14 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataF
     A null or empty text has all statistics 0 and is scored by them. Repeated rows get equal scores; an empty table gives no rows;
     with labels of one class only every score is the share of the label.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    rows = measured(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(rows, labels))  # two means and factors of a dozen columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([statistics(t.as_py()) for t in batch.column(1)]).reshape(-1, len(STATISTICS))
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(STATISTICS))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.score(x), pa.float64())], names=["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+    scored = rows.mapInArrow(run, f"doc_id {kind}, score double")
     return scored.select("doc_id", is_held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
