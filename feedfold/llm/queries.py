@@ -24,6 +24,7 @@ from feedfold.llm import (
 )
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)  # the same vocabulary
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +52,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.digests(packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER))
+    return packing.digests(packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER, ranks=RANKS))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

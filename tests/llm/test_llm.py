@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feedfold.llm import embedding_dedup, exact_dedup, licenses, mixing, near_dedup, packing, quality, substring_dedup, toxicity, warc
 from feedfold.llm.common import components, with_group
-from feedfold.llm.queries import TOKENIZER
+from feedfold.llm.queries import RANKS, TOKENIZER
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 ODD = "doc_id long, text string, source string, `row` long, `Score` int, `_salt` int, `held.x` string, `component` long"
@@ -137,6 +137,16 @@ def test_packing_is_a_gapless_round_trip(spark):
     assert packing.pack(docs_of(spark, []), TOKENIZER).count() == 0
 
 
+def test_rank_file_gives_the_ids_of_the_tokenizer(spark):
+    slow, fast, rng = packing.Tokens(TOKENIZER), packing.Tokens(TOKENIZER, RANKS), random.Random(8)
+    signs = [" ", "a", "é", "\n", "\t", "\u00a0", "\u2003", "\x1c", "\x85", ".", "'s", "'LL", "1", "²", "日", "x", "\r", "<|endoftext|>", "👍🏽", "\u0301", "\u200d", "\x00", "Ⅷ", "٣"]
+    texts = ["", " " * 3000, "a" * 3000, prose(4, 500), " \n" * 500, *("".join(rng.choices(signs, k=rng.randrange(15))) for _ in range(2000))]
+    assert all(fast.ids(t).tolist() == slow.ids(t).tolist() for t in texts)
+    docs = docs_of(spark, [(i, t) for i, t in enumerate(texts[:300])] + [(None, None)])
+    both = [rows_of(packing.pack(docs, TOKENIZER, 64, ranks=r), "sequence_id", "offset", "doc_id", "ids") for r in (None, RANKS)]
+    assert both[0] == both[1]
+
+
 def test_packing_a_mix_keeps_source_shares_in_every_run(spark):
     rows = [(i, f"{'abc'[i % 3]} " * 60, "abc"[i % 3]) for i in range(1800)]  # a source's texts are neighbours on the curve
     source = {r[0]: r[2] for r in rows}
