@@ -7,14 +7,16 @@ records, gzipped as a whole. Readers go by Content-Length, never by searching fo
 
 from __future__ import annotations
 
-import zlib
+import gzip
+import hashlib
+import io
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedfold.llm.common import with_group
+from feedfold.llm.common import join_spread, stage, with_group
 from feedfold.session import scratch_path
 
 LEAST_BYTES = 100
@@ -38,78 +40,69 @@ def _record(kind: str | Column, headers: list[tuple[str, Column]], mime: str, bl
     return F.concat(head, F.lit(CRLF * 2), block)
 
 
-def captures(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload, digest, first (page_id of the record it revisits, else null) of every row of pages.
+def captures(pages: DataFrame, archives: int) -> DataFrame:
+    """page_id, url, payload, digest, first (page_id of the record it revisits, else null) and copy (0, 1, ... among rows that repeat a
+    page and payload) of every row of pages, dealt to archives.
 
-    Rows are salted by page_id within a payload, so a payload that a third of all pages share is no hot spot, and a
-    narrow list of repeated payloads is what travels to the pages.
+    Only a narrow list of repeated payloads, salted by page_id, is joined to the pages, whose payloads are shuffled once, to the place
+    where they are written. A payload that many pages share is spread over these pages.
     """
     payload = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("digest"))
-    narrow = rows.where(F.octet_length("payload") >= LEAST_BYTES).select("page_id", "digest")
-    led = with_group(narrow, ["digest"], ["page_id"], {"first": F.min("page_id")})
-    later = led.where("first <> page_id").select("page_id", "digest", "first").distinct()
-    return rows.join(later, ["page_id", "digest"], "left")
+    narrow = pages.where(F.octet_length(payload) >= LEAST_BYTES).select("page_id", F.sha2(payload, 256).alias("digest"))
+    led = with_group(narrow.distinct(), ["digest"], ["page_id"], {"first": F.min("page_id")})
+    keys = ["page_id", "digest"]
+    later = led.where("first <> page_id").select(*keys, "first")
+    met = rows.repartition(archives, *keys).join(later.repartition(archives, *keys).hint("merge"), keys, "left")
+    return met.withColumn("copy", F.row_number().over(Window.partitionBy(*keys).orderBy("first")) - 1)
 
 
 def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """Three records per row of pages, gzipped, in archives of about archive_bytes before compression."""
-    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    """Three records per row of pages, gzipped, in archives of about archive_bytes before compression.
+
+    Archives also end after as many records as make archive_bytes on average, so rows that repeat one page and payload, which one task writes
+    one by one, fill several.
+    """
+    total, count = pages.agg(F.sum(F.octet_length("html")), F.count("*")).first()
+    archives = max(1, -(-(total or 0) // archive_bytes))
     uri = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "%0A")
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
-    # the place makes ids of repeated rows differ; a row's records are made together, from one id
-    own = captures(pages).repartition(max(1, -(-total // archive_bytes)), F.xxhash64("page_id", "digest")).withColumn("at", F.monotonically_increasing_id().cast("string"))
-    main = _uuid(page, F.col("digest"), F.col("at"))
+    own = captures(pages, archives)
+    # named by page and payload; rows that repeat it by their number as well
+    named = lambda page, copy: _uuid(page, F.col("digest"), copy.cast("string"))
+    main = named(page, F.col("copy"))
     is_copy = F.col("first").isNotNull()
     digest = F.concat(F.lit("sha256:"), "digest")
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.octet_length("payload").cast("string"), F.lit(CRLF * 2))
     common = [("WARC-Target-URI", uri), ("WARC-Date", F.lit("2024-01-01T00:00:00Z"))]
-    revisit = [("WARC-Profile", F.lit(PROFILE)), ("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("first").cast("string"), F.lit(">"))), ("WARC-Truncated", F.lit("length"))]
+    revisit = [("WARC-Profile", F.lit(PROFILE)), ("WARC-Refers-To", named(F.col("first").cast("string"), F.lit(0))), ("WARC-Truncated", F.lit("length"))]
     fixed = [("WARC-Record-ID", main), *common, ("WARC-Payload-Digest", digest)]
     body = F.when(is_copy, _record("revisit", fixed + revisit, "application/http; msgtype=response", http)).otherwise(
         _record("response", fixed, "application/http; msgtype=response", F.concat(http, "payload"))
     )
     ask = _record("request", [("WARC-Record-ID", _uuid(F.lit("request"), main)), ("WARC-Concurrent-To", main), *common], "application/http; msgtype=request", F.concat(F.lit("GET "), uri, F.lit(f" HTTP/1.1{CRLF * 2}")))
     note = _record("metadata", [("WARC-Record-ID", _uuid(F.lit("metadata"), main)), ("WARC-Concurrent-To", main), *common], "application/warc-fields", F.concat(F.lit("page: "), page, F.lit(CRLF)))
-    own.select(F.explode(F.array(ask, body, note)).alias("value")).write.option("lineSep", CRLF * 2).option("compression", "gzip").text(path)
+    records = own.select(F.explode(F.array(ask, body, note)).alias("value")).write.option("lineSep", CRLF * 2).option("compression", "gzip")
+    records.option("maxRecordsPerFile", 6 * max(1, -(-count // archives))).text(path)
 
 
 def _records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (names in lower case) and block of each record of a gzipped archive, by their Content-Length."""
-    stream, buffer, at = zlib.decompressobj(31), b"", 0
-
-    def more() -> bool:
-        nonlocal buffer, at, stream, data
-        while True:
-            if stream.eof:  # archives may be gzipped record by record
-                data, stream = stream.unused_data, zlib.decompressobj(31)
-            if not data:
-                return False
-            piece = stream.decompress(data, 1 << 20)
-            data = stream.unconsumed_tail if not stream.eof else data
-            if piece:
-                buffer, at = buffer[at:] + piece, 0
-                return True
-            if not stream.eof and not data:
-                return False
-
-    while True:
-        while (end := buffer.find(b"\r\n\r\n", at)) < 0:
-            if not more():
-                return
-        lines = buffer[at:end].decode("utf-8", "replace").split(CRLF)
-        fields = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        size = int(fields["content-length"])
-        at = end + 4
-        while len(buffer) - at < size + 4 and more():
-            pass
-        yield fields, buffer[at : at + size]
-        at += size + 4
-
-
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record. A response has its payload, and length and SHA-256 as found; a revisit the length that its HTTP head states."""
-    import hashlib
+    """Header fields (names in lower case) and block of each record of an archive, gzipped as a whole or record by record, by their Content-Length."""
+    stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(data)), 1 << 20)
+    while line := stream.readline():
+        if not line.strip():
+            continue
+        fields = {}
+        while line.strip():
+            name, _, value = line.decode("utf-8", "replace").partition(":")
+            fields[name.strip().lower()] = value.strip()
+            line = stream.readline()
+        yield fields, stream.read(int(fields["content-length"]))
+
+
+def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """One row per record. A response has length and SHA-256 of its payload as found, and with payloads the payload itself; a revisit
+    the length that its HTTP head states."""
 
     def row(f: dict[str, str], block: bytes) -> dict:
         kind, out = f.get("warc-type"), {}
@@ -117,7 +110,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             head, _, payload = block.partition(b"\r\n\r\n")
             said = [x.partition(b":")[2] for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")]
             if kind == "response":
-                out = {"payload_bytes": len(payload), "payload_sha256": hashlib.sha256(payload).hexdigest(), "payload": payload.decode("utf-8", "replace")}
+                out = {"payload_bytes": len(payload), "payload_sha256": hashlib.sha256(payload).hexdigest(), "payload": payload.decode("utf-8", "replace") if payloads else None}
             else:
                 out = {"payload_bytes": int(said[0]) if said else None, "payload_sha256": f.get("warc-payload-digest", "").removeprefix("sha256:")}
         elif kind == "metadata":
@@ -154,22 +147,35 @@ def assemble(records: DataFrame) -> DataFrame:
     return main.join(ask, "id", "left").join(note, "id", "left").select(F.nullif(F.col("metadata.page"), F.lit("")).alias("page"), "capture", "request", "metadata")
 
 
+def resolve(assembled: DataFrame) -> DataFrame:
+    """assemble()'s rows with refers_to_page, the page of the response that a revisit's WARC-Refers-To names; null for others.
+
+    Any number of revisits may name one response, so they are spread over salts, to which it goes.
+    """
+    narrow = stage(assembled, "captures")
+    responses = narrow.where("capture.type = 'response'").select(F.col("capture.record_id").alias("target"), F.col("page").alias("refers_to_page"))
+    revisits = narrow.where("capture.type = 'revisit'").select("*", F.col("capture.refers_to").alias("target"), F.col("capture.record_id").alias("own"))
+    met = join_spread(revisits, responses, ["target"], ["own"]).select(*narrow.columns, "refers_to_page")
+    return narrow.where("capture.type = 'response'").withColumn("refers_to_page", F.lit(None).cast("string")).unionByName(met)
+
+
 def round_trip(pages: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to: archives of pages written, read back and assembled.
 
     A null html is an empty payload, a null url an empty target. A row that repeats a page_id and payload is a capture of its own of
     the same type; a null page_id stays null and nothing refers to it. An empty table gives no rows.
     """
-    path = scratch_path(pages.sparkSession, "llm-warc")
+    spark = pages.sparkSession
+    path = scratch_path(spark, "llm-warc")
     write_archives(pages, path)
-    found = assemble(read_archives(pages.sparkSession, path))
+    found = resolve(assemble(stage(read_archives(spark, path, payloads=False), "records")))
     kind = pages.schema["page_id"].dataType
     return found.select(
         F.col("page").cast(kind).alias("page_id"),
         F.col("capture.payload_bytes").alias("payload_bytes"),
         F.col("capture.payload_sha256").alias("payload_digest"),
         F.col("capture.type").alias("record_type"),
-        F.regexp_extract("capture.refers_to", r"<urn:page:(.*)>", 1).cast(kind).alias("refers_to"),
+        F.col("refers_to_page").cast(kind).alias("refers_to"),
     )
 
 
