@@ -13,6 +13,7 @@ down to one number per n-gram row, which is what scoring sends to the executors
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
@@ -30,7 +31,7 @@ DIM = 8
 WINDOW = 4
 NOISE = 0.2
 DROPPED = 0.75
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000  # about 32 MB
 #: Fixed: what separates and what trims words.
 EDGES = " \t\n\x0b\x0c\r.,;:!?\"'()[]{}<>|*#$%&@~`^_+=-/\\"
 _EDGE = re.compile(f"[{re.escape(EDGES)}]+")
@@ -62,6 +63,41 @@ def ngrams(word: str) -> list[int]:
     return [zlib.crc32(g.encode("utf-8", "replace")) % ROWS for g in (*data, f"{core} ")]
 
 
+def _crc_table() -> np.ndarray:
+    c = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        c = np.where(c & 1, (c >> 1) ^ np.uint32(0xEDB88320), c >> 1)
+    return c
+
+
+_CRC = _crc_table()
+
+
+def gram_rows(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """ngrams() of many words at once: all their rows, word after word, and how many each word has."""
+    cores = [f"<{w.strip(EDGES)}>" for w in words]
+    raw = np.frombuffer("".join(cores).encode("utf-8", "replace"), np.uint8)
+    at = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # where each character starts
+    sizes = np.fromiter(map(len, cores), np.int64, len(cores))
+    first = np.cumsum(sizes) - sizes
+    rows, whose = [], []
+    for n in range(3, LONGEST_GRAM + 1):
+        count = np.maximum(sizes - n + 1, 0)
+        word = np.repeat(np.arange(len(cores)), count)
+        start = np.arange(len(word)) - np.repeat(np.cumsum(count) - count, count) + first[word]
+        low, size = at[start], at[start + n] - at[start]
+        crc = np.full(len(word), 0xFFFFFFFF, np.uint32)
+        for k in range(int(size.max(initial=0))):
+            some = slice(None) if k < n else np.flatnonzero(size > k)  # n characters are n bytes or more
+            crc[some] = _CRC[(crc[some] ^ raw[low[some] + k]) & 255] ^ (crc[some] >> 8)
+        rows.append((~crc).astype(np.int64) % ROWS)
+        whose.append(word)
+    rows.append(np.fromiter((zlib.crc32(f"{c} ".encode("utf-8", "replace")) % ROWS for c in cores), np.int64, len(cores)))
+    whose.append(np.arange(len(cores)))
+    word = np.concatenate(whose)
+    return np.concatenate(rows)[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(cores))
+
+
 @dataclass
 class Model:
     """One number per n-gram row, and the softmax's bias: the log-odds of a window is their mean over words plus bias."""
@@ -69,26 +105,36 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def word_scores(self, words: list[str], cache: dict[str, float]) -> np.ndarray:
-        out = np.empty(len(words))
-        for i, w in enumerate(words):
-            s = cache.get(w)
-            if s is None:
-                if len(cache) >= CACHE_WORDS:
-                    cache.clear()
-                s = cache[w] = float(self.weights[ngrams(w)].mean())
-            out[i] = s
-        return out
+    def learn_words(self, words: Iterable[str], cache: dict[str, float]) -> None:
+        """Scores of words that the cache lacks; a cache that is full is emptied first."""
+        wanted = set(words)
+        new = list(wanted.difference(cache))
+        if len(cache) + len(new) > CACHE_WORDS:
+            cache.clear()
+            new = list(wanted)
+        for at in range(0, len(new), 16384):
+            part = new[at : at + 16384]
+            rows, sizes = gram_rows(part)
+            cache.update(zip(part, (np.add.reduceat(self.weights[rows].astype(float), np.cumsum(sizes) - sizes) / sizes).tolist()))
 
     def score(self, text: str | None, cache: dict[str, float]) -> float:
-        words = words_of(text or "")
-        if not words:
-            return 1 / (1 + np.exp(-self.bias))
-        s = self.word_scores(words, cache)
-        n = min(WINDOW, len(s))
-        run = np.concatenate(([0.0], np.cumsum(s)))
-        best = ((run[n:] - run[:-n]) / n).max() + self.bias
-        return float(1 / (1 + np.exp(-np.clip(best, -30, 30))))
+        return self.scores([text], cache)[0]
+
+    def scores(self, texts: Sequence[str | None], cache: dict[str, float]) -> list[float]:
+        """Of each text the score of its most toxic window. The words of all texts at hand are scored together."""
+        split = [words_of(t or "") for t in texts]
+        self.learn_words(itertools.chain.from_iterable(split), cache)
+        out = []
+        for words in split:
+            if not words:
+                out.append(float(1 / (1 + np.exp(-self.bias))))
+                continue
+            s = np.fromiter(map(cache.__getitem__, words), float, len(words))
+            n = min(WINDOW, len(s))
+            run = np.concatenate(([0.0], np.cumsum(s)))
+            best = ((run[n:] - run[:-n]) / n).max() + self.bias
+            out.append(float(1 / (1 + np.exp(-np.clip(best, -30, 30)))))
+        return out
 
 
 def _windows(per_gram, ends, sizes, docs, noise=None) -> np.ndarray:
@@ -119,11 +165,12 @@ def train(texts: Iterable[str], labels: list[int], epochs: int = 30, rate: float
         if ids:
             docs.append(np.array(ids, np.int32))
             y.append(float(lab))
-    grams = [np.array(ngrams(w), np.int32) for w in index]
-    flat, ends = np.concatenate(grams), np.cumsum([0, *map(len, grams)])
+    known = list(index)
+    parts = [gram_rows(known[at : at + 16384]) for at in range(0, len(known), 16384)]
+    flat, ends = np.concatenate([p[0] for p in parts]).astype(np.int32), np.cumsum([0, *np.concatenate([p[1] for p in parts])])
     used = np.unique(flat)
     flat = np.searchsorted(used, flat).astype(np.int32)
-    del grams, index
+    del parts, known, index
     sizes = np.diff(ends)
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (len(used), DIM))
@@ -201,7 +248,8 @@ def score_texts(docs: DataFrame, model: Model, keep: Sequence[Column]) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, cache = Model(*shared.value), {}
         for batch in batches:
-            scores = [own.score(t.as_py(), cache) for t in batch.column(batch.num_columns - 1)]
+            texts = batch.column(batch.num_columns - 1)
+            scores = [x for at in range(0, len(texts), 128) for x in own.scores(texts.slice(at, 128).to_pylist(), cache)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*batch.schema.names[:-1], "score"])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField("score", T.DoubleType())]))

@@ -147,6 +147,22 @@ def test_rank_file_gives_the_ids_of_the_tokenizer(spark):
     assert both[0] == both[1]
 
 
+def test_word_scores_do_not_depend_on_what_is_cached(spark, monkeypatch):
+    rng = random.Random(2)
+    signs = list("abcdefgh-,.!é日👍<> ") + ["\ud800"]
+    words = ["".join(rng.choices(signs, k=rng.randrange(1, 14))) for _ in range(2000)] + ["a", "", ".", "x" * 64]
+    rows, sizes = toxicity.gram_rows(words)
+    assert [r.tolist() for r in np.split(rows, np.cumsum(sizes)[:-1])] == [toxicity.ngrams(w) for w in words]
+    model = toxicity.Model(np.random.default_rng(1).normal(0, 1, toxicity.ROWS), 0.5)
+    texts = [None, "", *(prose(i, 40, 900) for i in range(300))]
+    whole = model.scores(texts, {})
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 50)
+    cache = {}
+    assert [x for at in range(0, len(texts), 7) for x in model.scores(texts[at : at + 7], cache)] == whole
+    want = max(np.mean([model.weights[toxicity.ngrams(w)].mean() for w in texts[5].split()[i : i + toxicity.WINDOW]]) for i in range(37))
+    assert abs(whole[5] - 1 / (1 + np.exp(-want - 0.5))) < 1e-9
+
+
 def test_packing_a_mix_keeps_source_shares_in_every_run(spark):
     rows = [(i, f"{'abc'[i % 3]} " * 60, "abc"[i % 3]) for i in range(1800)]  # a source's texts are neighbours on the curve
     source = {r[0]: r[2] for r in rows}
@@ -273,6 +289,36 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(pages.where("false")).count() == 0
 
 
+def test_each_revisit_names_a_response_of_the_archives(spark, tmp_path):
+    body = "<p>" + "x" * 200
+    rows = [(i, f"http://h/{i}", body if i % 3 else f"{body}{i}") for i in range(90)] + [(1, "again", body)] * 300 + [(2, "u", body), (None, "u", body)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    warc.write_archives(pages, str(tmp_path / "a"), 4096)
+    records = warc.read_archives(spark, str(tmp_path / "a")).collect()
+    ids = [r["record_id"] for r in records]
+    assert len(ids) == 3 * len(rows) == len(set(ids))
+    responses = {r["record_id"]: r["payload"] for r in records if r["type"] == "response"}
+    revisits = [r for r in records if r["type"] == "revisit"]
+    assert len(revisits) == 60 - 1 + 1 and all(responses[r["refers_to"]] == body for r in revisits)
+    sizes = [f.stat().st_size for f in (tmp_path / "a").glob("*.gz")]
+    assert len(sizes) > 4  # rows that repeat one page are spread over archives
+
+
+def test_a_large_record_is_read_in_linear_time(spark):
+    import gzip
+    import time
+
+    def seconds(mb):
+        block = b"HTTP/1.1 200 OK\r\n\r\n" + b"ab" * (mb << 19)
+        record = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(block), block)
+        data, began = gzip.compress(record, 1) * 2, time.thread_time()
+        assert [len(b) for _, b in warc._records(data)] == [len(block)] * 2
+        return time.thread_time() - began
+
+    small, large = min(seconds(16) for _ in range(2)), seconds(128)
+    assert large < 24 * max(small, 0.02)
+
+
 def test_license_notices(spark):
     mit = licenses.TEMPLATES["mit-permission"]
     rows = [(1, f"{prose(1, 90)}. {mit}. {prose(2, 90)}"), (2, "Licensed under the Apache License, Version 2.0."), (3, " ".join(mit.split()[:9])), (4, "All rights reserved. " * 3), (5, None), (6, ""), (7, prose(3, 20000)), (2, "Licensed under the Apache License, Version 2.0."), (None, "Released under the MIT License.")]
