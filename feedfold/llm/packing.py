@@ -18,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedfold.llm import mixing
-from feedfold.llm.common import stage
+from feedfold.llm.common import placed, stage
 
 LENGTH = 2048
 END_ID = 1
@@ -156,16 +157,35 @@ def places(rows: DataFrame) -> DataFrame:
     return keyed.select("row", "part", "tokens", "before").mapInArrow(run, "row long, first long")
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, mixed: bool = False, run_slots: int = RUN_SLOTS, ranks: tuple[str, str] | None = None) -> DataFrame:
+def in_written_order(docs: DataFrame) -> DataFrame | None:
+    """docs with _file and _place, by which rows stand as they were written; None where docs is no table of Parquet files."""
+    try:
+        return docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    except AnalysisException:
+        return None
+
+
+def pack(
+    docs: DataFrame, tokenizer: str, length: int = LENGTH, mixed: bool = False, run_slots: int = RUN_SLOTS, ranks: tuple[str, str] | None = None, kept_rows: int | None = None
+) -> DataFrame:
     """Pieces: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian 32-bit).
 
     A null or empty text is its end id alone. Repeated rows and null ids are documents like others, in order of key, doc_id and place in
     the table; an empty table gives no pieces. Columns besides doc_id and text are not read. With mixed, source is read, and documents
-    go by ranges of run_slots slots of the schedule that mixing gives the table, then by key. `ranks`: see Tokens.
+    go by ranges of run_slots slots of the schedule that mixing gives the table, then by key. With kept_rows they go by ranges of so many
+    rows in the order in which their table was written, so that an order given to it reaches the sequences. `ranks`: see Tokens.
     """
-    rows = tokenized(docs, tokenizer, *["source"] * mixed, ranks=ranks)
-    ranked = rows.select("row", "doc_id", "key", "tokens", *["source"] * mixed)
-    if mixed:
+    written = in_written_order(docs) if kept_rows else None
+    if kept_rows and written is None:
+        raise ValueError("only a table of Parquet files has a written order")
+    more = ["_file", "_place"] if kept_rows else ["source"] * mixed
+    rows = tokenized(docs if written is None else written, tokenizer, *more, ranks=ranks)
+    ranked = rows.select("row", "doc_id", "key", "tokens", *more)
+    if kept_rows:
+        # names of part files are numbers of at least five digits, so longer ones are later
+        order = [F.length("_file"), "_file", "_place"]
+        ranked = placed(ranked.withColumn("_all", F.lit("")), "_all", order, "written").withColumn("run", F.floor(F.col("pos") / kept_rows))
+    elif mixed:
         ranked = mixing.schedule(ranked, F.col("source"), F.col("doc_id")).withColumn("run", F.floor(F.col("_slot") / run_slots))
     else:
         ranked = ranked.withColumn("run", F.lit(0))

@@ -39,3 +39,25 @@ def test_near_dedup_stage_goes_by_five_words(spark, tmp_path):
     other[20] = other[50] = "new"  # 80 of 96 shingles of 4 words are shared, 77 of 97 of 5 words
     docs = docs_of(spark, [(1, " ".join(base)), (2, " ".join(other)), (3, " ".join(base[:-1]))])
     assert {r["doc_id"] for r in corpus_pipeline.near_dedup_stage(spark, docs, str(tmp_path)).collect()} == {1, 2}
+
+
+def test_the_mixing_stage_reaches_the_sequences(spark, tmp_path):
+    import random
+
+    texts = ["one two three four", "rot blau gelb", "uno dos tres cuatro"]  # a source's texts are neighbours on the curve
+    rows = [(i, texts[i % 3] * 9, "abc"[i % 3]) for i in range(6000)]
+    random.Random(1).shuffle(rows)
+    docs_of(spark, rows).sort("source").coalesce(3).write.parquet(f"{tmp_path}/documents")
+    plain = spark.read.parquet(f"{tmp_path}/documents")
+    corpus_pipeline.mixing_stage(spark, plain, str(tmp_path)).write.parquet(f"{tmp_path}/mixed")
+    source = {r[0]: r[2] for r in rows}
+
+    def first_sequences(docs):
+        pieces = corpus_pipeline.packing_stage(spark, docs, str(tmp_path)).collect()
+        some = [p for p in pieces if p["sequence_id"] < max(q["sequence_id"] for q in pieces) / 4]
+        held = {k: sum(p["length"] for p in some if source[p["doc_id"]] == k) for k in "abc"}
+        return {k: v / sum(held.values()) for k, v in held.items()}, sorted((p["doc_id"], p["sequence_id"], p["offset"]) for p in pieces)
+
+    without, before = first_sequences(plain)
+    mixed, after = first_sequences(spark.read.parquet(f"{tmp_path}/mixed"))
+    assert max(without.values()) > 0.9 and all(0.2 < v < 0.5 for v in mixed.values()) and before != after
