@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedfold.llm import exact_dedup, mixing, near_dedup, packing, toxicity
 from feedfold.llm.common import stage
-from feedfold.llm.queries import TOKENIZER
+from feedfold.llm.queries import RANKS, TOKENIZER
+
+RUN_ROWS = packing.RUN_SLOTS * mixing.BLOCK_ROWS
 
 #: None: classifier, exact comparison of shingle sets and tokenizer are not expressible in SQL.
 ORACLE_SQL = None
@@ -33,8 +35,13 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents in sequences of at most 2048 tokens, so that each run of sequences keeps the mix."""
-    return packing.digests(packing.pack(docs, TOKENIZER, mixed=True))
+    """The pieces of the documents in sequences of at most 2048 tokens, in the order that the mixing stage has written.
+
+    Along that order documents go by ranges of RUN_ROWS, within each by the curve. Rows that come from no table have no written
+    order and are scheduled here.
+    """
+    written = packing.in_written_order(docs) is not None
+    return packing.digests(packing.pack(docs, TOKENIZER, mixed=not written, kept_rows=RUN_ROWS if written else None, ranks=RANKS))
 
 
 STAGES = [
