@@ -1322,16 +1322,16 @@ def consumed_runs(spark, sf_dir):
 
 @query(
     f"""SELECT md5({URL_SQL}) AS "PostId", CAST(date_trunc('month', o_orderdate) AS DATE) + CASE WHEN o_orderstatus = 'P' THEN 14 ELSE 0 END AS partdate,
-               CASE WHEN o_orderstatus = 'P' THEN '2001-08-02' ELSE '2001-08-01' END AS "CreateDate"
+               CASE WHEN o_orderstatus = 'P' THEN '2002-01-02' ELSE '2002-01-01' END AS "CreateDate"
         FROM orders"""
 )
 def moved_posts(spark, sf_dir):
     """Posts whose newest message has another day leave the old one; each post has one row."""
     place = _scratch_tables(spark)
     month = F.to_date(F.date_trunc("month", "o_orderdate"))
-    _order_deltas(spark, sf_dir, place, "2001-08-01", "true", month)
-    _order_deltas(spark, sf_dir, place, "2001-08-02", "o_orderstatus = 'P'", F.date_add(month, 14))
-    for exec_date in ("2001-08-01", "2001-08-02"):
+    _order_deltas(spark, sf_dir, place, "2002-01-01", "true", month)
+    _order_deltas(spark, sf_dir, place, "2002-01-02", "o_orderstatus = 'P'", F.date_add(month, 14))
+    for exec_date in ("2002-01-01", "2002-01-02"):
         jobs.merge_posts(spark, exec_date, "1990-01-01", place("delta/Posts"), place("delta/Metrics"), place("Posts"))
     return spark.read.parquet(place("Posts")).select("PostId", "partdate", "CreateDate")
 
