@@ -1,9 +1,9 @@
 """Near duplicates by MinHash: many universal hash minima, banding, exact verification, large-star and small-star.
 
 Equal shingle sets are one class, of which one row goes on. Rows that share a band of minima share a bucket. Within
-a bucket not all pairs are tested. First each row is tested against the bucket's lead p, its most central row. If two other rows
-x, y are similar, then either all they share is in p, so both share enough with p, which the tests have counted; or they share
-a shingle that p lacks, and such shingles are buckets of their own. So pairs are tested only where one of the two holds and
+a bucket not all pairs are tested. First each row is tested against the bucket's reference p, the most central row among its
+rows and their neighbours. Whatever p is: if two rows x, y are similar, then either all they share is in p, so both share enough
+with p, which the tests have counted; or they share a shingle that p lacks, and such shingles are buckets of their own. So pairs are tested only where one of the two holds and
 components differ, by growing blocks of rows outside a bucket's largest component; no similar pair of a bucket is
 lost, and a large group of near copies stays far from all its pairs. Tests compare full shingle sets.
 """
@@ -24,7 +24,7 @@ from feedfold.llm.common import join_spread, named, stage, stars, with_group
 SHINGLE = 4
 BANDS, ROWS = 32, 6  # a pair at 0.8 shares no bucket with a chance of 6e-5
 PER_CENT = 80
-BLOCK = 8
+BLOCK = 32
 ANY = 1 << 40
 SHARES = 64
 CACHE_WORDS = 400_000
@@ -196,7 +196,9 @@ def _linked(shared: DataFrame, texts: DataFrame, size: int, per_cent: int) -> Da
     central = shared.groupBy("doc").agg(F.sum("n").alias("weight"))
     weighed = shared.select("bucket", "doc").join(central, "doc")
     best = F.max(F.struct("weight", (-F.col("doc")).alias("low")))
-    led = with_group(weighed, ["bucket"], ["doc"], {"lead": best})
+    # a bucket's reference need not be in it: the heaviest of the leads that its rows have in any bucket, so a large group has one
+    own = with_group(weighed, ["bucket"], ["doc"], {"lead": best}).groupBy("doc").agg(F.max("lead").alias("own"))
+    led = with_group(shared.select("bucket", "doc").join(own, "doc"), ["bucket"], ["doc"], {"lead": F.max("own")})
     led = stage(led.select("bucket", "doc", (-F.col("lead.low")).alias("lead")).where("doc <> lead"), "led")
     tests = stage(_compared(led.select(F.col("doc").alias("a"), F.col("lead").alias("b")).distinct(), texts, size, rest=True), "tests")
     edges = stars(_similar(tests, per_cent), "a", "b")
