@@ -24,7 +24,7 @@ from feedfold.llm.common import join_spread, named, stage, stars, with_group
 SHINGLE = 4
 BANDS, ROWS = 32, 6  # a pair at 0.8 shares no bucket with a chance of 6e-5
 PER_CENT = 80
-BLOCK = 32
+BLOCK = 1024
 ANY = 1 << 40
 SHARES = 64
 CACHE_WORDS = 400_000
@@ -238,7 +238,7 @@ def _linked(shared: DataFrame, texts: DataFrame, size: int, per_cent: int) -> Da
         if pivots.where(F.col("rank") > block).isEmpty():
             return edges.select(F.col("u").alias("a"), F.col("v").alias("b"))
         tested = stage(tested.unionByName(pairs), "tested")
-        block *= BLOCK
+        block *= 32
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
