@@ -338,6 +338,38 @@ def test_repeated_passages(spark):
     assert substring_dedup.repeated_passages(docs_of(spark, [])).count() == 0
 
 
+def test_near_passages_are_found_by_windows_and_verified():
+    rng = np.random.default_rng(3)
+    odd = np.random.default_rng(5).integers(0, 1 << 63, substring_dedup.HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
+    hasher, some = near_dedup.Hasher(5), lambda n: [b"%d" % x for x in rng.integers(0, 10**6, n)]
+    for length, edits in ((50, ("insert", "replace")), (60, ("insert", "delete", "replace"))):
+        for edit in edits:
+            found = 0
+            for _ in range(100):
+                p, k = some(length), length // 2
+                q = p[:k] + ([] if edit == "delete" else some(1)) + p[k + (edit != "insert") :]
+                one, two = hasher.runs(some(90) + p + some(90)), hasher.runs(some(50) + q + some(130))
+                a, b = ({int(x[0]): x[1:] for x in zip(*substring_dedup.keyed_windows(s, 46, odd))} for s in (one, two))
+                room = lambda key: min(a[key][1], b[key][1]) + min(a[key][2], b[key][2]) + 1 >= 0.8 * 46
+                found += any(key in b and room(key) and substring_dedup.passage(one, two, int(a[key][0]), int(b[key][0]), 46) for key in a)
+            assert found >= 95, (length, edit, found)
+
+
+def test_sliding_centres_are_first_minima():
+    values = np.random.default_rng(4).integers(0, 40, (2, 300)).astype(np.uint64) << np.uint64(30)
+    for row, got in zip(values, substring_dedup.sliding_centres(values, 10)):
+        assert [i + int(row[i : i + 10].argmin()) for i in range(291)] == got.tolist()
+
+
+def test_a_passage_that_the_first_document_lacks_is_found(spark):
+    p = prose(900, 70, 10**6).split()
+    far = prose(901, 60, 10**6).split() + p[20:45] + prose(902, 60, 10**6).split()  # shares only a fragment
+    q = p[:35] + ["new"] + p[35:]
+    rows = [(1, " ".join(far))] + [(i, f"{prose(i, 80, 10**6)} {' '.join(x)} {prose(50 + i, 80, 10**6)}") for i, x in ((2, p), (3, q))]
+    got = substring_dedup.repeated_passages(docs_of(spark, rows)).collect()
+    assert {r["doc_id"] for r in got} == {2, 3}
+
+
 def test_passages_end_where_a_shared_block_lies_elsewhere():
     p, block = prose(1, 70, 10**6).split(), prose(2, 60, 10**6).split()
     for k, edit in enumerate((["new"], [], [p[35], "new"])):  # word 35 replaced, deleted, followed by a new one
