@@ -209,6 +209,18 @@ def _convertible(have: T.DataType, want: T.DataType) -> bool:
     return isinstance(have, T.DatetimeType) and isinstance(want, T.DatetimeType)
 
 
+def number_text(column: Column) -> Column:
+    """Text of a fraction without an exponent, whatever its size: a value reads alike among small and large ones."""
+    text = column.cast("string")
+    part = lambda i: F.regexp_extract(text, r"^(-?)(\d)\.(\d+)E(-?\d+)$", i)
+    sign, power = part(1), part(4).try_cast("int")
+    digits = F.concat(part(2), part(3))
+    padded = F.rpad(digits, F.greatest(F.length(digits), power + 2), F.lit("0"))
+    large = F.concat(sign, F.substring(padded, F.lit(1), power + 1), F.lit("."), F.substring(padded, power + 2, F.length(padded)))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), part(2), F.when(part(3) == "0", "").otherwise(part(3)))
+    return F.when(~text.contains("E"), text).when(power >= 0, large).when(power < 0, small).otherwise(text)
+
+
 def align_column(column: Column, have: T.DataType, want: T.DataType) -> Column:
     """The column reshaped from one type to another.
 
@@ -235,6 +247,8 @@ def align_column(column: Column, have: T.DataType, want: T.DataType) -> Column:
         return F.map_from_arrays(keys, values)
     if isinstance(have, (T.StructType, T.ArrayType, T.MapType)):
         return F.to_json(column) if isinstance(want, T.StringType) else F.lit(None).cast(want)
+    if isinstance(have, _FRACTIONS) and isinstance(want, T.StringType):
+        return number_text(column)
     if _convertible(have, want) and not isinstance(want, (T.StructType, T.ArrayType, T.MapType)):
         return column.try_cast(want)
     return F.lit(None).cast(want)
@@ -286,7 +300,7 @@ def align_rescuing(df: DataFrame, target: T.StructType) -> DataFrame:
         lost = None if own is None else loses(quoted(own.name), own.dataType, f.dataType)
         if lost is not None:
             nested = isinstance(own.dataType, (T.StructType, T.ArrayType, T.MapType))
-            text = F.to_json(quoted(own.name)) if nested else quoted(own.name).cast("string")
+            text = F.to_json(quoted(own.name)) if nested else align_column(quoted(own.name), own.dataType, T.StringType())
             entries += [F.lit(f.name), F.when(F.coalesce(lost, F.lit(False)), text)]
     kind = "map<string,string>"
     held = F.map_filter(F.create_map(*entries), lambda _, v: v.isNotNull()) if entries else F.lit(None).cast(kind)

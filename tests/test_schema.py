@@ -180,6 +180,15 @@ def test_long_and_double_meet_in_a_number_where_all_fit(spark):
     assert {r["v"] for r in out.collect()} == {"9007199254740993", "0.5"}
 
 
+def test_fractions_that_become_text_have_no_exponent(spark):
+    values = [10000001.25, -12345678.0, 1e7, 1e22, 0.00025, -1e-7, 9999999.5, 0.0, 1e300, float("inf"), None]
+    plain = ["10000001.25", "-12345678.0", "10000000.0", "1" + "0" * 22 + ".0", "0.00025", "-0.0000001", "9999999.5", "0.0", "1" + "0" * 300 + ".0", "Infinity", None]
+    double, big = spark.createDataFrame([(v,) for v in values], "v double").coalesce(1), spark.createDataFrame([(2**53 + 1,)], "v bigint")
+    assert [r["v"] for r in S.union_drift(double, big).collect()] == [*plain, "9007199254740993"]
+    rescued = S.align_rescuing(double, T.StructType.fromDDL("v int")).collect()
+    assert rescued[0][S.RESCUED] == {"v": "10000001.25"}
+
+
 def test_no_value_is_nulled_without_a_rescued_entry(spark):
     target = T.StructType.fromDDL("a bigint, b int, c array<bigint>, d struct<x:int>, e date, f string, g boolean, h bigint")
     rows = [("1k", 2**40, ["1", "z"], ("q",), "2024-01-01", 5, 2, 1.5), (" 7 ", 3, ["4"], ("8",), "soon", 6, 1, 2.0), (None, None, None, None, None, None, None, None)]
