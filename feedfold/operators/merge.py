@@ -16,7 +16,7 @@ from feedfold.functions.keys import KeyFn, url_key
 from feedfold.operators.latest import latest_per_key, newest_versions, rows_of_versions
 from feedfold.operators.matching import match_rows
 from feedfold.operators.reshape import suffix_collisions
-from feedfold.operators.schema import align_column, align_to, exact_schema, find_field, quoted, union_drift, widen
+from feedfold.operators.schema import align_column, align_to, backquoted, exact_schema, find_field, quoted, union_drift, widen
 
 # --- date window -----------------------------------------------------------
 
@@ -127,14 +127,12 @@ def coalesce_merge(history: DataFrame, delta: DataFrame, keys: Sequence[str]) ->
     one side only are kept.
     """
     target = exact_schema(history, delta)
-    old, new = align_to(history, target), align_to(delta, target)
-    old = old.select(*(quoted(f.name).alias(f"_h{i}") for i, f in enumerate(target.fields)))
-    new = new.select(*(quoted(f.name).alias(f"_d{i}") for i, f in enumerate(target.fields)))
+    # as text: a call per column costs a plan that is built batch by batch more than its jobs
+    old, new = (align_to(f, target).toDF(*(f"_{side}{i}" for i in range(len(target.fields)))) for f, side in ((history, "h"), (delta, "d")))
     at = {f.name.lower(): i for i, f in enumerate(target.fields)}
-    on = [F.col(f"_h{at[k.lower()]}").eqNullSafe(F.col(f"_d{at[k.lower()]}")) for k in keys]
-    return old.join(new, on, "full_outer").select(
-        *(F.coalesce(f"_d{i}", f"_h{i}").alias(f.name) for i, f in enumerate(target.fields))
-    )
+    on = F.expr(" AND ".join(f"_h{at[k.lower()]} <=> _d{at[k.lower()]}" for k in keys))
+    merged = (f"coalesce(_d{i}, _h{i}) AS {backquoted(f.name)}" for i, f in enumerate(target.fields))
+    return old.join(new, on, "full_outer").selectExpr(*merged)
 
 
 # --- posts and metrics -----------------------------------------------------
@@ -290,16 +288,16 @@ def merged_post_columns(
 
     The same names serve the first run and all later ones.
     """
-    parent = find_field(delta.schema, "ParentUrl")
-    out = []
+    parent = find_field(delta.schema, "ParentUrl") if "ParentUrlHash" in columns else None
+    sources = {}
     for name, (source, default) in columns.items():
         own = find_field(delta.schema, source)
-        value = F.lit(None).cast(default) if own is None else quoted(own.name)
-        if name == "ParentUrlHash" and parent is not None:
-            hashed = key_fn(quoted(parent.name))
-            value = F.when(quoted(parent.name).isNotNull(), hashed).otherwise(value)
-        out.append(value.alias(name))
-    return delta.select(*out)
+        sources[name] = f"CAST(NULL AS {default})" if own is None else backquoted(own.name)
+    if parent is not None:
+        url, known = quoted(parent.name), F.expr(sources["ParentUrlHash"])
+        delta = delta.withColumn("_parent_hash", F.when(url.isNotNull(), key_fn(url)).otherwise(known))
+        sources["ParentUrlHash"] = "_parent_hash"
+    return delta.selectExpr(*(f"{value} AS {backquoted(name)}" for name, value in sources.items()))
 
 
 def upsert_posts(

@@ -39,9 +39,14 @@ _NUMBER_ORDER = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType
 
 # --- names -----------------------------------------------------------------
 
+def backquoted(*parts: str) -> str:
+    """A nested field's name parts as SQL takes them."""
+    return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
+
+
 def quoted(*parts: str) -> Column:
     """Column of a nested field given by its name parts."""
-    return F.col(".".join("`" + p.replace("`", "``") + "`" for p in parts))
+    return F.col(backquoted(*parts))
 
 
 def find_field(struct: T.StructType, name: str) -> T.StructField | None:
@@ -315,11 +320,15 @@ def align_rescuing(df: DataFrame, target: T.StructType) -> DataFrame:
 
 def align_to(df: DataFrame, target: T.StructType) -> DataFrame:
     """The frame with exactly the target's columns, in its order and types."""
-    if same_type(df.schema, target):
+    schema = df.schema
+    if same_type(schema, target):
         return df
     columns = []
     for f in target.fields:
-        own = find_field(df.schema, f.name)
+        own = find_field(schema, f.name)
+        if own is not None and own.name == f.name and same_type(own.dataType, f.dataType):
+            columns.append(backquoted(f.name))
+            continue
         value = F.lit(None).cast(f.dataType) if own is None else align_column(
             quoted(own.name), own.dataType, f.dataType
         )

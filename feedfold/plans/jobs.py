@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedfold.functions.classify import classify_url
 from feedfold.functions.dates import as_date
 from feedfold.functions.keys import KeyFn, url_key
 from feedfold.operators import merge
@@ -394,7 +395,9 @@ def merge_posts(
     sizes = {d: sum(store.files(f"{merged}/{POSTS_PARTITION}={d.isoformat()}").values()) for d in days}
     batches = day_batches(sizes, max_days, max_bytes)
     if len(batches) > 1 or touched_only:
-        joined = sinks.stage(joined, staging_path(spark, "joined", merged))
+        # by day, so that a batch reads its own days' files
+        joined = sinks.stage(joined, staging_path(spark, "joined", merged), by="PartdatePmd")
+    network = classify_url("Url")  # one expression for all batches
     for some in batches:
         delta = joined.where(F.col("PartdatePmd").isin(some)) if len(batches) > 1 else joined
 
@@ -403,7 +406,7 @@ def merge_posts(
             if carried is not None:
                 history = merge.without_moved(history, moved, carried.where(F.col("Partdate").isin(some)), POSTS_PARTITION)
                 unique = False
-            table = merge.upsert_posts(history, delta, key_fn, history_unique=unique)
+            table = merge.upsert_posts(history, delta, key_fn, classify=lambda _: network, history_unique=unique)
             return table.withColumnRenamed("Partdate", POSTS_PARTITION)
 
         if touched_only and carried is None:

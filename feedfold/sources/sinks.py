@@ -18,13 +18,15 @@ from feedfold.sources.swap import Exchange, leaf_folders, swap
 from feedfold.sources.tables import LAYOUT, read_optional
 
 
-def stage(df: DataFrame, path: str) -> DataFrame:
+def stage(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
     """Write once, read back: what follows scans only the columns it needs.
 
     The copy lies in the shared folder, so it outlives lost executors, and a
-    source whose end moves is read a single time.
+    source whose end moves is read a single time. ``by`` gives each value of a column a folder, so that
+    who wants some values reads their files alone; the column comes last then.
     """
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write if by is None else df.hint("rebalance", by).write.partitionBy(by)
+    writer.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

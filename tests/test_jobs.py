@@ -244,6 +244,16 @@ def _merged(spark, place):
     return {(r["Url"], str(r["partdate"])): r["CommentsCount"] for r in spark.read.parquet(place("Posts")).collect()}
 
 
+def test_a_batch_reads_its_own_days(spark, feeds_of):
+    place, ingest, merge = feeds_of
+    for day in ("2024-01-03", "2024-01-04"):
+        ingest(day, [_post(f"u{d}", f"2024-01-0{d}", d) for d in (1, 2, 3)], [_metric("u2", "2024-01-02", 5)])
+        merge(day, max_days=1)
+    joined = jobs.staging_path(spark, "joined", place("Posts"))
+    assert tables._folders(spark, joined, "PartdatePmd") == [f"PartdatePmd=2024-01-0{d}" for d in (1, 2, 3)]
+    assert len(_merged(spark, place)) == 3
+
+
 def test_a_post_moves_with_its_day(spark, feeds_of):
     place, ingest, merge = feeds_of
     children = lambda day: jobs.merge_child_table(spark, day, "2024-01-01", place(f"delta/{P.ATTACHMENTS}"), place("Posts"), place("Attachments"))
