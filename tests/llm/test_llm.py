@@ -327,6 +327,16 @@ def test_license_notices(spark):
     assert licenses.license_notices(docs_of(spark, [])).count() == 0 and licenses.license_notices(docs_of(spark, rows), {}).count() == 0
 
 
+def test_a_passage_that_no_lead_holds(spark):
+    rng = random.Random(58)  # all keys that the two near texts share are the first one's, too, which is unlike both
+    word = lambda: "".join(rng.choices("abcdefghij", k=7))
+    text = [word() for _ in range(60)]
+    edited = lambda places: " ".join(word() if i in places else w for i, w in enumerate(text))
+    docs = docs_of(spark, list(enumerate([edited([12, 24, 46]), " ".join(text), edited([32])], 1)))
+    got = substring_dedup.repeated_passages(docs, rounds=1).collect()
+    assert {(r["doc_id"], r["first_doc_id"]) for r in got} == {(2, 2), (3, 2)}
+
+
 def test_repeated_passages(spark):
     shared, short = prose(500, 60), prose(501, 40)
     rows = [(i, f"{prose(i, 90)} {shared} {prose(20 + i, 90)}") for i in range(6)] + [(10 + i, f"{prose(40 + i, 90)} {short} {prose(60 + i, 90)}") for i in range(6)]
