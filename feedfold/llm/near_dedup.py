@@ -3,9 +3,10 @@
 Equal shingle sets are one class, of which one row goes on. Rows that share a band of minima share a bucket. Within
 a bucket not all pairs are tested. First each row is tested against the bucket's reference p, the most central row among its
 rows and their neighbours. Whatever p is: if two rows x, y are similar, then either all they share is in p, so both share enough
-with p, which the tests have counted; or they share a shingle that p lacks, and such shingles are buckets of their own. So pairs are tested only where one of the two holds and
+with p, which the tests have counted; or they share a shingle that p lacks, and such shingles are buckets of their own, where a row can share no more than
+it has of p and of the shingles that p lacks and another row has. So pairs are tested only where one of the two holds, these counts leave room and
 components differ, by growing blocks of rows outside a bucket's largest component; no similar pair of a bucket is
-lost, and a large group of near copies stays far from all its pairs. Tests compare full shingle sets.
+lost, and a large group of near copies, with a passage of their own or not, stays far from all its pairs. Tests compare full shingle sets.
 """
 
 from __future__ import annotations
@@ -207,26 +208,32 @@ def _linked(shared: DataFrame, texts: DataFrame, size: int, per_cent: int) -> Da
     with_lead = tests.groupBy(F.col("a").alias("doc"), F.col("b").alias("lead")).agg(
         F.when(F.count("*") > 1, F.lit(ANY)).otherwise(F.max("common")).alias("common"), F.min("n_a").alias("n")
     )
-    inside = join_spread(led, with_lead, ["doc", "lead"], ["bucket"], 8).select("bucket", "doc", "common", "n")
-    outside = tests.select(F.col("a").alias("doc"), "b", F.explode("rest").alias("s")).select(
-        F.xxhash64("b", "s").alias("bucket"), "doc", F.lit(ANY).alias("common"), F.lit(0).cast("long").alias("n")
+    inside = join_spread(led, with_lead, ["doc", "lead"], ["bucket"], 8).select("bucket", "doc", "common", "n", F.lit(0).cast("long").alias("shared"))
+    # of the shingles that the lead lacks those count that another row tested against it has
+    lacks = tests.select(F.col("a").alias("doc"), F.col("b").alias("lead"), F.explode("rest").alias("s")).distinct()
+    held = stage(with_group(lacks, ["lead", "s"], ["doc"], {"holders": F.count("*")}).where("holders > 1"), "held")
+    counted = with_lead.join(held.groupBy("doc", "lead").agg(F.count("*").alias("shared")), ["doc", "lead"])
+    outside = join_spread(held, counted, ["doc", "lead"], ["s"], 8).select(
+        F.xxhash64("lead", "s").alias("bucket"), "doc", "common", "n", F.when(F.col("common") == ANY, F.lit(ANY)).otherwise(F.col("shared")).alias("shared")
     )
-    state = stage(inside.unionByName(outside.distinct()), "state")
-    possible = lambda p: (p["component"] != F.col("component")) & ((100 + per_cent) * F.least("common", p["common"]) >= per_cent * (F.col("n") + p["n"]))
+    # a row without room for per_cent of its own shingles is like no other
+    state = stage(inside.unionByName(outside).where(100 * (F.col("common") + F.col("shared")) >= per_cent * F.col("n")), "state")
+    room = lambda p: F.least("common", p["common"]) + F.least("shared", p["shared"])
+    possible = lambda p: (p["component"] != F.col("component")) & ((100 + per_cent) * room(p) >= per_cent * (F.col("n") + p["n"]))
     # a row has at most one bucket a band, but maybe many buckets of shingles, which go to several lists
-    share = F.when(F.col("common") == ANY, F.pmod("bucket", F.lit(SHARES))).otherwise(F.lit(0))
+    share = F.when(F.col("shared") > 0, F.pmod("bucket", F.lit(SHARES))).otherwise(F.lit(0))
     block = BLOCK
     while True:
         found = named(edges).select(F.col("node").alias("doc"), "component")
         now = state.join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
         mixed = with_group(now, ["bucket"], ["doc"], {"lo": F.min("component"), "hi": F.max("component")})
-        open_ = stage(mixed.where("lo <> hi").select("bucket", "doc", "component", "common", "n"), "open")
+        open_ = stage(mixed.where("lo <> hi").select("bucket", "doc", "component", "common", "n", "shared"), "open")
         size_of = open_.groupBy("bucket", "component").count()
         largest = size_of.groupBy("bucket").agg(F.max(F.struct("count", "component"))["component"].alias("largest"))
         minor = join_spread(open_, largest, ["bucket"], ["doc"]).where("component <> largest")
         order = Window.partitionBy("bucket").orderBy(F.xxhash64("doc", F.lit(block)), "doc")
         pivots = stage(minor.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= block + 1), "pivots")
-        listed = pivots.where(F.col("rank") <= block).groupBy("bucket").agg(F.collect_list(F.struct("doc", "component", "common", "n")).alias("pivots"))
+        listed = pivots.where(F.col("rank") <= block).groupBy("bucket").agg(F.collect_list(F.struct("doc", "component", "common", "n", "shared")).alias("pivots"))
         met = join_spread(open_, listed, ["bucket"], ["doc"], 8).select("doc", share.alias("share"), F.transform(F.filter("pivots", possible), lambda p: p["doc"]).alias("pivots"))
         # a pair that shares several buckets becomes one row
         each = met.where(F.size("pivots") > 0).groupBy("doc", "share").agg(F.array_distinct(F.flatten(F.collect_list("pivots"))).alias("pivots"))

@@ -114,6 +114,29 @@ def test_near_dedup_tests_the_short_text_of_a_repeated_id(spark):
     assert classes(range(1, 5), [tuple(r) for r in links])[2] == 1
 
 
+def test_near_dedup_does_not_pair_rows_that_share_a_passage_only(spark, monkeypatch):
+    base, passage = prose(2, 140), " ".join(f"p{i}" for i in range(16))
+    rows = [(1, base)] + [(i, f"{edited(base, i, 14)} {passage}") for i in range(10, 70)]
+    rows += [(d + 100, edited(t, d, 2)) for d, t in rows[1:60:6]]
+    counted, stage = [], near_dedup.stage
+
+    def counting(frame, name):
+        out = stage(frame, name)
+        if name == "pairs":
+            counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "stage", counting)
+    # bucket 7 holds all rows, the others make the first row the most central one
+    shared = [(7, d, len(rows)) for d, _ in rows] + [(8, 1, 9), (9, 1, 9)]
+    links = near_dedup._linked(spark.createDataFrame(shared, "bucket long, doc long, n long"), docs_of(spark, rows), 4, 80).collect()
+    sets = [(d, near_dedup.shingle_set(t)) for d, t in rows]
+    want = [(a, b) for i, (a, x) in enumerate(sets) for b, y in sets[:i] if 100 * len(x & y) >= 80 * len(x | y)]
+    nodes = [d for d, _ in rows]
+    assert len(want) >= 10 and classes(nodes, [tuple(r) for r in links]) == classes(nodes, want)
+    assert sum(counted) <= 5 * len(rows), counted  # 70 rows have 2,415 pairs
+
+
 def test_packing_is_a_gapless_round_trip(spark):
     from tokenizers import Tokenizer
 
