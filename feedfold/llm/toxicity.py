@@ -7,7 +7,8 @@ in a long text count as they would in a short one. A toxic text teaches by the w
 the model thinks most toxic at the time. Misspelt words share n-grams with the words they stand for; a share DROPPED of
 n-grams is left out at each step of training, so that a part of a word's n-grams suffices.
 
-Training takes at most SAMPLE_ROWS labelled rows, by hash order. As all above the n-gram vectors is linear, the model comes
+Training takes at most SAMPLE_ROWS labelled rows, by hash order, in one task, so that the driver holds neither these texts nor what
+training needs (some 300 MB). As all above the n-gram vectors is linear, the model comes
 down to one number per n-gram row, which is what scoring sends to the executors (a fixed size).
 """
 
@@ -249,8 +250,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     clean = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
     taught = clean.where((F.col("toxic") == F.col("most")) & ~is_held_out()).select("doc_id", "toxic")
     chosen = taught.orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(sample_rows)
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id", "text").limit(sample_rows).select("text", "toxic").toArrow()
-    return train((t.as_py() or "" for t in rows.column("text")), rows.column("toxic").to_pylist())
+    order = [F.xxhash64("doc_id", F.lit(17)), F.col("doc_id"), F.col("text")]
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").orderBy(*order).limit(sample_rows).coalesce(1).sortWithinPartitions(*order)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        model = train((t.as_py() or "" for b in held for t in b.column(0)), [y for b in held for y in b.column(1).to_pylist()])
+        del held
+        pa.default_memory_pool().release_unused()
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias], pa.float64())], names=["weights", "bias"])
+
+    found = rows.select("text", "toxic").mapInArrow(learn, "weights binary, bias double").first()
+    return Model(np.frombuffer(found["weights"], np.float32), found["bias"]) if found else train([], [])
 
 
 def score_texts(docs: DataFrame, model: Model, keep: Sequence[Column]) -> DataFrame:

@@ -275,6 +275,26 @@ def test_toxicity_learns_words_and_their_misspellings(spark):
     assert {r["predicted"] for r in toxicity.toxicity(docs_of(spark, rows), table.where("false")).collect()} == {0}
 
 
+def test_toxicity_is_not_trained_in_the_driver(spark, monkeypatch):
+    import os
+
+    docs = docs_of(spark, [(i, f"w{i} bad" if i % 2 else f"w{i}") for i in range(40)] + [(None, "x")])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    whole = toxicity.fit(docs, labels)
+    texts = {i: t for i, t in docs.select("doc_id", "text").collect()}
+    taught = [r[0] for r in labels.where(~toxicity.is_held_out()).orderBy(F.xxhash64("doc_id", F.lit(17))).collect()]
+    own = toxicity.train([texts[i] for i in taught], [i % 2 for i in taught])
+    assert whole.bias == own.bias and (whole.weights == own.weights).all()
+    assert not toxicity.fit(docs, labels.where("false")).weights.any()
+
+    def where_trained(texts, labels):
+        return toxicity.Model(np.zeros(len(list(texts)), np.float32), float(os.getpid()))
+
+    monkeypatch.setattr(toxicity, "train", where_trained)
+    model = toxicity.fit(docs, labels)
+    assert len(model.weights) == len(taught) and model.bias != os.getpid()
+
+
 def test_toxicity_reads_all_of_a_long_run():
     grams = lambda text: {g for w in toxicity.words_of(text) for g in toxicity.ngrams(w)}
     run = "".join(chr(0x4E00 + k * 7 % 5000) for k in range(400))
