@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -10,10 +11,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedfold.llm import embedding_dedup, exact_dedup, licenses, mixing, near_dedup, packing, quality, substring_dedup, toxicity, warc
-from feedfold.llm.common import components, with_group
+from feedfold.llm.common import components, stage, with_group
 from feedfold.llm.queries import RANKS, TOKENIZER
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+PASSAGE = ("doc_id", "start_word", "n_words", "first_doc_id", "first_start", "similarity")
 ODD = "doc_id long, text string, source string, `row` long, `Score` int, `_salt` int, `held.x` string, `component` long"
 
 
@@ -380,6 +382,44 @@ def test_a_passage_that_no_lead_holds(spark):
     assert {(r["doc_id"], r["first_doc_id"]) for r in got} == {(2, 2), (3, 2)}
 
 
+def test_a_staged_write_leaves_no_shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {f.rpartition("/")[2] for f in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    before = held()
+    staged = stage(spark.range(1000).groupBy((F.col("id") % 100).alias("k")).agg(F.max("id").alias("m")), "shuffled")
+    for _ in range(50):  # they go a little later
+        if not held() - before:
+            break
+        time.sleep(0.2)
+    assert not held() - before and staged.count() == 100
+
+
+def test_passages_are_those_of_plain_sets():
+    rng = np.random.default_rng(3)
+    own = rng.integers(0, 300, 400).astype(np.uint64)
+    other = np.where(rng.random(400) < 0.93, own, rng.integers(0, 300, 400)).astype(np.uint64)
+    by = substring_dedup.Places(own, other)
+    for lo, width, start, length in rng.integers((0, 46, 0, 46), (300, 100, 300, 100), (200, 4)).tolist():
+        start = lo if start % 2 else start
+        a, b = set(own[lo : lo + width].tolist()), set(other[start : start + length].tolist())
+        want = len(a & b) / len(a | b)
+        got = by.similarity(lo, lo + width, start, start + length)
+        assert got == want or got == 0.0 and want < substring_dedup.SIMILAR
+    for at in rng.integers(0, 400, 40).tolist():
+        whole = by.aligned(0, 400, at, at + 3)
+        part = by.aligned(max(0, at - 50), min(400, at + 50), at, at + 3)
+        assert all(np.array_equal(w[max(0, at - 50) : at + 50], p) for w, p in zip(whole, part))
+
+
+def test_repeated_passages_do_not_hang_on_the_order_of_rows(spark):
+    passage = " ".join(f"w{i}" for i in range(70))
+    one = " ".join([*(f"a{i}" for i in range(30)), passage, *(f"b{i}" for i in range(150)), passage, *(f"c{i}" for i in range(30))])
+    rows = [(1, one)] + [(i, f"{prose(i, 40)} {passage} {prose(i + 50, 40)}") for i in range(2, 6)]
+    docs = docs_of(spark, rows)
+    some, others = (rows_of(substring_dedup.repeated_passages(d), *PASSAGE) for d in (docs.orderBy("doc_id").coalesce(1), docs.repartition(7, "text")))
+    assert some == others and {r[0] for r in some} == {1, 2, 3, 4, 5}
+
+
 def test_repeated_passages(spark):
     shared, short = prose(500, 60), prose(501, 40)
     rows = [(i, f"{prose(i, 90)} {shared} {prose(20 + i, 90)}") for i in range(6)] + [(10 + i, f"{prose(40 + i, 90)} {short} {prose(60 + i, 90)}") for i in range(6)]
