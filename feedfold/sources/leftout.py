@@ -84,7 +84,7 @@ class Held:
         staying = self._rows.where(~inside & F.array_contains(wanted, run))
 
         def write(staged: str) -> Exchange:
-            staying.write.partitionBy(*RUN).parquet(staged)
+            sinks.writer_of(staying).partitionBy(*RUN).save(staged)
             made = leaf_folders(store, staged, RUN)
             kept = {label(f): f for f in made}
             moves = [(f"{staged}/{kept[label(f)]}", f"{self._base}/{f}") for f in losing if label(f) in kept]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from datetime import date
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from feedfold.functions.dates import as_date
@@ -18,6 +18,12 @@ from feedfold.sources.swap import Exchange, leaf_folders, swap
 from feedfold.sources.tables import LAYOUT, read_optional
 
 
+def writer_of(df: DataFrame, fmt: str = "parquet") -> DataFrameWriter:
+    """A writer of files. Parquet is packed with zstd: keys are digests in hex, of which it keeps half and snappy all."""
+    writer = df.write.format(fmt)
+    return writer.option("compression", "zstd") if fmt == "parquet" else writer
+
+
 def stage(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
     """Write once, read back: what follows scans only the columns it needs.
 
@@ -25,8 +31,8 @@ def stage(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
     source whose end moves is read a single time. ``by`` gives each value of a column a folder, so that
     who wants some values reads their files alone; the column comes last then.
     """
-    writer = df.write if by is None else df.hint("rebalance", by).write.partitionBy(by)
-    writer.mode("overwrite").parquet(path)
+    writer = writer_of(df) if by is None else writer_of(df.hint("rebalance", by)).partitionBy(by)
+    writer.mode("overwrite").save(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -50,7 +56,7 @@ def replace_partitions(
     """
     spark = df.sparkSession
     out = df.hint("rebalance", *columns) if rebalance else df
-    writer = out.write.format(fmt).partitionBy(*columns)
+    writer = writer_of(out, fmt).partitionBy(*columns)
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
 
@@ -70,7 +76,7 @@ def write_delta(df: DataFrame, base: str, exec_date: str | date, exec_time: str)
     """
     label = quote(exec_time, safe=" ")
     path = f"{base}/exec_date={as_date(exec_date).isoformat()}/exec_time={label}"
-    df.drop("exec_date", "exec_time").write.mode("overwrite").parquet(path)
+    writer_of(df.drop("exec_date", "exec_time")).mode("overwrite").save(path)
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:
@@ -106,12 +112,12 @@ def write_snapshot(
         if keys and buckets:
             name = f"feedfold_{uuid.uuid4().hex}"  # a session's catalog alone can write buckets; the entry goes at once
             try:
-                df.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", staged).format("parquet").saveAsTable(name)
+                writer_of(df).bucketBy(buckets, *keys).sortBy(*keys).option("path", staged).saveAsTable(name)
             finally:
                 spark.sql(f"DROP TABLE IF EXISTS {name}")
             store.write_new(f"{staged}/{LAYOUT}", {"keys": list(keys), "buckets": buckets, "columns": df._jdf.schema().toDDL()})
         else:
-            df.write.parquet(staged)
+            writer_of(df).save(staged)
         return Exchange(moves=[(staged, f"{base}/{folder}")])
 
     swap(spark, base, write, owner)

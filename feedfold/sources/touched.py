@@ -19,6 +19,7 @@ from feedfold.operators.matching import match_rows
 from feedfold.operators.merge import coalesce_merge
 from feedfold.operators.schema import find_field, quoted, same_type
 from feedfold.sources.files import Store
+from feedfold.sources.sinks import writer_of
 from feedfold.sources.swap import Exchange, leaf_folders, settle, swap
 from feedfold.sources.tables import read_drifting, read_partitions
 
@@ -85,7 +86,7 @@ def rewrite_touched(
         columns.append(SLOT)
 
     def write(staged: str) -> Exchange:
-        out.hint("rebalance", *columns).write.format(fmt).partitionBy(*columns).save(staged)
+        writer_of(out.hint("rebalance", *columns), fmt).partitionBy(*columns).save(staged)
         places = {}
         for folder in leaf_folders(store, staged, columns):
             day, _, slot = folder.partition("/")

@@ -223,3 +223,14 @@ def test_days_of_clashing_types_are_read_together(spark, tmp_path):
     assert sorted(map(tuple, found.collect())) == [("1", days[0]), ("2", days[2]), ("high", days[1])]
     # one scan for each schema, not for each day
     assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+
+
+def test_written_keys_take_half_their_digits(spark, tmp_path):
+    rows = spark.range(20000).select(F.md5(F.col("id").cast("string")).alias("Id"), F.lit("2024-01-01").cast("date").alias("day"))
+    size = lambda place: sum(f.stat().st_size for f in place.rglob("*.parquet"))
+    sinks.write_delta(rows, str(tmp_path / "delta"), "2024-01-01", "01-00")
+    sinks.replace_partitions(rows, str(tmp_path / "table"), ["day"])
+    staged = sinks.stage(rows, str(tmp_path / "staged"))
+    for place in ("delta", "table", "staged"):  # 32 hex digits hold 16 bytes
+        assert size(tmp_path / place) < 24 * 20000
+    assert staged.exceptAll(rows).isEmpty() and staged.count() == 20000
