@@ -426,29 +426,35 @@ def infer_json_schema(df: DataFrame, column: str = "value") -> T.StructType:
     schemas are shuffled. Text that is no JSON object is left out here; the
     parser hands it back as unreadable. Fields of clashing types become text.
     """
+    return survey_json(df, column)[0]
+
+
+def survey_json(df: DataFrame, column: str = "value") -> tuple[T.StructType, bool]:
+    """The schema that ``infer_json_schema`` gives, and whether every text is sound JSON, in which no object repeats a key."""
     text = quoted(column).cast("string")
-    objects = df.where(text.rlike(r"^\s*\{")).select(F.try_parse_json(text).alias("v"))
+    read = df.select(F.try_parse_json(text).alias("v"), text.rlike(r"^\s*\{").alias("o"), text.isNotNull().alias("t"))
     # objects whose names are alike but for case must not pass for one type: tasks of this thread's jobs tell case apart
     context, setting = df.sparkSession.sparkContext, "spark.sql.caseSensitive"
     before = context.getLocalProperty(setting)
     context.setLocalProperty(setting, "true")
     try:
-        ddl = objects.agg(F.schema_of_variant_agg("v")).first()[0]
+        ddl, odd = read.agg(F.schema_of_variant_agg(F.when(F.col("o"), F.col("v"))), F.count_if(F.col("t") & F.col("v").isNull())).first()
     finally:
         context.setLocalProperty(setting, before)
     if ddl is None or not ddl.startswith("OBJECT<"):
-        return T.StructType([])
+        return T.StructType([]), odd == 0
     # back-quoted names are passed over, so a field called OBJECT< is safe
     ddl = re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m.group() == "OBJECT<" else m.group(), ddl)
-    return _storable(T.DataType.fromDDL(ddl)) or T.StructType([])
+    return _storable(T.DataType.fromDDL(ddl)) or T.StructType([]), odd == 0
 
 
-def parse_json_rows(df: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
+def parse_json_rows(df: DataFrame, schema: T.StructType, column: str = "value", sound: bool = False) -> DataFrame:
     """Adds ``_json`` with the parsed fields and the text of unreadable rows.
 
     A row counts as unreadable when its text is null, is no JSON object,
     holds a value its field cannot take, or repeats a key within an object, of whose values only one could be kept. Names that
     differ in nothing but case, where the schema was inferred from such rows, are one field: its first spelling that is not null.
+    Where ``survey_json`` has found the rows ``sound``, their keys are not looked at once more.
     """
     text = quoted(column).cast("string")
     with_text = T.StructType([*schema.fields, T.StructField(UNPARSED, T.StringType())])
@@ -459,5 +465,7 @@ def parse_json_rows(df: DataFrame, schema: T.StructType, column: str = "value")
     if not same_type(spelled, with_text):
         marked = marked.withColumn("_json", F.col("_json").cast(numbered))
         marked = marked.withColumn("_json", _folded_spellings([F.col("_json")], with_text))
+    if sound:
+        return marked
     repeats = F.col(f"_json.{UNPARSED}").isNull() & F.try_parse_json(text).isNull()
     return marked.withColumn("_json", F.when(repeats, F.col("_json").withField(UNPARSED, text)).otherwise(F.col("_json")))

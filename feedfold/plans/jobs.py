@@ -31,9 +31,9 @@ from feedfold.operators.schema import (
     UNPARSED,
     dedupe_columns,
     find_field,
-    infer_json_schema,
     parse_json_rows,
     quoted,
+    survey_json,
     union_drift,
 )
 from feedfold.operators.split import CHILD_PARTS, PRIMARY, FieldPolicy, split_posts, transform_blogs
@@ -96,12 +96,12 @@ def parse_messages(
         ),
         staging_path(spark, "raw", target),
     )
-    fields = schema if schema is not None else infer_json_schema(raw)
+    fields, sound = (schema, False) if schema is not None else survey_json(raw)
     key = find_field(fields, required)
     readable = F.lit(False)
     if key is not None:
         readable = F.col(f"_json.{UNPARSED}").isNull() & quoted("_json", key.name).isNotNull()
-    flagged = parse_json_rows(raw, fields).withColumns({"_readable": readable, "_loaded": F.current_timestamp()})
+    flagged = parse_json_rows(raw, fields, sound=sound).withColumns({"_readable": readable, "_loaded": F.current_timestamp()})
     # the text of a readable message is not needed twice
     parsed = sinks.stage(
         flagged.withColumn("value", F.when(~F.col("_readable"), F.col("value"))), staging_path(spark, "parsed", target)

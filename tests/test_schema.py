@@ -224,3 +224,15 @@ def test_spellings_are_one_field_and_repeated_keys_are_unreadable(spark):
     assert plain(rows[1]) == ("b", {"Like": 2, "x": [{"K": 2}, {"K": 3}], "other": None})
     assert plain(rows[2]) == ("c", {"Like": 5, "x": None, "other": 7})
     assert [r[S.UNPARSED] for r in rows] == [None, None, None, *texts[3:]]
+
+
+def test_a_survey_tells_whether_every_text_is_sound(spark):
+    frame = lambda *texts: spark.createDataFrame([(t,) for t in texts], "value string")
+    sound = frame('{"a": 1, "b": {"c": 2}}', '{"a": 3}', None, "5")
+    fields, whole = S.survey_json(sound)
+    assert whole and fields == S.infer_json_schema(sound)
+    rows = lambda **more: [r.asDict(True) for r in S.parse_json_rows(sound, fields, **more).collect()]
+    assert rows(sound=True) == rows()
+    for odd in ('{"a": 1, "a": 2}', '{"b": {"c": 1, "c": 2}}', '{"a": 1', "nothing"):
+        assert not S.survey_json(frame('{"a": 1}', odd))[1]
+    assert S.survey_json(frame())[1]
