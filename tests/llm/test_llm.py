@@ -382,6 +382,35 @@ def test_a_passage_that_no_lead_holds(spark):
     assert {(r["doc_id"], r["first_doc_id"]) for r in got} == {(2, 2), (3, 2)}
 
 
+def test_a_pair_of_passages_is_tested_once(spark, monkeypatch):
+    asked, verified = [], substring_dedup._verified
+    monkeypatch.setattr(substring_dedup, "_verified", lambda rows, *more: asked.append(rows.select("doc_id").distinct().count()) or verified(rows, *more))
+    rows = []
+    for k in range(6):  # three pairs hold a passage, three a part of one, which all four keys may know
+        shared = prose(600 + k, 70 if k % 2 else 40, 10**6)
+        rows += [(2 * k + i, f"{prose(2 * k + i, 60, 10**6)} {shared} {prose(50 + 2 * k + i, 60, 10**6)}") for i in (0, 1)]
+    got = substring_dedup.repeated_passages(docs_of(spark, rows)).collect()
+    assert {(r["doc_id"], r["first_doc_id"]) for r in got} == {(d, d // 2 * 2) for d in (2, 3, 6, 7, 10, 11)}
+    assert asked[0] >= 3 and not any(asked[1:])
+
+
+def test_near_passages_share_a_seed():
+    rng, hasher, run = random.Random(8), near_dedup.Hasher(5), substring_dedup.shared_run(46)
+    for length in (50, 51, 60, 90, 140):
+        for edit in ("insert", "delete", "replace"):
+            for _ in range(30):
+                p = [b"%d" % rng.randrange(10**6) for _ in range(length)]
+                q = list(p)
+                for _ in range(max(1, length // 45)):
+                    k = rng.randrange(len(q))
+                    q[k : k + (edit != "insert")] = [b"new%d" % rng.randrange(10**6)] * (edit != "delete")
+                one, two = hasher.runs(p), hasher.runs(q)
+                if len(np.intersect1d(one, two)) >= 0.8 * len(np.union1d(one, two)) and len(two) >= 46:
+                    seeds = np.intersect1d(substring_dedup.seeds(one, run), substring_dedup.seeds(two, run))
+                    parts = substring_dedup.segments(one, seeds, 46)
+                    assert len(seeds) and sum(hi - lo for lo, hi in parts) >= 46
+
+
 def test_a_staged_write_leaves_no_shuffle_files(spark):
     manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     held = lambda: {f.rpartition("/")[2] for f in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
