@@ -382,6 +382,60 @@ def test_a_passage_that_no_lead_holds(spark):
     assert {(r["doc_id"], r["first_doc_id"]) for r in got} == {(2, 2), (3, 2)}
 
 
+def test_texts_that_share_short_lines_only_get_no_windows(spark):
+    line = prose(950, 13, 10**6)  # a passage keeps 24 words in a row
+    rows = [(i, f"{prose(i, 60, 10**6)} {line} {prose(100 + i, 60, 10**6)}") for i in range(40)]
+    shared = prose(951, 60, 10**6)
+    rows += [(100 + i, f"{prose(200 + i, 60, 10**6)} {shared} {prose(300 + i, 60, 10**6)}") for i in range(2)]
+    assert {r["doc_id"] for r in substring_dedup.anchors(docs_of(spark, rows)).select("doc_id").collect()} == {100, 101}
+
+
+def test_no_passage_lies_where_the_bound_rules_it_out():
+    rng, ruled, tried, plain = np.random.default_rng(9), 0, 0, substring_dedup.passage
+    for trial in range(300):
+        n, words = int(rng.integers(46, 250)), (60, 400, 10**6)[trial % 3]  # repeats are frequent, some, none
+        own = rng.integers(0, words, n).astype(np.uint64)
+        other = own
+        for _ in range(int(rng.integers(0, 2 + n // 15))):
+            k, put, cut = (int(x) for x in rng.integers((0, 4, 4), (len(other), 7, 7)))
+            other = np.concatenate((other[:k], rng.integers(0, words, put).astype(np.uint64), other[k + cut :]))
+        if len(other) < 46:
+            continue
+        by, back = substring_dedup.Places(own, other), substring_dedup.Places(other, own)
+        at = np.flatnonzero(np.isin(own, other))[::9]
+        there = np.array([np.flatnonzero(other == own[a])[0] for a in at], int)
+        for a, b, *may in zip(at.tolist(), there.tolist(), *by.may_reach(at, there, 46)):
+            assert may[0] or not plain(own, other, a, b, 46, by)
+            assert may[1] or not plain(other, own, b, a, 46, back)
+            ruled, tried = ruled + (not may[0]), tried + 1
+    assert 0 < ruled < tried
+
+
+def test_best_parts_are_those_of_all_parts():
+    rng = np.random.default_rng(6)
+    for n in (5, 12, 13, 30, 70):
+        total = np.concatenate(([0], np.cumsum(rng.choice([1, -8], n, p=[0.85, 0.15]))))
+        got = substring_dedup.best_parts(total[:-1], total[1:], 12)
+        for at in range(n if n >= 12 else 0):
+            assert got[at] == max(total[j] - total[i] for i in range(at + 1) for j in range(at + 1, n + 1) if j - i >= 12)
+
+
+def test_windows_of_joined_parts_are_those_of_each():
+    rng = np.random.default_rng(8)
+    odd = np.random.default_rng(5).integers(0, 1 << 63, substring_dedup.HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
+    parts = [rng.integers(0, v, n).astype(np.uint64) for n, v in ((46, 9), (200, 10**6), (47, 10**6), (300, 40))]
+    number, *joined = substring_dedup.windows_of(np.concatenate(parts), np.array([len(p) for p in parts]), 46, odd)
+    for k, part in enumerate(parts):
+        alone = substring_dedup.keyed_windows(part, 46, odd)
+        assert len(alone[0]) and all(np.array_equal(j[number == k], a) for j, a in zip(joined, alone))
+
+
+def test_exact_passages_start_where_all_runs_are_shared():
+    starts = substring_dedup.exact_starts(np.array([*range(5, 40), *range(60, 80), *range(90, 117)]), 46)  # a run has 20 shingles
+    assert starts.tolist() == [*range(5, 14), 90]
+    assert substring_dedup.spans(starts).tolist() == [5, 13, 90, 90] and not len(substring_dedup.spans(starts[:0]))
+
+
 def test_a_pair_of_passages_is_tested_once(spark, monkeypatch):
     asked, verified = [], substring_dedup._verified
     monkeypatch.setattr(substring_dedup, "_verified", lambda rows, *more: asked.append(rows.select("doc_id").distinct().count()) or verified(rows, *more))
